@@ -3,4 +3,5 @@ from chargelens.plans.registry import ENTRIES, run  # noqa: F401
 from chargelens.plans import (  # noqa: F401
     q_asof,
     q_panel,
+    q_spatial,
 )

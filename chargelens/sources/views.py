@@ -98,6 +98,11 @@ select concat('S', cast(cast(floor(o_custkey / 3.0) as bigint) as string)) as st
        case o_custkey % 2 when 0 then 'fast' else 'slow' end as charger_type,
        cast(o_orderdate as date) as use_date, count(*) as sessions, sum(round(o_totalprice)) / 1000 as kwh
 from {orders} group by 1, 2, 3, 4""",
+    # municipal stations, a little off the charging stations they belong to
+    "v_usage_stations": """
+select distinct concat('S', cast(k as string)) as station_id,
+       cast(356000 + ((k * 37) % 600) * 10 + (k % 4) * 4 as double) / 10000 as lat, cast(128300 + (k * 53) % 600 as double) / 1000 as lng
+from (select cast(floor(o_custkey / 3.0) as bigint) as k from {orders}) as o""",
     "v_links": """
 select concat('K', cast(p_partkey as string)) as link_id, concat('Road ', cast(p_partkey % 23 as string)) as road_name,
        cast(p_size * 10 as string) as distance_m_text,
