@@ -18,7 +18,7 @@ CHARGER_TYPE = {
     "06": "DC차데모+AC3상+DC콤보", "07": "AC3상", "08": "DC콤보(완속)", "10": "초급속(멀티)", "11": "초급속(미확인규격)",
 }
 UNKNOWN_TYPE = "알수없음"
-CONGESTION_NAME = {"1": "원활", "2": "서행", "3": "정체"}
+CONGESTION_NAME = {"1": "원활", "2": "지체", "3": "정체"}
 CITY = "대구"
 GRADE_RANK = {"HIGH": 3, "NORMAL": 2, "CHECK_REQUIRED": 1}
 AVAILABLE_CODE, IN_USE_CODE = 2, 3

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 EARTH_M = 6_371_000.0
 # fixed values: texts read as missing
-NULL_TOKENS = ("", "nan", "none", "null", "na", "n/a", "-", "nat", "<na>")
+NULL_TOKENS = ("", "null", "none", "nan", "-", "na", "n/a")
 
 
 def require_columns(df: DataFrame, *names: str) -> DataFrame:

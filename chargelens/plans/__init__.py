@@ -4,4 +4,5 @@ from chargelens.plans import (  # noqa: F401
     q_asof,
     q_panel,
     q_spatial,
+    q_clean,
 )

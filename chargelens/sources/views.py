@@ -109,7 +109,7 @@ select concat('K', cast(p_partkey as string)) as link_id, concat('Road ', cast(p
        case when p_partkey % 41 = 0 then '-5' when p_partkey % 43 = 0 then 'n/a' else cast(10 + p_partkey % 70 as string) end as speed_text,
        cast(p_size % 50 as string) as travel_text,
        cast(1 + p_partkey % 3 as string) as cong_grade,
-       case p_partkey % 4 when 0 then '원활' when 1 then '서행' when 2 then '정체' else null end as cong_name,
+       case p_partkey % 4 when 0 then '원활' when 1 then '지체' when 2 then '정체' else null end as cong_name,
        cast(35600 + (p_partkey * 17) % 600 as double) / 1000 as lat, cast(128300 + (p_partkey * 41) % 600 as double) / 1000 as lng
 from {part}""",
     "v_link_ticks": """
@@ -142,7 +142,7 @@ from {lineitem}""",
     "v_sessions": """
 select o_orderkey as session_id,
        concat(case when o_custkey % 5 = 0 then ' ' else '' end, '공영 ', cast(cast(floor(o_custkey / 3.0) as bigint) as string), case when o_custkey % 2 = 0 then '충전소' else '' end) as station_name,
-       case o_custkey % 9 when 0 then '부산' else '대구' end as region,
+       case o_custkey % 9 when 0 then '부산광역시' else '대구광역시' end as region,
        case o_custkey % 7 when 1 then '경북 대구로 1' else concat('대구광역시 ', case o_custkey % 3 when 0 then '중구' when 1 then '북구' else '수성구' end, ' 1') end as addr,
        o_orderdate + interval '1' minute * cast((o_orderkey * 37) % 1440 as int) as start_ts,
        o_orderdate + interval '1' minute * cast((o_orderkey * 37) % 1440 + 15 + o_custkey % 200 as int) as end_ts,
@@ -176,6 +176,14 @@ select concat('202', cast(n_nationkey % 3 + 4 as string), '0', cast(1 + n_nation
        case n_regionkey when 0 then 'AUTOMOBILE' when 1 then 'BUILDING CO' when 2 then 'FURNI' when 3 then 'MACHINERY' else n_name end as operator_name,
        cast(200 + n_nationkey * 7 as double) as fee_krw
 from {nation}""",
+    "v_lot_payloads": """
+select s_suppkey as id, case s_suppkey % 2 when 0 then 'parking_info' else 'parking_realtime' end as api_type, case when s_suppkey % 23 = 5 then '<broken' else
+  replace(replace(concat('<"data":[<"prkInfo":<"pkltId":"L', cast(s_suppkey as string), '","pkltNm":"', s_name, '">,"prkFcltInfo":<"roadNmAddr":', case s_suppkey % 3 when 0 then 'null' else '"road 1"' end,
+    ',"lotnoAddr":"lot 2","lat":"35.', cast(s_suppkey % 10 as string), '","lot":"128.', cast(s_suppkey % 10 as string), '","prkNocmprt":"', cast(50 + s_suppkey % 200 as string),
+    '">,"prkOperInfo":<"wkdayOperBgngHr":"0900","gnrlFrstCrg":"', case s_suppkey % 4 when 0 then '' else cast(s_suppkey * 10 as string) end, '","stlmMthd":"card">,"rltmPrkInfo":<"pkltId":"L', cast(s_suppkey as string),
+    '","totPrkNocmprt":"', cast(s_suppkey % 5 * 40 as string), '","totRmndPrkNocmprt":"', cast(s_suppkey % 37 as string), '","prkCnfSttsCd":"', cast(s_nationkey % 4 as string), '">>,',
+    '<"rltmPrkInfo":<"pkltId":"M', cast(s_suppkey as string), '","totPrkNocmprt":"80","totRmndPrkNocmprt":null>,"prkInfo":<"pkltId":"M', cast(s_suppkey as string), '">>]>'), '<', chr(123)), '>', chr(125)) end as payload
+from {supplier}""",
     "v_nodes": """
 select s_suppkey as node_id, cast(35600 + (s_suppkey * 61) % 600 as double) / 1000 as lat,
        cast(128300 + (s_suppkey * 29) % 600 as double) / 1000 as lng from {supplier}""",
