@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chargelens.session import stage
+
 CHUNKS = 512
 
 
@@ -19,7 +21,10 @@ def chunk_of(df: DataFrame, keys: list[str], value: str, chunks: int = CHUNKS) -
 
 
 def totals_before(df: DataFrame, keys: list[str], value: str, sums: list[str]) -> DataFrame:
-    """For a frame with one row per key and value: adds `<s>_before`, the total of `s` over smaller values."""
+    """For a frame with one row per key and value: adds `<s>_before`, the total of `s` over smaller values.
+
+    `df` is read three times; pass a staged table when it is costly.
+    """
     cut = chunk_of(df, keys, value)
     per = cut.groupBy(*keys, "_chunk").agg(*[F.sum(s).alias(s) for s in sums])
     w = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)  # at most CHUNKS rows a key
@@ -31,7 +36,7 @@ def totals_before(df: DataFrame, keys: list[str], value: str, sums: list[str]) -
 
 def numbered(df: DataFrame, keys: list[str], value: str, ties: list[str]) -> DataFrame:
     """Adds `row_no` (1-based, by value then ties) and `n_rows` per key."""
-    cut = chunk_of(df, keys, value)
+    cut = chunk_of(stage(df), keys, value)
     per = cut.groupBy(*keys, "_chunk").agg(F.count("*").alias("_n"))
     w = Window.partitionBy(*keys).orderBy("_chunk")
     base = per.select(*keys, "_chunk", (F.sum("_n").over(w) - F.col("_n")).alias("_before"), F.sum("_n").over(Window.partitionBy(*keys)).alias("n_rows"))
@@ -46,7 +51,7 @@ def value_ranks(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
     Equal values are folded before the shuffle, so a value held by a third of all rows costs one row.
     """
-    per = df.groupBy(*keys, value).agg(F.count("*").alias("n"))
+    per = stage(df.groupBy(*keys, value).agg(F.count("*").alias("n")))
     return totals_before(per, keys, value, ["n"]).withColumn("avg_rank", F.col("n_before") + (F.col("n") + 1) / 2.0)
 
 
@@ -59,3 +64,18 @@ def running_total(df: DataFrame, keys: list[str], order: str, value: Column, chu
     inner = Window.partitionBy(*keys, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     out = cut.withColumn("_in", F.sum("_v").over(inner)).join(base, [*keys, "_chunk"])
     return out.withColumn(name, F.col("_before") + F.col("_in")).drop("_chunk", "_v", "_in", "_before")
+
+
+def quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
+    """Exact linear-interpolated quantiles per key, NULLs left out. Works on value counts, so no group is collected."""
+    per = stage(df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_n")))
+    at = totals_before(per, keys, "_v", ["_n"])
+    total = per.groupBy(*keys).agg(F.sum("_n").alias("_total"))
+    at = at.join(total, keys) if keys else at.withColumn("_total", total.select("_total").scalar())
+    aggs = []
+    for name, p in probs.items():
+        h = F.lit(p) * (F.col("_total") - 1)
+        aggs += [F.max(F.when(F.col("_n_before") <= F.floor(h), F.col("_v"))).alias(f"_lo_{name}"),
+                 F.max(F.when(F.col("_n_before") <= F.ceil(h), F.col("_v"))).alias(f"_hi_{name}"), F.max(h - F.floor(h)).alias(f"_f_{name}")]
+    out = at.groupBy(*keys).agg(*aggs)
+    return out.select(*keys, *[(F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_f_{n}")).alias(n) for n in probs])

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chargelens.functions.exprs import haversine_m
+from chargelens.session import stage
 
 DEGREE_M = 111_190.0  # slightly under the true length, so neighbouring cells always cover the radius
 NEAREST_LEVELS = 4
@@ -60,6 +61,7 @@ def _candidates(left: DataFrame, right: DataFrame, sizes, need: int, payload: li
     With `need` right points in the own cell of size s, the nearest ones lie within its diagonal, hence within the
     3 x 3 cells of the next level, whose size is 2s. Points with no such level use the last one.
     """
+    left, right = stage(left), stage(right)
     keyed = right.select("lat", "lng", *payload, F.explode(_own_cells(sizes)).alias("_k")).select("*", "_k.*").drop("_k")
     fill = keyed.groupBy("level", "crow", "ccol").agg(F.count("*").alias("_n")).where(F.col("_n") >= need).drop("_n")
     own = left.select("lat", "lng", F.explode(_own_cells(sizes)).alias("_k")).select("lat", "lng", "_k.*")

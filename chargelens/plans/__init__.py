@@ -5,4 +5,5 @@ from chargelens.plans import (  # noqa: F401
     q_panel,
     q_spatial,
     q_clean,
+    q_usage,
 )

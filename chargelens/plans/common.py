@@ -4,15 +4,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from chargelens.operators import panel, snapshots
+from chargelens.session import stage
 from chargelens.sources.views import Tables
 
 
 def event_ticks(t: Tables) -> DataFrame:
-    return panel.tick_index(t.v_status_events.select("tick_ts"))
+    return stage(panel.tick_index(t.v_status_events.select("tick_ts")))
 
 
 def log_ticks(t: Tables) -> DataFrame:
-    return panel.tick_index(t.v_poll_log.select("tick_ts", "ok"))
+    return stage(panel.tick_index(t.v_poll_log.select("tick_ts", "ok")))
 
 
 def current_chargers(t: Tables) -> DataFrame:

@@ -13,6 +13,7 @@ from chargelens.session import configure
 from chargelens.sources.views import ORACLE_CTES, VIEW_SQL, Tables
 
 ROUND_TO = 6
+NUDGE = 3e-10  # moves exact ties off the rounding edge, where engines differ
 
 
 @dataclass
@@ -46,7 +47,7 @@ def present(df: DataFrame) -> DataFrame:
         elif isinstance(f.dataType, T.DateType):
             c = c.cast("string")
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = F.round(c.cast("double"), ROUND_TO) + F.lit(0.0)
+            c = F.round(c.cast("double") + F.lit(NUDGE), ROUND_TO) + F.lit(0.0)
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("long")
         cols.append(c.alias(f.name))
@@ -54,7 +55,7 @@ def present(df: DataFrame) -> DataFrame:
 
 
 def oracle(body: str, num: str, ts: str) -> str:
-    reps = [f"round(cast({c} as double), {ROUND_TO}) + 0.0 as {c}" for c in num.split()]
+    reps = [f"round(cast({c} as double) + {NUDGE:.12f}, {ROUND_TO}) + 0.0 as {c}" for c in num.split()]
     reps += [f"strftime({c}, '%Y-%m-%d %H:%M:%S') as {c}" for c in ts.split()]
     star = f"* replace ({', '.join(reps)})" if reps else "*"
     named = {**{k: v.replace("{", "").replace("}", "") for k, v in VIEW_SQL.items()}, **ORACLE_CTES}

@@ -2,8 +2,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -37,10 +38,24 @@ def local_session(cpus: int = 8, app: str = "chargelens", memory: str = "12g") -
     return configure(spark)
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's checkpoint dir, or a new local one when unset."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="chargelens-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", path)
+        path = _LOCAL.setdefault("dir", "") or tempfile.mkdtemp(prefix="chargelens-", dir="/tmp")
+        _LOCAL["dir"] = path
     return path
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Write an intermediate table that several branches of a plan read, and read it back.
+
+    The branches then scan the table instead of each repeating the work, the lineage is cut at files that outlive any
+    executor, and later joins know the real size.
+    """
+    path = f"{shared_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
