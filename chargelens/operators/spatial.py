@@ -18,41 +18,29 @@ NEAREST_LEVELS = 4
 KNN_SIZES = tuple(250.0 * 2**j for j in range(12))
 
 
-def _row(lat: Column, cell_m: float) -> Column:
-    return F.floor(lat / F.lit(cell_m / DEGREE_M))
+# cell row and column of a point; `size` is the cell height in metres, NULL for one cell over the whole plane
+_ROW = f"coalesce(floor(lat / (size / {DEGREE_M})), 0)"
+_COL = (
+    f"coalesce(floor(lng / ((size / {DEGREE_M}) / cos(radians(least(89.0D, (greatest(abs(crow), abs(crow + 1)) + 1) * (size / {DEGREE_M})))))), 0)"
+)
 
 
-def _col(lng: Column, row: Column, cell_m: float) -> Column:
-    h = cell_m / DEGREE_M
-    edge = (F.greatest(F.abs(row), F.abs(row + 1)) + 1) * F.lit(h)
-    width = F.lit(h) / F.cos(F.radians(F.least(edge, F.lit(89.0))))
-    return F.floor(lng / width)
+def _sizes(sizes) -> Column:
+    return F.array(*[F.lit(s).cast("double") for s in sizes])
 
 
-def _cell(level: int, row: Column, col: Column) -> Column:
-    return F.struct(F.lit(level).alias("level"), row.cast("long").alias("crow"), col.cast("long").alias("ccol"))
+def _on_levels(points: DataFrame, sizes) -> DataFrame:
+    """Every point in its own cell on every level."""
+    out = points.select("*", F.posexplode(_sizes(sizes)).alias("level", "size"))
+    return out.withColumn("crow", F.expr(_ROW)).withColumn("ccol", F.expr(_COL)).drop("size")
 
 
-def _own_cells(sizes) -> Column:
-    """The point's own cell on every level; a size of None is one cell for the whole plane."""
-    out = []
-    for i, s in enumerate(sizes):
-        row = F.lit(0) if s is None else _row(F.col("lat"), s)
-        out.append(_cell(i, row, F.lit(0) if s is None else _col(F.col("lng"), row, s)))
-    return F.array(*out)
-
-
-def _search_cells(sizes, level: Column) -> Column:
-    """The 3 x 3 cells around the point on its search level."""
-    out = None
-    for i, s in enumerate(sizes):
-        if s is None:
-            cells = F.array(_cell(i, F.lit(0), F.lit(0)))
-        else:
-            row = _row(F.col("lat"), s)
-            cells = F.array(*[_cell(i, row + dr, _col(F.col("lng"), row + dr, s) + dc) for dr in (-1, 0, 1) for dc in (-1, 0, 1)])
-        out = F.when(level == i, cells) if out is None else out.when(level == i, cells)
-    return out
+def _around(points: DataFrame, sizes) -> DataFrame:
+    """Every point in the 3 x 3 cells around it on its search level."""
+    step = "explode(if(size is null, array(0), array(-1, 0, 1)))"
+    out = points.withColumn("size", F.element_at(_sizes(sizes), F.col("level") + 1)).withColumn("dr", F.expr(step))
+    out = out.withColumn("crow", F.expr(f"{_ROW} + dr")).withColumn("dc", F.expr(step))
+    return out.withColumn("ccol", F.expr(f"{_COL} + dc")).drop("size", "dr", "dc")
 
 
 def _candidates(left: DataFrame, right: DataFrame, sizes, need: int, payload: list[str]) -> DataFrame:
@@ -62,13 +50,15 @@ def _candidates(left: DataFrame, right: DataFrame, sizes, need: int, payload: li
     3 x 3 cells of the next level, whose size is 2s. Points with no such level use the last one.
     """
     left, right = stage(left), stage(right)
-    keyed = right.select("lat", "lng", *payload, F.explode(_own_cells(sizes)).alias("_k")).select("*", "_k.*").drop("_k")
-    fill = keyed.groupBy("level", "crow", "ccol").agg(F.count("*").alias("_n")).where(F.col("_n") >= need).drop("_n")
-    own = left.select("lat", "lng", F.explode(_own_cells(sizes)).alias("_k")).select("lat", "lng", "_k.*")
-    level = own.join(fill, ["level", "crow", "ccol"], "left_semi").groupBy("lat", "lng").agg(F.min("level").alias("_lv"))
+    keyed = _on_levels(right.select("lat", "lng", *payload), sizes)
     last = len(sizes) - 1
-    chosen = left.join(level, ["lat", "lng"], "left").withColumn("_lv", F.least(F.coalesce(F.col("_lv") + 1, F.lit(last)), F.lit(last)))
-    search = chosen.select(F.col("lat").alias("_la"), F.col("lng").alias("_lo"), F.explode(_search_cells(sizes, F.col("_lv"))).alias("_k")).select("_la", "_lo", "_k.*")
+    if last == 0:
+        chosen = left.withColumn("level", F.lit(0))
+    else:
+        fill = keyed.groupBy("level", "crow", "ccol").agg(F.count("*").alias("_n")).where(F.col("_n") >= need).drop("_n")
+        level = _on_levels(left, sizes).join(fill, ["level", "crow", "ccol"], "left_semi").groupBy("lat", "lng").agg(F.min("level").alias("_lv"))
+        chosen = left.join(level, ["lat", "lng"], "left").select("lat", "lng", F.least(F.coalesce(F.col("_lv") + 1, F.lit(last)), F.lit(last)).alias("level"))
+    search = _around(chosen, sizes).withColumnsRenamed({"lat": "_la", "lng": "_lo"})
     pairs = search.join(keyed, ["level", "crow", "ccol"])
     return pairs.select(
         "_la", "_lo", *payload, haversine_m(F.col("_la"), F.col("_lo"), F.col("lat"), F.col("lng")).alias("distance_m")
@@ -76,14 +66,21 @@ def _candidates(left: DataFrame, right: DataFrame, sizes, need: int, payload: li
 
 
 def _points(df: DataFrame) -> DataFrame:
+    if df.columns == ["lat", "lng"]:
+        return df
     return df.where(F.col("lat").isNotNull() & F.col("lng").isNotNull()).select(F.col("lat").cast("double"), F.col("lng").cast("double")).distinct()
 
 
-def nearest_within(left: DataFrame, right: DataFrame, right_id: str, radius_m: float, *, name: str = "matched_id") -> DataFrame:
+def distinct_points(df: DataFrame) -> DataFrame:
+    """Distinct coordinates as a staged table, for several searches from the same points."""
+    return stage(_points(df))
+
+
+def nearest_within(left: DataFrame, right: DataFrame, right_id: str, radius_m: float, *, name: str = "matched_id", points: DataFrame | None = None) -> DataFrame:
     """Nearest right point within the radius per left row; unmatched rows stay with NULL. Equal distances: least id."""
     pts = right.where(F.col("lat").isNotNull() & F.col("lng").isNotNull()).groupBy(F.col("lat").cast("double").alias("lat"), F.col("lng").cast("double").alias("lng")).agg(F.min(right_id).alias(name))
     sizes = [radius_m / 2 ** (NEAREST_LEVELS - i) for i in range(NEAREST_LEVELS)] + [radius_m]
-    near = _candidates(_points(left), pts, sizes, 1, [name]).where(F.col("distance_m") <= radius_m)
+    near = _candidates(_points(left) if points is None else points, pts, sizes, 1, [name]).where(F.col("distance_m") <= radius_m)
     best = near.groupBy("lat", "lng").agg(F.min(F.struct("distance_m", name)).alias("_b")).select("lat", "lng", F.col(f"_b.{name}").alias(name), "_b.distance_m")
     return left.join(best, ["lat", "lng"], "left").withColumn("matched", F.col(name).isNotNull())
 

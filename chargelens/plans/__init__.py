@@ -6,4 +6,5 @@ from chargelens.plans import (  # noqa: F401
     q_spatial,
     q_clean,
     q_usage,
+    q_profiles,
 )

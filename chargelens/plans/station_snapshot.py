@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from chargelens.functions.opening_hours import with_operating_now
 from chargelens.operators import candidates, clean, snapshots, spatial, station, usage
 from chargelens.plans.common import current_chargers
+from chargelens.session import stage
 
 
 def station_points(t) -> DataFrame:
@@ -25,11 +26,12 @@ def usage_station_rows(t) -> DataFrame:
 def d1(t) -> DataFrame:
     ev = t.v_status_events
     as_of = snapshots.newest_poll(ev)
-    points = station_points(t)
+    points = stage(station_points(t))
+    at = spatial.distinct_points(points)
     quality = snapshots.first_per_station(clean.annotate_info(t.v_charger_master)).select("station_id", "coord_ok")
     base = with_operating_now(clean.access_flags(t.v_charger_master, points), as_of).join(quality, "station_id", "left")
     status = station.station_status(current_chargers(t))
-    lots = spatial.nearest_within(points.select("station_id", "lat", "lng"), t.v_lots, "lot_id", 1000.0)
+    lots = spatial.nearest_within(points.select("station_id", "lat", "lng"), t.v_lots, "lot_id", 1000.0, points=at)
     lot_now = snapshots.keep_one(t.v_lot_realtime, ("lot_id",), ("collected_at", "id")).select(
         F.col("lot_id").alias("matched_id"), F.col("remaining_spaces").cast("double").alias("parking_remaining_spaces"), "occupancy_rate", "congestion_status"
     )
@@ -39,8 +41,8 @@ def d1(t) -> DataFrame:
         F.col("occupancy_rate").alias("parking_occupancy_rate"), F.col("congestion_status").alias("parking_congestion_status"),
         "parking_remaining_std_1h", "parking_remaining_delta_1h",
     )
-    incident = spatial.nearest_within(points.select("station_id", "lat", "lng"), snapshots.last_per_incident(t.v_incidents).select("incident_id", "lat", "lng"), "incident_id", 1000.0)
-    poi = spatial.nearest_within(points.select("station_id", "lat", "lng"), t.v_pois, "poi_id", 1000.0)
+    incident = spatial.nearest_within(points.select("station_id", "lat", "lng"), snapshots.last_per_incident(t.v_incidents).select("incident_id", "lat", "lng"), "incident_id", 1000.0, points=at)
+    poi = spatial.nearest_within(points.select("station_id", "lat", "lng"), t.v_pois, "poi_id", 1000.0, points=at)
     parts = [
         parking,
         incident.select("station_id", F.col("distance_m").alias("nearest_incident_m")),
