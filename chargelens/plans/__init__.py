@@ -7,4 +7,5 @@ from chargelens.plans import (  # noqa: F401
     q_clean,
     q_usage,
     q_profiles,
+    q_labels,
 )
