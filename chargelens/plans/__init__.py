@@ -8,4 +8,6 @@ from chargelens.plans import (  # noqa: F401
     q_usage,
     q_profiles,
     q_labels,
+    q_sources,
+    q_quality,
 )

@@ -12,6 +12,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # skewed sort-merge / shuffled-hash partitions are split at run time
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Korean code pages of the usage export
+    "spark.sql.legacy.javaCharsets": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
