@@ -105,3 +105,12 @@ def pass_warn_fail(value: Column, warn: float, fail: float | None = None) -> Col
 def stack_checks(one_row: DataFrame, *checks: Column) -> DataFrame:
     """One row of aggregates to check rows (code, status, value, threshold)."""
     return one_row.select(F.inline(F.array(*checks)))
+
+
+def beside(one_row: DataFrame, *others: DataFrame) -> DataFrame:
+    """Columns of further one-row frames as scalar subqueries; no join takes place. The rows are staged, so a costly
+    aggregate runs once and not per column."""
+    from chargelens.session import stage
+
+    rows = [stage(o) for o in others]
+    return one_row.withColumns({c: o.select(c).scalar() for o in rows for c in o.columns})

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chargelens.functions.codes import OFFICIAL_NAMES
-from chargelens.functions.exprs import check, grade_from_minutes, ratio, stack_checks
+from chargelens.functions.exprs import beside, check, grade_from_minutes, ratio, stack_checks
 from chargelens.operators.ranks import quantiles
 from chargelens.operators.snapshots import CHARGER
 
@@ -75,7 +75,7 @@ def input_report(events: DataFrame, per_tick: DataFrame, ticks: DataFrame, as_of
     tot = per_tick.agg(F.sum("raw_rows").alias("raw"), F.sum("extra_rows").alias("extra"), F.sum("conflict_groups").alias("conflict"), F.count("*").alias("ticks"))
     p95 = quantiles(ticks, [], "prev_gap_s", {"p": 0.95}).scalar() / 60.0
     age = F.timestamp_diff("SECOND", ticks.agg(F.max("tick_ts")).scalar(), as_of) / 60.0
-    one = rows.join(tot).withColumns({"p95": p95, "age": age})
+    one = beside(rows, tot).withColumns({"p95": p95, "age": age})
     dup = F.col("extra") / F.col("raw")
     z = F.lit(0.0)
     return stack_checks(
@@ -235,7 +235,8 @@ def kpi_table(ticks: DataFrame, log: DataFrame, d1: DataFrame, incidents: DataFr
     )
     one = one.withColumns({
         "calls": day(log, "tick_ts").agg(F.sum("api_calls")).scalar(), "itoday": day(incidents, "tick_ts").agg(F.count_distinct("tick_ts")).scalar(), "prows": panel.agg(F.count("*")).scalar(),
-    }).join(f)
+    })
+    one = beside(one, f)
     ok = lambda c, bad="WARN": F.when(c, "OK").otherwise(bad)
     return stack_checks(
         one, check("K1", F.col("gaps"), 1, ok(F.col("gaps") <= 1)), check("K2", F.col("calls"), 800, F.when(F.col("calls") >= 900, "FAIL").when(F.col("calls") <= 800, "OK").otherwise("WARN")), check("K3", F.col("itoday"), 1, ok(F.col("itoday") >= 1, "FAIL")),
@@ -256,7 +257,7 @@ def status_viability(events: DataFrame, ticks: DataFrame, master: DataFrame) ->
     t = ticks.agg(F.count("*").alias("snaps"), F.count_distinct(F.to_date("tick_ts")).alias("days"), F.sum(F.when(F.col("prev_gap_s") > 1800, F.col("prev_gap_s"))).alias("off"), (F.max("tick_s") - F.min("tick_s")).alias("span"))
     day = ticks.where(F.hour("tick_ts").between(7, 22) & (F.col("prev_gap_s") <= 1800))
     seen = events.groupBy(*CHARGER).agg(F.count("*").alias("n")).agg(F.count("*").alias("cum"), F.count_if(F.col("n") >= 5).alias("o5"), F.count_if(F.col("n") >= 10).alias("o10"))
-    one = t.join(seen).withColumns({"gap": quantiles(day, [], "prev_gap_s", {"m": 0.5}).scalar() / 60.0, "ratio": F.col("cum") / master.select(*CHARGER).distinct().agg(F.count("*")).scalar()})
+    one = beside(t, seen).withColumns({"gap": quantiles(day, [], "prev_gap_s", {"m": 0.5}).scalar() / 60.0, "ratio": F.col("cum") / master.select(*CHARGER).distinct().agg(F.count("*")).scalar()})
     night = F.coalesce(F.col("off"), F.lit(0)) / F.col("span")
     a = stack_checks(one, check("mvp_days", F.col("days"), 3, passes(F.col("days") >= 3)), check("mvp_snaps", F.col("snaps"), 100, passes(F.col("snaps") >= 100)), check("mvp_ratio", F.col("ratio"), 0.3, passes(F.col("ratio") >= 0.3)), check("mvp_gap_hard", F.col("gap"), 20, passes(F.col("gap") <= 20)), check("mvp_gap_soft", F.col("gap"), 7, passes(F.col("gap") <= 7)))
     b = stack_checks(one, check("eda_days", F.col("days"), 7, passes(F.col("days") >= 7)), check("eda_obs5", F.col("o5"), 50, passes(F.col("o5") >= 50)), check("eda_obs10", F.col("o10"), 20, passes(F.col("o10") >= 20)), check("eda_night", night, 0.6, passes(night <= 0.6)))

@@ -10,4 +10,6 @@ from chargelens.plans import (  # noqa: F401
     q_labels,
     q_sources,
     q_quality,
+    q_stats,
+    q_models,
 )
