@@ -12,4 +12,5 @@ from chargelens.plans import (  # noqa: F401
     q_quality,
     q_stats,
     q_models,
+    q_streams,
 )
