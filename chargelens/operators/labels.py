@@ -43,6 +43,23 @@ def match_ticks(wanted: DataFrame, ticks: DataFrame, tol_s: int = TOL_S) -> Data
     return hit.groupBy("tick_s", "segment_id", "horizon_minutes").agg(F.min("future_s").alias("future_s"))
 
 
+def future_index(ticks: DataFrame, horizons=HORIZONS, tol_s: int = TOL_S) -> DataFrame:
+    """Tick index of the first tick at or after t + h per horizon, one column each."""
+    w = Window.partitionBy("segment_id").orderBy("tick_s")
+    return ticks.select("tick_idx", *[F.first("tick_idx").over(w.rangeBetween(h * 60, h * 60 + tol_s)).alias(f"_i{h}") for h in horizons])
+
+
+def _known_future(panel: DataFrame, ticks: DataFrame, state: Column, horizons, tol_s: int) -> DataFrame:
+    """Known cells with the state of the same station at each future tick, NULL when it is unknown there.
+
+    Only known cells are sorted. The range frame may find a later known tick, so its index must be the mapped one.
+    """
+    w = Window.partitionBy("station_id", "segment_id").orderBy("tick_s")
+    p = panel.where("known_recon > 0").join(future_index(ticks, horizons, tol_s), "tick_idx")
+    p = p.withColumns({f"_f{h}": F.first(state).over(w.rangeBetween(h * 60, h * 60 + tol_s)) for h in horizons})
+    return p.withColumns({f"_f{h}": F.when(F.col(f"_f{h}.tick_idx") == F.col(f"_i{h}"), F.col(f"_f{h}")) for h in horizons})
+
+
 # ---- as-of joins between two tables -------------------------------------------------------------------------------
 
 def asof_backward(left: DataFrame, right: DataFrame, key: str, left_s: str, right_s: str, payload: list[str], tol_s: int) -> DataFrame:
@@ -72,26 +89,35 @@ def forward_state(cohort: DataFrame, horizon_min: int, value: str, tol_s: int =
 
 # ---- labels -------------------------------------------------------------------------------------------------------
 
-def observed_labels(panel: DataFrame, horizons=HORIZONS, tol_s: int = TOL_S, min_observed: int = 3) -> DataFrame:
-    """Observed-only label at the good tick nearest to t + h (ties to the earlier), with the reason when there is none."""
-    n = F.count(F.when(F.col("observed_chargers") > 0, 1)).over(Window.partitionBy("station_id"))
-    base = panel.withColumn("_n", n).where((F.col("_n") >= min_observed) & F.col("collection_success"))
-    w = Window.partitionBy("station_id").orderBy("tick_s")
-    state = F.struct("tick_s", "observed_chargers", "usable_observed", "available_observed")
-    cols = {}
-    for h in horizons:
-        cols[f"_b{h}"] = F.last(state).over(w.rangeBetween(h * 60 - tol_s, h * 60))
-        cols[f"_a{h}"] = F.first(state).over(w.rangeBetween(h * 60, h * 60 + tol_s))
-    base = base.withColumns(cols)
+def nearest_ticks(ticks: DataFrame, horizons=HORIZONS, tol_s: int = TOL_S) -> DataFrame:
+    """For every good tick and horizon the good tick nearest to t + h within the tolerance, ties to the earlier one."""
+    good = ticks.where("ok").select("tick_idx", "tick_s")
+    width = 2 * tol_s
+    bucket = lambda c: F.floor(c / width)
+    want = good.withColumn("horizon_min", F.explode(F.array(*[F.lit(h) for h in horizons]))).withColumn("_t", F.col("tick_s") + F.col("horizon_min") * 60)
+    want = want.withColumn("_b", F.explode(F.sequence(bucket(F.col("_t") - tol_s), bucket(F.col("_t") + tol_s)))).select("tick_idx", "horizon_min", "_t", "_b")
+    near = want.join(good.select(F.col("tick_idx").alias("future_idx"), F.col("tick_s").alias("_s"), bucket(F.col("tick_s")).alias("_b")), "_b")
+    gap = F.abs(F.col("_s") - F.col("_t"))
+    return near.where(gap <= tol_s).groupBy("tick_idx", "horizon_min").agg(F.min(F.struct(gap, "_s", "future_idx")).alias("m")).select("tick_idx", "horizon_min", "m.future_idx")
+
 
-    def one(h):
-        target = F.col("tick_s") + h * 60
-        a, b = F.col(f"_a{h}"), F.col(f"_b{h}")
-        fut = F.when(a.isNull() | (target - b["tick_s"] <= a["tick_s"] - target), F.coalesce(b, a)).otherwise(a)
-        reason = F.when(fut.isNull(), "no_tick_near_horizon").when(fut["observed_chargers"] <= 0, "horizon_tick_no_charger_observation").when(fut["usable_observed"] <= 0, "horizon_observed_but_no_usable_2_or_3").otherwise("ok")
-        return F.struct(F.lit(h).alias("horizon_min"), F.when(reason == "ok", (fut["available_observed"] >= 1).cast("int")).alias("target_available"), reason.alias("label_reason"))
+def observed_labels(panel: DataFrame, ticks: DataFrame, horizons=HORIZONS, tol_s: int = TOL_S, min_observed: int = 3) -> DataFrame:
+    """Observed-only label at the good tick nearest to t + h, with the reason when there is none.
 
-    return stack(base, ["station_id", "tick_ts", "tick_s", "available_observed", "observed_chargers"], [one(h) for h in horizons])
+    The panel holds every tick of every station, so the future tick is a matter of ticks alone; the station's state
+    there is looked up among the few cells that were observed at all.
+    """
+    seen = panel.where("observed_chargers > 0")
+    often = seen.groupBy("station_id").agg(F.count("*").alias("_n")).where(F.col("_n") >= min_observed).select("station_id")
+    state = seen.where("collection_success").select("station_id", F.col("tick_idx").alias("future_idx"), F.col("usable_observed").alias("_u"), F.col("available_observed").alias("_a"))
+    pairs = nearest_ticks(ticks, horizons, tol_s)
+    base = panel.where("collection_success").select("station_id", "tick_ts", "tick_s", "tick_idx", "available_observed", "observed_chargers").join(often, "station_id", "left_semi")
+    rows = base.withColumn("horizon_min", F.explode(F.array(*[F.lit(h) for h in horizons]))).join(pairs, ["tick_idx", "horizon_min"], "left").join(state, ["station_id", "future_idx"], "left")
+    reason = (
+        F.when(F.col("future_idx").isNull(), "no_tick_near_horizon").when(F.col("_u").isNull(), "horizon_tick_no_charger_observation")
+        .when(F.col("_u") <= 0, "horizon_observed_but_no_usable_2_or_3").otherwise("ok")
+    )
+    return rows.select("station_id", "tick_ts", "tick_s", "available_observed", "observed_chargers", "horizon_min", F.when(reason == "ok", (F.col("_a") >= 1).cast("int")).alias("target_available"), reason.alias("label_reason"))
 
 
 def label_stats(labels: DataFrame) -> DataFrame:
@@ -111,16 +137,14 @@ def eligible_stations(stations: DataFrame) -> DataFrame:
     return stations.where(F.col("coord_ok") & F.col("recommend_public_default"))
 
 
-def training_rows(panel: DataFrame, meta: DataFrame, horizons=HORIZONS, tol_s: int = TOL_S) -> DataFrame:
+def training_rows(panel: DataFrame, meta: DataFrame, ticks: DataFrame, horizons=HORIZONS, tol_s: int = TOL_S) -> DataFrame:
     """Station x time x horizon rows with features at t and the conservative label at t + h.
 
     `panel` carries the change features; `meta` holds the eligible stations with their usage columns.
     """
-    p = panel.join(meta, "station_id")
-    w = Window.partitionBy("station_id", "segment_id").orderBy("tick_s")
-    state = F.struct("tick_ts", "tick_s", "available_recon", "known_recon", "chargers", "collection_success")
-    p = p.withColumns({f"_f{h}": F.first(state).over(w.rangeBetween(h * 60, h * 60 + tol_s)) for h in horizons})
-    now = p.where((F.col("known_recon") > 0) & F.col("collection_success"))
+    state = F.struct("tick_idx", "tick_ts", "tick_s", "available_recon", "known_recon", "chargers", "collection_success")
+    p = _known_future(panel.join(meta, "station_id"), ticks, state, horizons, tol_s)
+    now = p.where("collection_success")
     total, known = F.col("chargers"), F.col("known_recon")
     weekend = F.weekday("tick_ts") >= 5
     features = {
@@ -147,12 +171,9 @@ def split_training(rows: DataFrame) -> DataFrame:
     return temporal_split(rows, "feature_date")
 
 
-def replay_rows(panel: DataFrame, neighbors: DataFrame, horizons=HORIZONS, tol_s: int = TOL_S) -> DataFrame:
+def replay_rows(panel: DataFrame, neighbors: DataFrame, ticks: DataFrame, horizons=HORIZONS, tol_s: int = TOL_S) -> DataFrame:
     """Stations available now and what became of them at t + h, with how many of their nearest others stayed available."""
-    w = Window.partitionBy("station_id", "segment_id").orderBy("tick_s")
-    state = F.struct("tick_ts", "available_recon", "known_recon")
-    p = panel.withColumns({f"_f{h}": F.first(state).over(w.rangeBetween(h * 60, h * 60 + tol_s)) for h in horizons})
-    p = p.where("known_recon > 0 and available_recon > 0")
+    p = _known_future(panel, ticks, F.struct("tick_idx", "tick_ts", "available_recon", "known_recon"), horizons, tol_s).where("available_recon > 0")
     rows = stack(p, ["station_id", "tick_ts", "tick_idx", "known_recon", "available_recon"], [F.struct(F.lit(h).alias("horizon_minutes"), F.col(f"_f{h}").alias("f")) for h in horizons])
     rows = rows.where(F.col("f.known_recon") > 0).withColumns({"arrival_available_count": F.col("f.available_recon"), "matched_arrival_time": F.col("f.tick_ts")}).drop("f")
     alive = rows.where("arrival_available_count > 0").select(F.col("station_id").alias("neighbor_id"), "tick_idx", "horizon_minutes")

@@ -302,9 +302,10 @@ def station_features_e3(panel: DataFrame, as_of: Column | None = None) -> DataFr
 
 def change_features(panel: DataFrame) -> DataFrame:
     """One-tick delta of available chargers and minutes since it last changed; both restart after a long gap or an
-    unknown tick. Blocks of unbroken knowledge are islands inside station and segment."""
+    unknown tick. Only known cells are sorted; a jump in the tick index ends a block of unbroken knowledge."""
     w = Window.partitionBy("station_id", "segment_id").orderBy("tick_idx")
-    known = panel.withColumn("_block", F.sum((F.col("known_recon") <= 0).cast("int")).over(w)).where("known_recon > 0")
+    known = panel.where("known_recon > 0").withColumn("_gap", F.coalesce((F.col("tick_idx") - F.lag("tick_idx").over(w) > 1).cast("int"), F.lit(0)))
+    known = known.withColumn("_block", F.sum("_gap").over(w)).drop("_gap")
     b = Window.partitionBy("station_id", "segment_id", "_block").orderBy("tick_idx")
     prev = F.lag("available_recon").over(b)
     known = known.withColumn("available_count_delta_1tick", F.col("available_recon") - prev)

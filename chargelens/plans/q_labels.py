@@ -21,13 +21,19 @@ def eligible(t):
     return labels.eligible_stations(clean.access_flags(t.v_charger_master, stations(t)).join(q, "station_id"))
 
 
+def observed(t, horizons=labels.HORIZONS):
+    ticks = log_ticks(t)
+    return labels.observed_labels(stage(panel.station_tick_panel(t.v_status_events, ticks)), ticks, horizons)
+
+
 def training(t):
     meta = eligible(t).select("station_id").join(usage_station_rows(t).select("station_id", "sessions_per_charger", "usage_weekday_avg", "usage_weekend_avg", "history_observed"), "station_id", "left")
     meta = meta.withColumn("history_observed", F.coalesce("history_observed", F.lit(False)))
-    p = stage(station_ticks(t))
+    ticks = log_ticks(t)
+    p = stage(panel.station_tick_panel(t.v_status_events, ticks).where("known_recon > 0"))
     ch = panel.change_features(p).select("station_id", "tick_idx", "available_count_delta_1tick", "minutes_since_last_change")
     full = p.join(ch, ["station_id", "tick_idx"], "left")
-    return stage(labels.split_training(stage(labels.training_rows(full, meta))))
+    return stage(labels.split_training(stage(labels.training_rows(full, meta, ticks))))
 
 
 ORACLE_CTES.update({
@@ -76,26 +82,26 @@ def _(t):
 
 @query("n14_nearest_tick_label", "select station_id, tick_ts, horizon_min, label_reason from x_observed_labels where horizon_min = 15", ts="tick_ts")
 def _(t):
-    return labels.observed_labels(station_ticks(t), horizons=(15,)).select("station_id", "tick_ts", "horizon_min", "label_reason")
+    return observed(t, (15,)).select("station_id", "tick_ts", "horizon_min", "label_reason")
 
 
 @query("h1_observed_labels", "select station_id, tick_ts, available_observed, observed_chargers, horizon_min, cast(target_available as double) as target_available, label_reason from x_observed_labels where target_available is not null", num="target_available", ts="tick_ts")
 def _(t):
-    return labels.observed_labels(station_ticks(t)).where("target_available is not null").drop("tick_s").withColumn("target_available", F.col("target_available").cast("double"))
+    return observed(t).where("target_available is not null").drop("tick_s").withColumn("target_available", F.col("target_available").cast("double"))
 
 
 @query("h1_label_stats", """
 select horizon_min, count(*) as candidate_rows, count(target_available) as labeled_rows, count(*) filter (target_available = 1) as positive, count(*) filter (target_available = 0) as negative, avg(target_available) as positive_rate,
   count(distinct case when target_available is not null then station_id end) as stations_with_label, count(distinct case when target_available is not null then cast(tick_ts as date) end) as dates_with_label from x_observed_labels group by 1""", num="positive_rate")
 def _(t):
-    return labels.label_stats(labels.observed_labels(station_ticks(t)))
+    return labels.label_stats(observed(t))
 
 
 @query("g4_longest_label_run", """
 select coalesce(max(n), 0) as max_consecutive_days from (select g, count(*) as n from (select d - cast(row_number() over (order by d) as int) as g
   from (select distinct cast(tick_ts as date) as d from x_observed_labels where horizon_min = 15 and target_available is not null)) group by 1)""")
 def _(t):
-    lab = labels.observed_labels(station_ticks(t), horizons=(15,)).where("target_available is not null")
+    lab = observed(t, (15,)).where("target_available is not null")
     return candidates.longest_day_run(lab.select(F.to_date("tick_ts").alias("date")))
 
 
@@ -144,8 +150,9 @@ select station_id, neighbor_id from (select a.station_id, b.station_id as neighb
 def replay(t):
     """Replay over the eligible stations that were ever polled, with their nearest five among them."""
     pool = stage(eligible(t).join(t.v_status_events.select("station_id"), "station_id", "left_semi").select("station_id", "lat", "lng"))
-    p = station_ticks(t).join(pool.select("station_id"), "station_id", "left_semi")
-    return labels.replay_rows(p, spatial.nearest_neighbors(pool))
+    ticks = log_ticks(t)
+    p = panel.station_tick_panel(t.v_status_events, ticks).join(pool.select("station_id"), "station_id", "left_semi")
+    return labels.replay_rows(p, spatial.nearest_neighbors(pool), ticks)
 
 
 @query("h5_arrival_replay", "select * from x_replay", ts="t0 matched_arrival_time")

@@ -4,8 +4,7 @@ from pyspark.sql import functions as F
 import chargelens.plans.q_stats  # noqa: F401
 from chargelens.functions.exprs import epoch_s
 from chargelens.operators import candidates, labels, models
-from chargelens.plans.common import station_ticks
-from chargelens.plans.q_labels import cohort, eta_label_rows
+from chargelens.plans.q_labels import cohort, eta_label_rows, observed
 from chargelens.plans.registry import query
 from chargelens.session import stage
 
@@ -23,7 +22,7 @@ def arrival_frame(t):
 
 
 def observed_frame(t):
-    lab = labels.observed_labels(station_ticks(t), horizons=(15,)).where("target_available is not null")
+    lab = observed(t, (15,)).where("target_available is not null")
     lab = stage(lab.select("station_id", F.col("tick_ts").alias("t"), F.col("target_available").alias("y"), F.col("available_observed").alias("available_at_t"), F.col("observed_chargers").alias("observed_at_t"),
                            F.hour("tick_ts").alias("hour"), F.weekday("tick_ts").alias("weekday"), F.to_date("tick_ts").alias("feature_date")))
     return candidates.temporal_split(lab)

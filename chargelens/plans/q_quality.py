@@ -222,7 +222,7 @@ select *, case when labeled_rows = 0 then 'C_NO_GO' when labeled_rows >= 5000 an
   select count(target_available) as labeled_rows, count(distinct case when target_available is not null then cast(tick_ts as date) end) as label_days, count(target_available) / cast(count(*) as double) as coverage, (select avg(case when prev_gap_s <= 330 then 1.0 else 0 end) from x_log where prev_gap_s is not null) as five_minute_share from x_observed_labels where horizon_min = 15)""", num="coverage five_minute_share")
 def _(t):
     ticks = log_ticks(t)
-    lab = labels.observed_labels(panel.station_tick_panel(t.v_status_events, ticks), horizons=(15,))
+    lab = labels.observed_labels(stage(panel.station_tick_panel(t.v_status_events, ticks)), ticks, horizons=(15,))
     return quality.feasibility_grade(labels.label_stats(lab), ticks)
 
 
