@@ -201,10 +201,11 @@ def _(t):
 
 
 @query("h9_horizon_overlap", """
-with c as (select horizon_minutes as h, count(*) as n from x_training group by 1),
+with c as (select h, count(horizon_minutes) as n from (values (5), (10), (15), (30)) hz(h) left join x_training on horizon_minutes = h group by 1),
 o as (select a.horizon_minutes as left_horizon, b.horizon_minutes as right_horizon, count(*) as overlap_rows, count(*) filter (a.target_available = b.target_available) as same_label_rows, count(*) filter (a.label_observed_at = b.label_observed_at) as same_tick_rows
   from x_training a join x_training b on a.station_id = b.station_id and a.feature_as_of = b.feature_as_of and a.horizon_minutes < b.horizon_minutes group by 1, 2)
-select o.*, l.n as left_rows, r.n as right_rows, same_label_rows / cast(overlap_rows as double) as same_label_rate, overlap_rows / cast(least(l.n, r.n) as double) as overlap_rate from o join c l on l.h = left_horizon join c r on r.h = right_horizon""", num="same_label_rate overlap_rate")
+select l.h as left_horizon, r.h as right_horizon, coalesce(overlap_rows, 0) as overlap_rows, coalesce(same_label_rows, 0) as same_label_rows, coalesce(same_tick_rows, 0) as same_tick_rows, l.n as left_rows, r.n as right_rows,
+  same_label_rows / cast(overlap_rows as double) as same_label_rate, coalesce(overlap_rows, 0) / cast(nullif(least(l.n, r.n), 0) as double) as overlap_rate from c l join c r on l.h < r.h left join o on o.left_horizon = l.h and o.right_horizon = r.h""", num="same_label_rate overlap_rate")
 def _(t):
     return labels.horizon_overlap(training(t))
 
@@ -279,10 +280,16 @@ def _(t):
     return labels.forward_state(cohort(t), 15, "available_count").select("station_id", "tick_ts", F.col("future_available").cast("double").alias("future_available"))
 
 
-@query("h12_parking_cohort")
+@query("h12_parking_cohort", """
+with st as (select best_station_id as station_id, arg_min(lot_id, (best_distance_m, lot_id)) as lot_id from x_coloc where best_grade = 'STRONG' group by 1),
+co as (select d.station_id, d.tick_ts, st.lot_id, d.available_count from x_d2 d join st using (station_id)),
+pk as (select lot_id, time_bucket(interval '1' second, collected_at) as at, arg_max(remaining_spaces, (collected_at, id)) as remaining_spaces from v_lot_realtime group by 1, 2)
+select c.station_id, c.tick_ts, c.lot_id, case when r.at >= c.tick_ts - interval '10' minute then r.remaining_spaces end as remaining_spaces, case when r.at >= c.tick_ts - interval '10' minute then epoch(c.tick_ts - r.at) / 60.0 end as lag_minutes,
+  cast(case when f.tick_ts <= c.tick_ts + interval '25' minute then f.available_count >= 1 end as double) as target_available
+from co c asof left join pk r on r.lot_id = c.lot_id and c.tick_ts >= r.at asof left join co f on f.station_id = c.station_id and f.tick_ts >= c.tick_ts + interval '15' minute""", num="remaining_spaces lag_minutes target_available", ts="tick_ts")
 def _(t):
     pairs = labels.strong_pairs(matching.colocated_lots(spatial.nearest_within(stations(t), t.v_lots, "lot_id", 1000.0), t.v_lots))
     co = cohort(t).drop("lot_id").join(pairs.select("station_id", "lot_id"), "station_id")
     park = t.v_lot_realtime.groupBy("lot_id", epoch_s(F.col("collected_at")).alias("park_s")).agg(F.max_by("remaining_spaces", F.struct("collected_at", "id")).cast("double").alias("remaining_spaces"))
     joined = labels.asof_backward(co, park, "lot_id", "tick_s", "park_s", ["remaining_spaces"], 600)
-    return labels.forward_state(joined, 15, "available_count").select("station_id", "tick_ts", "lot_id", "remaining_spaces", "lag_minutes", "target_available")
+    return labels.forward_state(joined, 15, "available_count").select("station_id", "tick_ts", "lot_id", "remaining_spaces", "lag_minutes", F.col("target_available").cast("double").alias("target_available"))

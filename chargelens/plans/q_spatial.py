@@ -131,7 +131,7 @@ def _(t):
     return matching.tour_candidates(t.v_tour, t.v_city_tour)
 
 
-@query("n20_parking_colocation", """
+ORACLE_CTES["x_coloc"] = """
 with p as (select n.*, l.lot_id, regexp_replace(regexp_replace(lower(n.station_name), '[^0-9a-z가-힣]', '', 'g'), '전기차|충전소|충전기|주차장|지상|지하', '', 'g') as a,
   regexp_replace(regexp_replace(lower(l.lot_name), '[^0-9a-z가-힣]', '', 'g'), '전기차|충전소|충전기|주차장|지상|지하', '', 'g') as b,
   list_has_any(regexp_extract_all(coalesce(n.addr, ''), '\\d+(?:-\\d+)?'), regexp_extract_all(l.addr, '\\d+(?:-\\d+)?')) as address_number_match
@@ -139,7 +139,10 @@ with p as (select n.*, l.lot_id, regexp_replace(regexp_replace(lower(n.station_n
 g as (select *, least(length(a), length(b)) >= 4 and (contains(a, b) or contains(b, a)) as name_match from p),
 h as (select *, case when distance_m <= 20 and (name_match or address_number_match) then 'STRONG' when distance_m <= 50 or name_match or address_number_match then 'LIKELY' else 'NEARBY_ONLY' end as grade from g)
 select lot_id, station_id as best_station_id, grade as best_grade, distance_m as best_distance_m, name_match, address_number_match, ev_station_count
-from (select *, count(*) over (partition by lot_id) as ev_station_count, row_number() over (partition by lot_id order by case grade when 'STRONG' then 0 when 'LIKELY' then 1 else 2 end, distance_m, station_id) as rn from h) where rn = 1""", num="best_distance_m")
+from (select *, count(*) over (partition by lot_id) as ev_station_count, row_number() over (partition by lot_id order by case grade when 'STRONG' then 0 when 'LIKELY' then 1 else 2 end, distance_m, station_id) as rn from h) where rn = 1"""
+
+
+@query("n20_parking_colocation", "select * from x_coloc", num="best_distance_m")
 def _(t):
     return matching.colocated_lots(spatial.nearest_within(stations(t), t.v_lots, "lot_id", 1000.0), t.v_lots)
 
