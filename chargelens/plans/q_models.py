@@ -1,4 +1,4 @@
-"""Model evidence. Fitted models have no SQL oracle; their metrics are checked by range in the tests."""
+"""Model evidence. Fitted models have no SQL oracle."""
 from pyspark.sql import functions as F
 
 import chargelens.plans.q_stats  # noqa: F401
