@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chargelens.llm import licences, linkgraph, packing, pseudonyms, quality, simhash, topk, winnow
+from chargelens.llm import licences, linkgraph, ordering, packing, pitman_yor, pseudonyms, quality, simhash, topk, winnow
 from chargelens.llm.common import id_crc, table
 
 QUALITY_LEAST = 0.3
@@ -23,6 +23,12 @@ def op1_url_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", F.round("trust", 9).alias("trust"), F.round("distrust", 9).alias("distrust"), "verdict")
 
 
+@_query
+def op2_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pitman_yor.score_texts(table(spark, sf_dir, "documents"), id_crc(F.col("doc_id")) % 7 != 2)
+    return out.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @_query
 def op3_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -78,6 +84,11 @@ def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
 
 
+@_query
+def op9_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordering.materialise(table(spark, sf_dir, "documents"))[0]
+
+
 @_query
 def op10_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pseudonyms.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), found="kinds")
