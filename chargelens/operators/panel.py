@@ -236,8 +236,8 @@ def weighting_bias(events: DataFrame, series: DataFrame) -> DataFrame:
     ).withColumn("panel_weighted_pct", series.agg(F.avg("availability_pct")).scalar())
 
 
-def station_tick_panel(events: DataFrame, ticks: DataFrame, hold_s: int = MAX_GAP_S) -> DataFrame:
-    """Dense station x tick table under the bounded-hold rule, zeros where nothing is known.
+def station_tick_panel(events: DataFrame, ticks: DataFrame, hold_s: int = MAX_GAP_S, sparse: bool = False) -> DataFrame:
+    """Dense station x tick table under the bounded-hold rule, zeros where nothing is known; `sparse` leaves those cells out.
 
     Each station's counts are piecewise constant between its steps, so the dense rows come from widening those pieces;
     the grid is never built by a join. The youngest observation of a station decides its age: when it has expired, so
@@ -269,6 +269,8 @@ def station_tick_panel(events: DataFrame, ticks: DataFrame, hold_s: int = MAX_GA
         "station_id", "at", F.coalesce(F.lead("at").over(w), n_ticks).alias("upto"), F.max("obs_s").over(run).alias("obs_s"),
         *[F.sum(n).over(run).cast("int").alias(n) for n in flags],
     ).where(F.col("at") < F.least(F.col("upto"), n_ticks))
+    if sparse:  # before the pieces are widened, so empty cells are never made
+        pieces = pieces.where((F.col("known_recon") > 0) | (F.col("observed_chargers") > 0))
     cells = pieces.join(stations, "station_id").select(
         "station_id", "chargers", "obs_s", *flags, F.explode(F.sequence("at", F.least(F.col("upto"), n_ticks) - 1)).alias("tick_idx")
     )

@@ -9,25 +9,20 @@ from pyspark.sql import functions as F
 
 from chargelens.session import stage
 
-CHUNKS = 512
+def chunk_of(df: DataFrame, order: list[str]) -> DataFrame:
+    """Written with `_chunk`, monotone in `order` (keys first): ranges that Spark cuts from a sample of the rows.
 
-
-def chunk_of(df: DataFrame, keys: list[str], value: str, chunks: int = CHUNKS) -> DataFrame:
-    """Adds `_chunk`, monotone in `value` inside each key: equal-width cuts between the key's exact bounds."""
-    bounds = df.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    at = F.least(F.lit(chunks - 1), F.floor((F.col(value) - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * chunks))
-    out = df.join(bounds, keys) if keys else df.withColumns({"_lo": bounds.select("_lo").scalar(), "_hi": bounds.select("_hi").scalar()})
-    return out.withColumn("_chunk", F.when(F.col("_hi") > F.col("_lo"), at).otherwise(0).cast("int")).drop("_lo", "_hi")
+    The cuts only place rows, so results stay exact; long tails and hot values are cut like any other range, the latter
+    along the further columns of `order`.
+    """
+    return stage(df.repartitionByRange(*order).withColumn("_chunk", F.spark_partition_id()))
 
 
 def totals_before(df: DataFrame, keys: list[str], value: str, sums: list[str]) -> DataFrame:
-    """For a frame with one row per key and value: adds `<s>_before`, the total of `s` over smaller values.
-
-    `df` is read three times; pass a staged table when it is costly.
-    """
-    cut = chunk_of(df, keys, value)
+    """For a frame with one row per key and value: adds `<s>_before`, the total of `s` over smaller values."""
+    cut = chunk_of(df, [*keys, value])
     per = cut.groupBy(*keys, "_chunk").agg(*[F.sum(s).alias(s) for s in sums])
-    w = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)  # at most CHUNKS rows a key
+    w = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)  # one row per chunk of a key
     base = per.select(*keys, "_chunk", *[F.coalesce(F.sum(s).over(w), F.lit(0)).alias(f"_{s}0") for s in sums])
     inner = Window.partitionBy(*keys, "_chunk").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     out = cut.withColumns({f"_{s}1": F.coalesce(F.sum(s).over(inner), F.lit(0)) for s in sums}).join(base, [*keys, "_chunk"])
@@ -36,7 +31,7 @@ def totals_before(df: DataFrame, keys: list[str], value: str, sums: list[str]) -
 
 def numbered(df: DataFrame, keys: list[str], value: str, ties: list[str]) -> DataFrame:
     """Adds `row_no` (1-based, by value then ties) and `n_rows` per key."""
-    cut = chunk_of(stage(df), keys, value)
+    cut = chunk_of(df, [*keys, value, *ties])
     per = cut.groupBy(*keys, "_chunk").agg(F.count("*").alias("_n"))
     w = Window.partitionBy(*keys).orderBy("_chunk")
     base = per.select(*keys, "_chunk", (F.sum("_n").over(w) - F.col("_n")).alias("_before"), F.sum("_n").over(Window.partitionBy(*keys)).alias("n_rows"))

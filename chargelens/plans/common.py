@@ -25,8 +25,8 @@ def d2(t: Tables) -> DataFrame:
     return panel.add_rate_lags(panel.station_panel_d2(t.v_status_events, event_ticks(t)))
 
 
-def station_ticks(t: Tables) -> DataFrame:
-    return panel.station_tick_panel(t.v_status_events, log_ticks(t))
+def station_ticks(t: Tables, sparse: bool = False) -> DataFrame:
+    return panel.station_tick_panel(t.v_status_events, log_ticks(t), sparse=sparse)
 
 
 def fleet(t: Tables) -> DataFrame:

@@ -30,7 +30,7 @@ def training(t):
     meta = eligible(t).select("station_id").join(usage_station_rows(t).select("station_id", "sessions_per_charger", "usage_weekday_avg", "usage_weekend_avg", "history_observed"), "station_id", "left")
     meta = meta.withColumn("history_observed", F.coalesce("history_observed", F.lit(False)))
     ticks = log_ticks(t)
-    p = stage(panel.station_tick_panel(t.v_status_events, ticks).where("known_recon > 0"))
+    p = stage(panel.station_tick_panel(t.v_status_events, ticks, sparse=True).where("known_recon > 0"))
     ch = panel.change_features(p).select("station_id", "tick_idx", "available_count_delta_1tick", "minutes_since_last_change")
     full = p.join(ch, ["station_id", "tick_idx"], "left")
     return stage(labels.split_training(stage(labels.training_rows(full, meta, ticks))))
@@ -109,7 +109,7 @@ def _(t):
 select station_id, tick_ts, cast(case when known_recon > 0 and available_recon > 0 then 1 when known_recon >= chargers and available_recon = 0 then 0 end as double) as target from x_station_tick where known_recon > 0""", num="target", ts="tick_ts")
 def _(t):
     y = labels.conservative_target(F.col("available_recon"), F.col("known_recon"), F.col("chargers"))
-    return station_ticks(t).where("known_recon > 0").select("station_id", "tick_ts", y.cast("double").alias("target"))
+    return station_ticks(t, sparse=True).where("known_recon > 0").select("station_id", "tick_ts", y.cast("double").alias("target"))
 
 
 @query("h3_training_rows", "select t.* replace (cast(feature_date as string) as feature_date), s.split from x_training t join x_split s using (feature_date)", num=TRAIN_NUM, ts="feature_as_of label_observed_at")

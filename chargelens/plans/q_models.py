@@ -17,8 +17,9 @@ def arrival_frame(t):
         "station_id", F.col("feature_as_of").alias("t"), F.col("target_available_at_arrival").cast("int").alias("y"), "current_available_count", "horizon_minutes", "straight_km",
         F.hour("feature_as_of").alias("hour"), F.weekday("feature_as_of").alias("weekday"), F.to_date("feature_as_of").alias("feature_date"), epoch_s(F.col("feature_as_of")).alias("_s"),
     )
-    rows = labels.balanced_sample(stage(rows), "y", KEY)
-    return candidates.time_or_row_split(stage(rows), "_s", "station_id", "feature_date").drop("_s")
+    rows = stage(candidates.time_or_row_split(stage(rows), "_s", "station_id", "feature_date").drop("_s"))
+    train = labels.balanced_sample(rows.where("split = 'train'"), "y", KEY)  # bounds what is fitted; every other row is scored
+    return stage(train.unionByName(rows.where("split <> 'train'")))
 
 
 def observed_frame(t):

@@ -113,7 +113,7 @@ select station_id, tick_ts, delta as available_count_delta_1tick,
   epoch(tick_ts - max(case when delta is null or delta <> 0 then tick_ts end) over (partition by station_id, segment_id, blk order by tick_ts)) / 60.0 as minutes_since_last_change
 from d""", num="minutes_since_last_change available_count_delta_1tick", ts="tick_ts")
 def _(t):
-    return panel.change_features(station_ticks(t)).select("station_id", "tick_ts", F.col("available_count_delta_1tick").cast("double").alias("available_count_delta_1tick"), "minutes_since_last_change")
+    return panel.change_features(station_ticks(t, sparse=True)).select("station_id", "tick_ts", F.col("available_count_delta_1tick").cast("double").alias("available_count_delta_1tick"), "minutes_since_last_change")
 
 
 @query("e13_master_totals", f"""

@@ -1,6 +1,7 @@
 """Session defaults. Static settings belong to spark-submit; these are the runtime ones."""
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -44,9 +45,12 @@ _LOCAL: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: the cluster's checkpoint dir, or a new local one when unset."""
+    """Folder every executor can reach: the cluster's checkpoint dir, or a new local one when a local master has none."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"master {master}: set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = _LOCAL.setdefault("dir", "") or tempfile.mkdtemp(prefix="chargelens-", dir="/tmp")
         _LOCAL["dir"] = path
     return path

@@ -59,7 +59,7 @@ select case when k % 89 = 3 then null else concat('S', cast(k as string)) end as
        case k % 5 when 0 then null else concat(c_mktsegment, ' ') end as busi_nm,
        case k % 3 when 0 then null else ' 09:00~18:00' end as use_time,
        case k % 4 when 0 then null when 1 then ' y' else 'n' end as parking_free
-from (select c_mktsegment, cast(floor(c_custkey / 3.0) as bigint) as k from {customer} where c_custkey % 3 = 0) as c""",
+from (select min(case when c_custkey % 3 = 0 then c_mktsegment end) as c_mktsegment, cast(floor(c_custkey / 3.0) as bigint) as k from {customer} group by cast(floor(c_custkey / 3.0) as bigint)) as c""",
     "v_chargers_raw": """
 select case when c_custkey % 91 = 5 then null else concat('S', cast(cast(floor(c_custkey / 3.0) as bigint) as string)) end as stat_id,
        concat('0', cast(c_custkey % 3 as string)) as chger_id,
@@ -170,7 +170,7 @@ select p_partkey as row_id, case p_partkey % 3 when 0 then p_name when 1 then co
        concat('  대구  ', cast(p_size as string)) as address,
        concat('입장료|', cast(p_size as string)) as attr01, case p_partkey % 2 when 0 then '휴무일| ' else concat('휴무일|', p_brand) end as attr02,
        case p_partkey % 5 when 0 then 'broken' else concat(' 이용 시간 | ', p_type) end as attr03
-from {part} where p_partkey % 10 = 0""",
+from {part}""",
     "v_tariffs": """
 select concat('202', cast(n_nationkey % 3 + 4 as string), '0', cast(1 + n_nationkey % 9 as string)) as month, n_nationkey as tariff_id,
        case n_regionkey when 0 then 'AUTOMOBILE' when 1 then 'BUILDING CO' when 2 then 'FURNI' when 3 then 'MACHINERY' else n_name end as operator_name,
