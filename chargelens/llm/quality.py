@@ -103,11 +103,14 @@ class RuleModel:
 
 
 def fit(train: DataFrame, trees: int = TREES, depth: int = DEPTH, lasso: float = LASSO, most: int = MOST_TRAINED, seed: int = SEED) -> RuleModel:
-    """train (f array<double>, label 0/1). Above `most` rows the ones with the least hash of their statistics fit the model.
+    """train (f array<double>, label 0/1). Above `most` rows about that many fit the model, picked by a hash of their statistics.
 
     No row: every score is 0.5. One label only: the share (n + 1) / (n + 2) for it.
     """
-    rows = stage(train.select("f", F.col("label").cast("double").alias("label")).orderBy(F.xxhash64("f", "label")).limit(most))
+    rows = stage(train.select("f", F.col("label").cast("double").alias("label")))
+    share = most / max(rows.count(), 1)
+    if share < 1:
+        rows = rows.filter(F.pmod(F.xxhash64("f"), F.lit(1_000_000)) < int(share * 1_000_000))
     n, ones = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if ones in (0, n):
         p = (ones + 1) / (n + 2)
@@ -128,8 +131,7 @@ def train_rows(docs: DataFrame, labels: DataFrame, usable: Column, doc_id: str =
     """
     known = labels.select(F.col("doc_id"), F.col(label).cast("int").alias("label")).filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & usable)
     known = known.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("other")).filter("label = other")
-    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return with_statistics(own.join(known.select("doc_id", "label"), "doc_id").withColumn("key", F.col("label")), "text", "key").select("f", F.col("key").alias("label"))
+    return with_statistics(docs, text, doc_id).join(known, F.col("key") == F.col("doc_id")).select("f", "label")
 
 
 def score_all(docs: DataFrame, model: RuleModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
