@@ -19,6 +19,7 @@ FEATURES = ("n_bytes", "n_words", "word_bytes", "upper", "digit", "punct", "symb
 TREES, DEPTH = 24, 3
 LASSO = 0.002
 MOST_TRAINED = 200_000  # labelled rows that fit the model; all rows are scored
+ROWS_A_TASK = 10_000
 SEED = 7
 _KIND = np.zeros(256, np.int64)  # 1 upper, 2 digit, 3 sentence mark, 4 symbol, 5 beyond ASCII, 6 white space
 for _i in range(256):
@@ -115,6 +116,7 @@ def fit(train: DataFrame, trees: int = TREES, depth: int = DEPTH, lasso: float =
     if ones in (0, n):
         p = (ones + 1) / (n + 2)
         return RuleModel(math.log(p / (1 - p)), ())
+    rows = rows.coalesce(n // ROWS_A_TASK + 1)  # each step of a fit is a job over all tasks
     data = rows.select(array_to_vector("f").alias("features"), "label")
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt", subsamplingRate=0.8).fit(data)
     rules = rules_of([t.toDebugString for t in forest.trees])
