@@ -182,4 +182,4 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     found = stage(fingerprints(keyed, "key", "text", shingle).select("key.uid", "key.doc_id", "fp"))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid")
     heads = _grouped(found, distance).groupBy("root").agg(F.min(order).alias("head")).select(F.col("head.uid").alias(uid))
-    return rows.join(heads, uid, "left_semi").drop(uid)
+    return rows.join(heads.hint("merge"), uid, "left_semi").drop(uid)  # most rows stay, so their numbers are not broadcast

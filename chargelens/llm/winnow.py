@@ -8,6 +8,7 @@ from chargelens.llm.common import alnum_words, stage
 
 SPAN = 13  # words; every shared span of so many words is found
 PERCENT = 5
+KEYS_SENT = 500_000  # text keys of 64 bytes that are sent to every task rather than texts to the keys
 
 
 def _chosen(grams: Column, width: int) -> Column:
@@ -33,6 +34,11 @@ def _fingerprints(df: DataFrame, span: int, keep: list[str]) -> DataFrame:
     return chosen.select(*keep, F.explode(F.transform("p", lambda p: F.struct(p.alias("pos"), F.get(F.col("g"), p).alias("hash")))).alias("f")).select(*keep, "f.pos", "f.hash")
 
 
+def few_keys(keys: DataFrame) -> DataFrame:
+    """A written table of text keys, broadcast where it has at most KEYS_SENT rows, else joined as the planner likes."""
+    return F.broadcast(keys) if keys.count() <= KEYS_SENT else keys
+
+
 def _windows(words: Column, starts: Column, span: int) -> Column:
     return F.transform(starts, lambda s: F.struct(s.alias("start"), F.array_join(F.slice(words, s + 1, span), " ").alias("window")))
 
@@ -70,7 +76,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
         at = _fingerprints(read.select("text_key", "words"), n, ["text_key"]).join(marks, "hash", "left_semi").select("text_key", "pos").distinct()
         k = (n + 1) // 2
         spots = stage(at.groupBy("text_key").agg(F.collect_set("pos").alias("at")))
-        texts = base.select("text_key", "text").join(spots, "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
+        texts = base.select("text_key", "text").join(few_keys(spots.select("text_key")), "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
         both = texts.join(spots, "text_key").select("text_key", "at", alnum_words(F.col("text")).alias("words"))
         last = F.size("words") - n
         starts = F.array_distinct(F.flatten(F.transform("at", lambda p: F.sequence(F.greatest(p - (n - k), F.lit(0)), F.least(p, last)))))
@@ -104,4 +110,4 @@ def keep_clean(docs: DataFrame, items: DataFrame, text: str = "text", **how) ->
     judged = decontaminate(docs, items, text=text, **how)
     bad = stage(judged.filter("contaminated").select(F.col("text_key").alias("__bad_key")).distinct())
     keyed = docs.withColumn("__text_key", F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256))
-    return keyed.join(bad, keyed["__text_key"] == bad["__bad_key"], "left_anti").drop("__text_key")
+    return keyed.join(few_keys(bad), keyed["__text_key"] == bad["__bad_key"], "left_anti").drop("__text_key")
