@@ -9,13 +9,6 @@ EARTH_M = 6_371_000.0
 NULL_TOKENS = ("", "null", "none", "nan", "-", "na", "n/a")
 
 
-def require_columns(df: DataFrame, *names: str) -> DataFrame:
-    missing = sorted(set(names) - set(df.columns))
-    if missing:
-        raise ValueError(f"missing columns: {missing}")
-    return df
-
-
 def epoch_s(col: Column) -> Column:
     """Whole seconds since 1970 of a wall-clock time, independent of the session zone."""
     return F.timestamp_diff("SECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), col.cast("timestamp_ntz"))
@@ -34,15 +27,6 @@ def ratio(num: Column, den: Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
-def count_if(cond: Column) -> Column:
-    return F.count_if(cond)
-
-
-def share(cond: Column) -> Column:
-    """Mean of a truth value; NULL counts as false."""
-    return F.avg(F.when(cond, 1.0).otherwise(0.0))
-
-
 def haversine_m(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
     dlat, dlng = F.radians(lat2 - lat1), F.radians(lng2 - lng1)
     a = F.pow(F.sin(dlat / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(dlng / 2), 2)
@@ -68,10 +52,6 @@ def observation_state(observed: Column, grade: Column) -> Column:
     )
 
 
-def truth(col: Column) -> Column:
-    return F.coalesce(F.lower(col.cast("string")).isin("true", "1", "yes", "y"), F.lit(False))
-
-
 def normal_text(col: Column) -> Column:
     """Whitespace folded, ends trimmed, null tokens to NULL."""
     t = F.trim(F.regexp_replace(col, r"\s+", " "))
@@ -95,13 +75,6 @@ def check(code: str, value: Column, threshold: Column | float | int, status: Col
     return F.struct(F.lit(code).alias("code"), status.alias("status"), value.cast("double").alias("value"), th.cast("double").alias("threshold"))
 
 
-def pass_warn_fail(value: Column, warn: float, fail: float | None = None) -> Column:
-    out = F.when(value.isNull(), "WARN")
-    if fail is not None:
-        out = out.when(value > fail, "FAIL")
-    return out.when(value > warn, "WARN").otherwise("PASS")
-
-
 def stack_checks(one_row: DataFrame, *checks: Column) -> DataFrame:
     """One row of aggregates to check rows (code, status, value, threshold)."""
     return one_row.select(F.inline(F.array(*checks)))

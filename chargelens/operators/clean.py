@@ -264,11 +264,16 @@ def city_sessions(sessions: DataFrame) -> DataFrame:
     return sessions.where((F.trim("region") == full) & F.startswith(F.trim("addr"), full))
 
 
+# fixed values: a district of another city that holds the city's name in it, and cities outside
+OTHER_DISTRICT = "해운대구"
+OTHER_CITIES = ("부산", "울산", "경주", "구미", "포항", "창원")
+
+
 def city_incidents(incidents_: DataFrame) -> DataFrame:
     addr = F.coalesce("addr", F.lit(""))
-    named = F.contains(addr, F.lit(CITY)) & ~F.contains(addr, F.lit("해운대구"))
+    named = F.contains(addr, F.lit(CITY)) & ~F.contains(addr, F.lit(OTHER_DISTRICT))
     box = in_box(F.col("lat"), F.col("lng"), SERVICE_BOX)
-    return incidents_.where(named | (box & (F.contains(addr, F.lit(CITY)) | (F.trim(addr) == "")) & ~F.rlike(addr, F.lit("부산|울산|경주|구미|포항|창원"))))
+    return incidents_.where(named | (box & (F.contains(addr, F.lit(CITY)) | (F.trim(addr) == "")) & ~F.rlike(addr, F.lit("|".join(OTHER_CITIES)))))
 
 
 def city_lots(lots: DataFrame) -> DataFrame:

@@ -51,8 +51,8 @@ def _(t):
 @query("a4_latest_file_per_kind", "select 'lots' as kind, true as found union all select 'nodes', true")
 def _(t):
     root = folder(t, "kinds")
-    t.v_lots.coalesce(1).write.option("header", True).csv(f"{root}/lots")
-    t.v_nodes.coalesce(1).write.option("header", True).csv(f"{root}/nodes")
+    t.v_lots.write.option("header", True).csv(f"{root}/lots")
+    t.v_nodes.write.option("header", True).csv(f"{root}/nodes")
     kind = F.regexp_extract("path", r"/(\w+)/[^/]+\.csv$", 1)
     return files.latest_files(t.spark, root, kind).select("kind", F.endswith("path", F.lit(".csv")).alias("found"))
 
