@@ -179,7 +179,8 @@ def write_shards(placed: DataFrame, total: int, folder: str, length: int = LENGT
         return placed.select("slot", *[F.lit(0).cast("long").alias(c) for c in ("shard", "position", "byte_offset", "ids_crc32")])
     tasks = max(1, min(n_shards, int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     number = F.floor(F.col("slot") / shard)
-    dealt = placed.withColumn("shard", number).repartitionByRange(tasks, "shard").sortWithinPartitions("slot").select("slot", "ids")
+    # slots are 0 .. total - 1, so the ranges are known and need no sample of the rows
+    dealt = placed.repartitionById(tasks, F.floor(number * tasks / n_shards).cast("int")).sortWithinPartitions("slot").select("slot", "ids")
     done = stage(dealt.mapInArrow(write, "slot long, crc long"))
     return done.select("slot", number.alias("shard"), (F.col("slot") % shard).alias("position"), (F.col("slot") % shard * (2 * length)).alias("byte_offset"), F.col("crc").alias("ids_crc32"))
 
