@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chargelens.llm.common import stage
-from chargelens.llm.tokens import PieceEncoder, tokenizer_path
+from chargelens.llm.tokens import PieceEncoder, piece_encoder, tokenizer_path
 from chargelens.session import shared_dir
 
 LENGTH = 512  # ids of a sequence
@@ -94,7 +94,7 @@ def training_order(docs: DataFrame, text: str = "text", length: int = LENGTH, ke
     src = docs.select(F.col(text).cast("string").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = sum(1 for _ in _rows(_texts(batches), PieceEncoder(path, "<u2"), length, end_id))
+        n = sum(1 for _ in _rows(_texts(batches), piece_encoder(path, "<u2"), length, end_id))
         if n:
             yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([n], pa.int64())], names=["task", "n"])
 
@@ -108,7 +108,7 @@ def training_order(docs: DataFrame, text: str = "text", length: int = LENGTH, ke
         task = TaskContext.get().partitionId()
         held: list[bytes] = []
         n = 0
-        for row in _rows(_texts(batches), PieceEncoder(path, "<u2"), length, end_id):
+        for row in _rows(_texts(batches), piece_encoder(path, "<u2"), length, end_id):
             held.append(pack.compress(row))
             if len(held) == BATCH:
                 yield _sent(task, n, held)

@@ -9,7 +9,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chargelens.llm.tokens import PieceEncoder, tokenizer_path
+from chargelens.llm.tokens import piece_encoder, tokenizer_path
 
 WINDOW = 1024
 END_ID = 0
@@ -104,7 +104,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     path = tokenizer or tokenizer_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer = PieceEncoder(path), SumOfSquares(size)
+        encoder, packer = piece_encoder(path), SumOfSquares(size)
         end = np.array([end_id], "<u4").tobytes()
         context = TaskContext.get()
         number = (context.partitionId() if context else 0) << TASK_BITS

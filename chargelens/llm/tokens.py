@@ -2,60 +2,77 @@
 from __future__ import annotations
 
 import os
+import re
+from array import array
+from functools import lru_cache
 
-import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
 TOKENIZER = "byte_bpe_50k.json"
-CACHED = 400_000  # pieces a worker keeps; beyond it the cache starts anew
+CACHED = 600_000  # pieces a worker keeps; beyond it the cache starts anew
+SLICE = 1 << 20  # characters looked up at once
+LONE_BLANK = re.compile(r"(?<=\S) (?=\S)")
+LONE_FEED = re.compile(r"(?<=\S)\n(?=\S)")
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+@lru_cache(maxsize=4)
+def piece_encoder(path: str, dtype: str = "<u4") -> PieceEncoder:
+    """One encoder per worker process, so later tasks of the worker find its pieces known."""
+    return PieceEncoder(path, dtype)
+
+
 class PieceEncoder:
     """Ids as little-endian bytes of `dtype`.
 
-    The vocabulary's splitting rule always cuts before a blank that stands alone between two other characters, so ids of
-    a text are those of its pieces " word"; texts with runs of white space are cut only where that rule holds.
+    The vocabulary's splitting rule always cuts before a blank and around a line feed that stand alone between two other
+    characters, so ids of a text are those of its pieces " word", "\\n" and, at the start of a line, "word"; texts with
+    runs of white space are cut only where that rule holds.
     """
 
     def __init__(self, path: str, dtype: str = "<u4", cached: int = CACHED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.dtype, self.cached = dtype, cached
-        self.known: dict[str, bytes] = {}
+        self.code, self.cached = {"<u2": "H", "<u4": "I"}[dtype], cached
+        self.known: dict[str, bytes] = {}  # by the piece without its blank
+        self.bare: dict[str, bytes] = {}
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        return [array(self.code, e.ids).tobytes() for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> None:
-        if len(self.known) + len(pieces) > self.cached:
-            self.known.clear()
-        for piece, e in zip(pieces, self.tok.encode_batch_fast(pieces, add_special_tokens=False)):
-            self.known[piece] = np.array(e.ids, self.dtype).tobytes()
+    def _join(self, parts: list[str], blank: str = " ") -> bytes:
+        known = self.known if blank else self.bare
+        try:
+            return b"".join(map(known.__getitem__, parts))
+        except KeyError:
+            new = list(set(parts).difference(known))
+        if len(known) + len(new) > self.cached:
+            known.clear()
+            new = list(set(parts))
+        known.update(zip(new, self._ids([blank + p for p in new])))
+        return b"".join(map(known.__getitem__, parts))
 
     def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        parts = text.split(" ")
-        pieces = [parts[0]]
-        for p in parts[1:]:
-            last = pieces[-1]
-            if p and not p[0].isspace() and last and not last[-1].isspace():
-                pieces.append(" " + p)
-            else:  # a run of white space: stays in one piece
-                pieces[-1] = last + " " + p
+        """Works through the text in slices of about SLICE characters, so that memory beside the ids is bounded."""
         out = []
-        known = self.known
-        for at in range(0, len(pieces), 50_000):
-            some = pieces[at : at + 50_000]
-            new = list({p for p in some if p not in known})
-            if new:
-                self._learn(new)
-            try:
-                out.append(b"".join([known[p] for p in some]))
-            except KeyError:  # the cache started anew
-                self._learn(list({p for p in some if p not in known}))
-                out.append(b"".join([known[p] for p in some]))
+        at = 0
+        while at < len(text):
+            cut = LONE_BLANK.search(text, at + SLICE) if len(text) - at > SLICE else None
+            some = text[at : cut.start()] if cut else text[at:]
+            for i, line in enumerate(LONE_FEED.split(some)):
+                # printable texts have no white space but blanks
+                plain = line.isprintable() and "  " not in line and line[0] != " " and line[-1] != " "
+                parts = line.split(" ") if plain else LONE_BLANK.split(line)
+                if i:
+                    out.append(self._join(["\n"], ""))
+                if i or at == 0:
+                    out.append(self._join(parts[:1], ""))
+                    del parts[0]
+                out.append(self._join(parts))
+            at = cut.end() if cut else len(text)
         return b"".join(out)
