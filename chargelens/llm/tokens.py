@@ -12,8 +12,9 @@ from tokenizers import Tokenizer
 TOKENIZER = "byte_bpe_50k.json"
 CACHED = 600_000  # pieces a worker keeps; beyond it the cache starts anew
 SLICE = 1 << 20  # characters looked up at once
-LONE_BLANK = re.compile(r"(?<=\S) (?=\S)")
-LONE_FEED = re.compile(r"(?<=\S)\n(?=\S)")
+LONE_BLANK = re.compile(r" (?<=\S )(?=\S)")
+LONE_FEED = re.compile(r"\n(?<=\S\n)(?=\S)")
+MARKS = frozenset(",.;:!?")
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -41,6 +42,7 @@ class PieceEncoder:
         self.code, self.cached = {"<u2": "H", "<u4": "I"}[dtype], cached
         self.known: dict[str, bytes] = {}  # by the piece without its blank
         self.bare: dict[str, bytes] = {}
+        self.marks = dict(zip(MARKS, self._ids(list(MARKS))))
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
         return [array(self.code, e.ids).tobytes() for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
@@ -54,7 +56,11 @@ class PieceEncoder:
         if len(known) + len(new) > self.cached:
             known.clear()
             new = list(set(parts))
-        known.update(zip(new, self._ids([blank + p for p in new])))
+        # letters and a mark are two pieces of the splitting rule, so such words share the ids of their letters
+        marked = [p for p in new if p[-1:] in MARKS and p[:-1].isalpha()]
+        own = list(set(new).difference(marked).union([p[:-1] for p in marked]).difference(known))
+        known.update(zip(own, self._ids([blank + p for p in own])))
+        known.update([(p, known[p[:-1]] + self.marks[p[-1]]) for p in marked])
         return b"".join(map(known.__getitem__, parts))
 
     def encode(self, text: str) -> bytes:
