@@ -1,7 +1,7 @@
 """Name and address matching as equi-joins.
 
-Containment of one name in another becomes a join on substrings: names are short, so every substring of the longer name
-is listed once and matched by hash. No pair of names is compared that does not match.
+Containment of one name in another becomes a join on substrings: those of the longer name, of the lengths that names of
+the other side have, are listed once and matched by hash. No pair of names is compared that does not match.
 """
 from __future__ import annotations
 
@@ -24,18 +24,24 @@ def lot_numbers(col: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(col, F.lit("")), F.lit(r"(\d+(?:-\d+)?)"), 1)
 
 
-def substrings(col: Column, min_len: int = 1) -> Column:
+def substrings(col: Column, lengths: Column) -> Column:
+    """Distinct substrings of the given lengths, so a text of n characters has at most n per length."""
     n = F.length(col)
-    lens = lambda i: F.sequence(F.lit(min_len), n - i + 1)
-    starts = F.when(n >= min_len, F.sequence(F.lit(1), n - min_len + 1)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.flatten(F.transform(starts, lambda i: F.transform(lens(i), lambda k: F.substring(col, i, k)))))
+    fit = F.filter(lengths, lambda k: k <= n)
+    return F.array_distinct(F.flatten(F.transform(fit, lambda k: F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substring(col, i, k)))))
+
+
+def _within(whole: DataFrame, whole_key: str, part: DataFrame, part_key: str) -> DataFrame:
+    """Pairs in which `part_key` stands inside `whole_key`; only lengths that parts have are cut out."""
+    lengths = part.agg(F.collect_set(F.length(part_key))).scalar()  # one number per length of a name
+    cut = whole.select(whole_key, lengths.alias("_len")).select(whole_key, F.explode(substrings(F.col(whole_key), F.col("_len"))).alias(part_key))
+    return cut.join(part, part_key)
 
 
 def containment_pairs(a: DataFrame, b: DataFrame, min_len: int = 1) -> DataFrame:
     """Distinct (a_key, b_key) where one contains the other; both inputs have one text column of their own name."""
     ka, kb = a.where(F.length("a_key") >= min_len).distinct(), b.where(F.length("b_key") >= min_len).distinct()
-    in_b = kb.select("b_key", F.explode(substrings(F.col("b_key"), min_len)).alias("a_key")).join(ka, "a_key")
-    in_a = ka.select("a_key", F.explode(substrings(F.col("a_key"), min_len)).alias("b_key")).join(kb, "b_key")
+    in_b, in_a = _within(kb, "b_key", ka, "a_key"), _within(ka, "a_key", kb, "b_key")
     return in_b.select("a_key", "b_key").union(in_a.select("a_key", "b_key")).distinct()
 
 

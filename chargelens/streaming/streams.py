@@ -54,15 +54,19 @@ def drain_batches(stream: DataFrame, name: str, write, checkpoint: str | None =
     q.awaitTermination()
 
 
-def deduped(events: DataFrame) -> DataFrame:
-    """Keep-latest per poll and charger. Each batch folds its rows into its own folder; the read folds batches."""
-    spark, out, schema = events.sparkSession, _new_dir(events.sparkSession, "dedup"), events.schema
+def deduped(events: DataFrame, root: str | None = None) -> DataFrame:
+    """Keep-latest per poll and charger. Each batch folds its rows into its own folder; the read folds batches.
+
+    A later run on the same `root` takes only new input.
+    """
+    spark, schema = events.sparkSession, events.schema
+    root = root or _new_dir(spark, "dedup")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        dedupe_snapshot_rows(batch).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        dedupe_snapshot_rows(batch).write.mode("overwrite").parquet(f"{root}/rows/batch={batch_id}")
 
-    drain_batches(events, "dedup", write)
-    return dedupe_snapshot_rows(spark.read.schema(schema).parquet(out).select(*schema.names))
+    drain_batches(events, "dedup", write, f"{root}/cursor")
+    return dedupe_snapshot_rows(spark.read.schema(schema).parquet(f"{root}/rows").select(*schema.names))
 
 
 def without_copies(events: DataFrame) -> DataFrame:
@@ -126,17 +130,22 @@ def bounded_hold(events: DataFrame, hold_s: int = 1500) -> DataFrame:
     )
 
 
-def current_state(events: DataFrame) -> DataFrame:
-    """Newest state per charger, kept by upsert. Batch N reads version N-1 and writes version N, so a replay is safe."""
-    spark, root, schema = events.sparkSession, _new_dir(events.sparkSession, "current"), events.schema
-    newest = {"id": -1}
+def current_state(events: DataFrame, root: str | None = None) -> DataFrame:
+    """Newest state per charger, kept by upsert. Batch N reads version N-1 and writes version N, so a replay is safe.
+
+    `root` holds the cursor and the versions: a later run on the same folder takes only new input and goes on from the
+    newest version, which is found in the folder.
+    """
+    spark, schema = events.sparkSession, events.schema
+    root = root or _new_dir(spark, "current")
+
+    def version(number: int) -> DataFrame:
+        return spark.read.schema(schema).parquet(f"{root}/state/version={number}")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch
-        if batch_id > 0:
-            rows = spark.read.schema(schema).parquet(f"{root}/v{batch_id - 1}").unionByName(batch)
-        keep_one(rows, CHARGER, ("stat_updated_at", "event_id")).write.mode("overwrite").parquet(f"{root}/v{batch_id}")
-        newest["id"] = max(newest["id"], batch_id)
-
-    drain_batches(events, "current", write)
-    return spark.read.schema(schema).parquet(f"{root}/v{newest['id']}")
+        rows = version(batch_id - 1).unionByName(batch) if batch_id > 0 else batch
+        keep_one(rows, CHARGER, ("stat_updated_at", "event_id")).write.mode("overwrite").parquet(f"{root}/state/version={batch_id}")
+
+    drain_batches(events, "current", write, f"{root}/cursor")
+    newest = spark.read.parquet(f"{root}/state").agg(F.max("version")).first()[0]
+    return version(newest)
