@@ -180,6 +180,21 @@ def test_pseudonyms_are_one_to_one(spark):
         assert pseudonyms.pseudonymise(df).distinct().count() == df.count() == pseudonyms.pseudonymise(df, found="k").filter(F.size("k") == 1).count()
 
 
+def test_phones_with_any_codes(spark, make_docs):
+    rows = [(1, "+1 (091) 555-3384"), (2, "(091) 555-3384 or 1-091-555-3384"), (3, "+1 (134) 055-2562"), (4, "091-555-3384"), (5, "+1 (988) 155-2485")]
+    got = {r.doc_id: r.text for r in pseudonyms.pseudonymise(make_docs(rows)).collect()}
+    n = brute_permute((91 * 1000 + 555) * 10_000 + 3384, 60_000, 60_000, "phone low")
+    c = n // 10_000
+    d = f"{c if c < 200_000 else ((c - 200_000) // 200 + 200) * 1000 + (c - 200_000) % 200:06d}{n % 10_000:04d}"
+    assert got[1] == f"+1 ({d[:3]}) {d[3:6]}-{d[6:]}" != rows[0][1]
+    assert got[2] == f"({d[:3]}) {d[3:6]}-{d[6:]} or 1-{d[:3]}-{d[3:6]}-{d[6:]}"
+    assert got[3] != rows[2][1] and got[4] == rows[3][1] and got[5] != rows[4][1]
+    code = F.lpad((F.col("id") * 7 % 1000).cast("string"), 3, "0")
+    many = spark.range(4000).select(F.concat(F.lit("("), code, F.lit(") "), F.lpad((F.col("id") * 13 % 1000).cast("string"), 3, "0"), F.lit("-0000")).alias("text")).distinct()
+    out = pseudonyms.pseudonymise(many, found="k").filter("k[0] = 'phone'")
+    assert out.select("text").distinct().count() == many.count() and out.filter(r"text rlike '^\\([0-9]{3}\\) [0-9]{3}-[0-9]{4}$'").count() == many.count()
+
+
 def test_link_graph(spark):
     pages = [
         (1, "https://A.example.net/en/x", '<a href="http://b.com/x">'), (2, "http://bad.net/", "<a href='//c.com'>"), (3, "http://b.com/?q", '<A HREF="https://d.com/">'),
