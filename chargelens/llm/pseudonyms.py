@@ -21,8 +21,32 @@ DATE = r"\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4}"
 SSN = r"\d{3}-\d{2}-\d{4}"
 PHONE = r"(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}"
 CARD = r"\d(?:[ -]?\d){12,18}"
-#: one value, not part of a longer run of letters or digits
-VALUE = rf"(?:(?<![A-Za-z0-9._%+-]){EMAIL}(?![A-Za-z0-9-])|(?<![A-Za-z0-9.+/-])(?:{CARD}|{DATE}|{SSN}|{PHONE}|{IPV4})(?![A-Za-z0-9]|[./-]\d))"
+#: a number starts and ends here, not inside a longer run of letters or digits
+FROM, TO = r"(?<![A-Za-z0-9.+/-])", r"(?![A-Za-z0-9]|[./-]\d)"
+#: usual layouts of card numbers, the most common first
+LAYOUTS = tuple(rf"\d{{{g[0]}}}" + "".join(rf"{mark}\d{{{n}}}" for n in g[1:]) for g in ((4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 5, 6), (4, 3, 3, 3), (4, 4, 4, "1,3"), (4, 4, 4, 4, "1,3")) for mark in " -")
+LAYOUTS = (r"\d{13,19}", *LAYOUTS)
+
+_MONTH_DAY = r"(?:0[13578]|1[02]){0}(?:0[1-9]|[12]\d|3[01])|(?:0[469]|11){0}(?:0[1-9]|[12]\d|30)|02{0}(?:0[1-9]|1\d|2[0-8])"
+_DAY_MONTH = r"(?:0[1-9]|[12]\d|3[01]){0}(?:0[13578]|1[02])|(?:0[1-9]|[12]\d|30){0}(?:0[469]|11)|(?:0[1-9]|1\d|2[0-8]){0}02"
+_YEAR, _LEAP = r"(?:19|20)\d\d", r"(?:19(?:0[48]|[2468][048]|[13579][26])|20(?:[02468][048]|[13579][26]))"
+
+
+def _days(mark: str) -> str:
+    """Days of 1900 to 2099 with the year last, day or month first."""
+    either = "|".join(x.replace("{0}", mark) for x in (_DAY_MONTH, _MONTH_DAY))
+    return rf"(?:{either}){mark}{_YEAR}|(?:29{mark}02|02{mark}29){mark}{_LEAP}"
+
+
+#: what is sure to hold what its format asks, so that a match never hides another format
+DAY = rf"{_YEAR}-(?:{_MONTH_DAY.replace('{0}', '-')})|{_LEAP}-02-29|{_days('/')}|{_days('[.]')}"
+OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+ADDRESS = rf"{OCTET}(?:\.{OCTET}){{3}}"
+PERSON = r"(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}"
+CALL = r"(?:\+?1[ .-]?(?:\(\d{3}\) ?|\d{3}[ .-])|\(\d{3}\) ?)\d{3}[ .-]\d{4}|[2-9]\d{2}[ .-][2-9]\d{2}[ .-]\d{4}"
+#: one value that is no card
+VALUE = rf"(?<![A-Za-z0-9._%+-]){EMAIL}(?![A-Za-z0-9-])|{FROM}(?:{DAY}|{PERSON}|{CALL}|{ADDRESS}){TO}"
+LOOSE_CARD = FROM + CARD + TO
 #: every value without an @ has three digits this close
 NEAR_DIGITS = r"\d[ ./()-]{0,2}\d[ ./()-]{0,2}\d"
 
@@ -135,7 +159,7 @@ def phone(v: Column, key: str = KEY) -> Column:
 
 
 def is_ssn(v: Column) -> Column:
-    return v.rlike(r"^(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}$")
+    return v.rlike(f"^{PERSON}$")
 
 
 def ssn(v: Column, key: str = KEY) -> Column:
@@ -151,8 +175,7 @@ def ssn(v: Column, key: str = KEY) -> Column:
 
 
 def is_ipv4(v: Column) -> Column:
-    octet = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-    return v.rlike(rf"^{octet}(?:\.{octet}){{3}}$")
+    return v.rlike(f"^{ADDRESS}$")
 
 
 def ipv4(v: Column, key: str = KEY) -> Column:
@@ -162,21 +185,29 @@ def ipv4(v: Column, key: str = KEY) -> Column:
 
 
 def _day(v: Column) -> Column:
-    """Days from 1900-01-01; null if there is no such day or it lies outside the range."""
+    """Days from 1900-01-01, day first where that is a date, else month first; null if there is no such day or it lies
+    outside the range."""
+    day_first = F.concat_ws("-", v.substr(7, 4), v.substr(4, 2), v.substr(1, 2))
+    month_first = F.concat_ws("-", v.substr(7, 4), v.substr(1, 2), v.substr(4, 2))
     iso = v.rlike(r"^\d{4}-")
-    text = F.when(iso, v).otherwise(F.concat_ws("-", v.substr(7, 4), v.substr(4, 2), v.substr(1, 2)))
-    n = F.date_diff(F.try_to_date(text, "yyyy-MM-dd"), F.lit(FIRST_DAY).cast("date"))
+    as_date = lambda text: F.try_to_date(text, "yyyy-MM-dd")
+    n = F.date_diff(F.when(iso, as_date(v)).otherwise(F.coalesce(as_date(day_first), as_date(month_first))), F.lit(FIRST_DAY).cast("date"))
     return F.when(v.rlike(f"^(?:{DATE})$") & (n >= 0) & (n < DAYS), n)
 
 
 def date(v: Column, key: str = KEY) -> Column:
-    """Days of 1900 to 2099, year first or day first."""
+    """Days of 1900 to 2099; year first or day first as in `v`.
+
+    A month-first value is written month first only where its new day is over 12, so that it reads as the same day.
+    """
     m = permute(_day(v).cast("long"), 17, 4_297, "date", key)
 
     def body(d: Column) -> Column:
         mark = v.substr(3, 1)
-        day_first = F.concat(F.date_format(d, "dd"), mark, F.date_format(d, "MM"), mark, F.date_format(d, "yyyy"))
-        return F.when(v.rlike(r"^\d{4}-"), F.date_format(d, "yyyy-MM-dd")).otherwise(day_first)
+        day, month = F.date_format(d, "dd"), F.date_format(d, "MM")
+        swap = (v.substr(4, 2) > "12") & (day > "12")
+        year_last = F.concat(F.when(swap, month).otherwise(day), mark, F.when(swap, day).otherwise(month), mark, F.date_format(d, "yyyy"))
+        return F.when(v.rlike(r"^\d{4}-"), F.date_format(d, "yyyy-MM-dd")).otherwise(year_last)
 
     return _let(F.date_add(F.lit(FIRST_DAY).cast("date"), m.cast("int")), body)
 
@@ -223,6 +254,27 @@ def pseudonym(v: Column, kind: Column, key: str = KEY) -> Column:
     return out
 
 
+def _cut(t: Column, pattern: Column) -> Column:
+    """Pieces (kind, text) of `t` in order: matches with their kind, and what lies between."""
+    piece = lambda kind, text: F.struct(kind.alias("kind"), F.coalesce(text, F.lit("")).alias("text"))
+    none = F.lit(None).cast("string")
+    pairs = F.zip_with(F.split(t, pattern, -1), F.regexp_extract_all(t, pattern, 0), lambda gap, v: F.array(piece(none, gap), piece(kind_of(v), v)))
+    return F.filter(F.flatten(pairs), lambda p: p["text"] != "")
+
+
+def pieces(t: Column) -> Column:
+    """Pieces (kind, text) of a text: first values that are no card and cards in a usual layout, wherever they start, then
+    what else passes as a card between these."""
+    cards = F.flatten(F.array(*[F.regexp_extract_all(t, F.lit(rf"{FROM}(?=({c}){TO})"), 1) for c in LAYOUTS]))
+    cards = F.array_distinct(F.filter(cards, is_card))
+    sure = _let(cards, lambda c: F.when(F.size(c) > 0, F.concat(F.lit(f"{VALUE}|{FROM}(?:"), F.array_join(c, "|"), F.lit(f"){TO}"))).otherwise(F.lit(VALUE)))
+
+    def rest(p: Column) -> Column:
+        return F.when(p["kind"].isNull() & p["text"].rlike(LOOSE_CARD), _cut(p["text"], F.lit(LOOSE_CARD))).otherwise(F.array(p))
+
+    return F.flatten(F.transform(_let(sure, lambda pattern: _cut(t, pattern)), rest))
+
+
 def pseudonymise(docs: DataFrame, text: str = "text", key: str = KEY, found: str | None = None) -> DataFrame:
     """All columns of `docs`, `text` with each validated value replaced; `found` names a further column of the kinds in
     order of place.
@@ -232,16 +284,11 @@ def pseudonymise(docs: DataFrame, text: str = "text", key: str = KEY, found: str
     table gives an empty result.
     """
     t = F.col(text)
-    values = F.transform(
-        F.regexp_extract_all(t, F.lit(VALUE), 0),
-        lambda v: F.transform(F.array(kind_of(v)), lambda k: F.struct(k.alias("kind"), pseudonym(v, k, key).alias("new")))[0],
-    )
-    hit = (t.contains("@") | t.rlike(NEAR_DIGITS)) & t.rlike(VALUE)
-    marked = docs.withColumn("__values", F.when(hit, values))
-    gaps = F.split(t, VALUE, -1)
-    joined = F.array_join(F.flatten(F.zip_with(gaps, F.col("__values.new"), lambda g, n: F.array(g, F.coalesce(n, F.lit(""))))), "")
-    out = marked.withColumn("__text", F.when(F.col("__values").isNotNull(), joined).otherwise(t))
+    hit = (t.contains("@") | t.rlike(NEAR_DIGITS)) & (t.rlike(VALUE) | t.rlike(LOOSE_CARD))
+    marked = docs.withColumn("__pieces", F.when(hit, pieces(t)))
+    joined = F.array_join(F.transform("__pieces", lambda p: F.when(p["kind"].isNull(), p["text"]).otherwise(pseudonym(p["text"], p["kind"], key))), "")
+    out = marked.withColumn("__text", F.when(F.col("__pieces").isNotNull(), joined).otherwise(t))
     if found:
-        kinds = F.filter(F.col("__values.kind"), lambda k: k.isNotNull())
+        kinds = F.filter(F.col("__pieces.kind"), lambda k: k.isNotNull())
         out = out.withColumn(found, F.coalesce(kinds, F.array().cast("array<string>")))
     return out.select(*[(F.col("__text").alias(text) if c == text else F.col(f"`{c}`")) for c in docs.columns], *([found] if found else []))

@@ -1,4 +1,5 @@
 """Packing, order, licences, pseudonyms, link graph."""
+import datetime
 import random
 import re
 import zlib
@@ -195,6 +196,40 @@ def test_phones_with_any_codes(spark, make_docs):
     assert out.select("text").distinct().count() == many.count() and out.filter(r"text rlike '^\\([0-9]{3}\\) [0-9]{3}-[0-9]{4}$'").count() == many.count()
 
 
+def test_values_side_by_side(spark, make_docs):
+    card = "4111111111111111"
+    texts = [
+        ("2021-03-04 12345", "date"), ("1990-05-17 1991-06-18", "date,date"), ("123-45-6789 2020", "ssn"), ("555-234-4567 123-45-6789", "phone,ssn"),
+        (f"{card} 123", "card"), (f"12 {card}", "card"), ("1234 4111 1111 1111 1111 123", "card"), ("212-555-1234 100", "phone"), ("12/31/1999 31/12/1999 1999-12-31", "date,date,date"),
+        (f"2021-03-04 {card} 212-555-1234 70.123.182.155 12.31.1999", "date,card,phone,ipv4,date"), ("4111-1111 1111-1111", "card"), ("2021-02-30 13/13/1999 29.02.2021 02/29/1900", ""),
+        ("02/29/2000 29.02.2000", "date,date"), ("4111111111111112 123-45-6789", "ssn"), (f"{card} 123a", "card"), ("1234 " * 5000, None),
+    ]
+    out = pseudonyms.pseudonymise(make_docs(list(enumerate(t for t, _ in texts))), found="kinds").collect()
+    got = {r.doc_id: r.text for r in out}
+    kinds = {r.doc_id: ",".join(r.kinds) for r in out}
+    assert {i: k for i, k in kinds.items() if texts[i][1] is not None} == {i: k for i, (_, k) in enumerate(texts) if k is not None}
+    new = f"{brute_permute(int(card[:-1]), 10**7, 10**8, 'card16'):015d}"
+    assert got[4][:15] == new and got[4].endswith(" 123") and got[5][3:18] == new and got[6].startswith("1234 ") and got[6].endswith(" 123") and new in re.sub(" ", "", got[6])
+    assert got[2].endswith(" 2020") and got[7].endswith(" 100") and got[7][:12] in got[9] and got[11] == texts[11][0]
+    us, eu, iso = got[8].split()
+    y, m, d = iso.split("-")
+    assert eu == f"{d}/{m}/{y}" and us == (f"{m}/{d}/{y}" if d > "12" else eu) and iso != "1999-12-31"
+
+
+def test_day_patterns_equal_the_calendar(spark):
+    def real(y, m, d):
+        try:
+            return bool(datetime.date(y, m, d)) and 1900 <= y <= 2099
+        except ValueError:
+            return False
+
+    sample = [(y, m, d) for y in (1899, 1900, 1904, 1999, 2000, 2004, 2099, 2100) for m in range(14) for d in range(33)]
+    for y, m, d in sample:
+        assert bool(re.fullmatch(pseudonyms.DAY, f"{y}-{m:02d}-{d:02d}")) == real(y, m, d)
+        for mark in "/.":
+            assert bool(re.fullmatch(pseudonyms.DAY, f"{d:02d}{mark}{m:02d}{mark}{y}")) == (real(y, m, d) or real(y, d, m))
+
+
 def test_link_graph(spark):
     pages = [
         (1, "https://A.example.net/en/x", '<a href="http://b.com/x">'), (2, "http://bad.net/", "<a href='//c.com'>"), (3, "http://b.com/?q", '<A HREF="https://d.com/">'),
