@@ -17,7 +17,7 @@ PHRASES = (
     ("mit license", "mit"),
 )
 
-# Sentences of public licences and of their usual notices.
+# Sentences and key paragraphs of public licences and of their usual notices.
 TEMPLATES = (
     ("gpl-notice", "This work is licensed under the GNU General Public License, version 3."),
     ("gpl-notice", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
@@ -28,6 +28,25 @@ TEMPLATES = (
     ("mit-grant", "Released under the MIT License."),
     ("mit-grant", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("bsd", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
+    ("bsd", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("bsd", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("mit-grant", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
+    ("lgpl-notice", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("agpl-notice", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at"),
+    ("epl-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at"),
+    ("boost", "Distributed under the Boost Software License, Version 1.0."),
+    ("zlib", "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."),
+    ("unlicense", "This is free and unencumbered software released into the public domain."),
+    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("cc-by-nd", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("cc-by-nc-sa", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("cc-by-nc-nd", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    ("cc0", "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide."),
 )
 LONG = 4  # words of a match that counts
 GAP = 3  # words that may lie between two matches of one chain
@@ -109,7 +128,7 @@ class Automaton:
 
 def scan(words: list[bytes], auto: Automaton, texts: list[list[bytes]], n_phrases: int, long: int, gap: int, cover: float) -> tuple[list, list]:
     """Places (phrase, start) and spans (template, start, stop, share covered) of one text."""
-    places, runs = [], []
+    places, runs, whole = [], [], set()
     before = None  # a match that may still grow
     for end, length, state in auto.statistics(words):
         if before and (end != before[0] + 1 or length != before[1] + 1):
@@ -118,6 +137,8 @@ def scan(words: list[bytes], auto: Automaton, texts: list[list[bytes]], n_phrase
         for number in auto.whole[state]:
             if number < n_phrases and len(texts[number]) <= length:
                 places.append((number, end - len(texts[number])))
+            elif long <= len(texts[number]) <= length:
+                whole.add((number, end - len(texts[number]), end))  # also where the words after it go on in another template
     if before:
         runs.append(before)
     chains: dict[int, list] = {}  # template -> [start, stop, template stop, covered]
@@ -147,14 +168,16 @@ def scan(words: list[bytes], auto: Automaton, texts: list[list[bytes]], n_phrase
             chains[number] = [begin, end, stop, length]
     for number in list(chains):
         close(number)
-    return places, sorted(spans, key=lambda s: s[1:])
+    spans = [s for s in spans if s[:3] not in whole] + [(*w, 1.0) for w in whole]
+    return places, sorted(spans, key=lambda s: (*s[1:], s[0]))
 
 
 def scan_licences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", phrases: tuple = PHRASES, templates: tuple = TEMPLATES, long: int = LONG, gap: int = GAP, cover: float = COVER) -> DataFrame:
     """(doc_id, n_words, places array<struct<label, start, n>>, spans array<struct<label, start, stop, share>>) per input row.
 
     Texts are streamed word by word; a chain joins matches of at least `long` words that follow each other in one template
-    with at most `gap` foreign words between. Null and empty texts have no word, place or span; repeated rows each keep a
+    with at most `gap` foreign words between; a template of at least `long` words that stands whole is a span whatever
+    follows it. Null and empty texts have no word, place or span; repeated rows each keep a
     row; a null doc_id stays null. Other columns are not read.
     """
     texts = [alnum_split(t) for t, _ in phrases] + [alnum_split(t) for _, t in templates]

@@ -123,6 +123,15 @@ def test_licences(make_docs):
     assert all(not r.places and not r.spans for r in got.values() if r.doc_id in (2, 3, 5))
 
 
+def test_whole_template_before_words_of_another(make_docs):
+    rows = [(1, "Licensed under the Apache License, Version 2.0. The code ..."), (2, "Licensed under the Apache License, Version 2.0 (the License) and others"), (3, "Licensed under the Apache License, Version 1.0"), (4, licences.TEMPLATES[1][1] + " " + licences.TEMPLATES[2][1]), (5, "Released under the MIT License. Released under the MIT License.")]
+    got = {r.doc_id: [(s.label, s.start, s.stop, s.share) for s in r.spans] for r in licences.scan_licences(make_docs(rows)).collect()}
+    assert got[1] == got[2] == [("apache-2.0", 0, 8, 1.0)]
+    assert [s[0] for s in got[4]] == ["gpl-notice", "apache-2.0"] and got[5] == [("mit-grant", 0, 5, 1.0), ("mit-grant", 5, 10, 1.0)]
+    every = {r.doc_id: {s.label for s in r.spans} for r in licences.scan_licences(make_docs([(i, f"See here: {t} And so on") for i, (_, t) in enumerate(licences.TEMPLATES)])).collect()}
+    assert all(every[i] == {label} for i, (label, _) in enumerate(licences.TEMPLATES))
+
+
 def brute_permute(n, low, high, tag):
     import hashlib
 
