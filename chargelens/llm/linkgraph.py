@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from chargelens.llm.common import LOWER, UPPER, stage
 
 DAMPING = 0.85
-ROUNDS = 8
+ROUNDS = 8  # of the SQL, which has no loop
+TOLERANCE = 1e-10  # of the sum of score changes from one written table to the next
 CUT_EVERY = 4  # rounds between written tables
 MARGIN = 1.0  # a host is blocked when its distrust exceeds so many times its trust
 
@@ -51,10 +52,11 @@ def host_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     return found.groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """Personalised PageRank: edges (src, dst, n), seeds (host, seed) summing to one -> (host, score).
 
-    Each round: score = (1 - damping) * seed + damping * sum of shares over links. What a host without links out holds is lost.
+    Each round: score = (1 - damping) * seed + damping * sum of shares over links, until scores stand still; each round
+    shrinks the changes by `damping`, so this ends on every graph. What a host without links out holds is lost.
     """
     out = edges.groupBy("src").agg(F.sum("n").alias("total"))
     share = stage(edges.join(out, "src").select("src", "dst", (F.col("n") / F.col("total")).alias("w")))
@@ -62,15 +64,18 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
     score = start.select("host", F.col("base").alias("score"))
     if share.isEmpty():
         return score
-    for i in range(rounds):
-        moved = share.join(score, share.src == score.host).select(F.col("dst").alias("host"), (F.col("score") * F.col("w") * damping).alias("score"))
-        score = moved.union(start.select("host", F.col("base").alias("score"))).groupBy("host").agg(F.sum("score").alias("score"))
-        if i % CUT_EVERY == CUT_EVERY - 1:
-            score = stage(score)
-    return score
-
-
-def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, page_id: str = "page_id", url: str = "url", html: str = "html", damping: float = DAMPING, rounds: int = ROUNDS, margin: float = MARGIN) -> DataFrame:
+    while True:
+        before = score
+        for _ in range(CUT_EVERY):
+            moved = share.join(score, share.src == score.host).select(F.col("dst").alias("host"), (F.col("score") * F.col("w") * damping).alias("score"))
+            score = moved.union(start.select("host", F.col("base").alias("score"))).groupBy("host").agg(F.sum("score").alias("score"))
+        score = stage(score)
+        both = score.union(before.select("host", -F.col("score"))).groupBy("host").agg(F.sum("score").alias("d"))
+        if (both.agg(F.sum(F.abs("d"))).first()[0] or 0.0) <= tolerance:
+            return score
+
+
+def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, page_id: str = "page_id", url: str = "url", html: str = "html", damping: float = DAMPING, tolerance: float = TOLERANCE, margin: float = MARGIN) -> DataFrame:
     """(page_id, host, path, rule, trust, distrust, verdict) per input row.
 
     Trusted seeds are the hosts with pages that a rule allows, blocked seeds those with pages that a rule for a whole host
@@ -93,8 +98,8 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, page_id: str = "pag
         total = own.agg(F.sum("n").alias("all_n"))
         return own.join(total).select("host", (F.col("n") / F.col("all_n")).alias("seed"))
 
-    trust = propagate(edges, seeds("allow"), damping, rounds).withColumnRenamed("score", "trust")
-    distrust = propagate(back, seeds("block"), damping, rounds).withColumnRenamed("score", "distrust")
+    trust = propagate(edges, seeds("allow"), damping, tolerance).withColumnRenamed("score", "trust")
+    distrust = propagate(back, seeds("block"), damping, tolerance).withColumnRenamed("score", "distrust")
     hosts = stage(trust.join(distrust, "host", "full"))
     judged = rows.join(hosts, "host", "left").select("page_id", "host", "path", F.col("r.rule").alias("rule"), F.col("r.verdict").alias("own"), *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("trust", "distrust")])
     by_graph = F.when(F.col("distrust") > margin * F.col("trust"), F.lit("block")).otherwise(F.lit("allow"))

@@ -263,3 +263,15 @@ def test_link_graph(spark):
     for i, h in ((1, "a.example.net"), (3, "b.com"), (5, "d.com"), (9, "w.org")):
         assert abs(got[i].trust - score[h]) < 1e-12
     assert linkgraph.judge(df.limit(0)).count() == 0
+
+
+def test_scores_stand_still(spark):
+    n = 14
+    urls = [f"http://h{i}.com/" for i in range(n)] + ["http://bad.net/"]
+    chain = [(i, u, f'<a href="{v}">') for i, (u, v) in enumerate(zip(urls, urls[1:]))] + [(n, urls[-1], None)]
+    ring = [(20, "http://a.org/fr/", '<a href="http://b.io">'), (21, "http://b.io/", '<a href="http://a.org/"><a href="http://c.io">'), (22, "http://c.io/", None)]
+    got = {r.page_id: r for r in linkgraph.judge(spark.createDataFrame(chain + ring, "page_id long, url string, html string")).collect()}
+    for i in range(n):
+        assert abs(got[i].distrust - 0.15 * 0.85 ** (n - i)) < 1e-9 and got[i].verdict == "block"
+    a = 0.15 / (1 - 0.85**2 / 2)
+    assert abs(got[20].trust - a) < 1e-9 and abs(got[21].trust - 0.85 * a) < 1e-9 and abs(got[22].trust - 0.85**2 * a / 2) < 1e-9
