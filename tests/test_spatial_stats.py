@@ -122,3 +122,17 @@ def test_average_precision_with_ties(spark):
     m = stats.probability_metrics(df, [], "y", "p").first()
     assert m.pr_auc == pytest.approx(0.5 * 0.5 + 0.5 * 2 / 3) and m.auc == pytest.approx((0.5 + 1 + 0 + 1) / 4)
     assert F
+
+
+def test_learning_curve_takes_the_earliest_rows(spark):
+    import inspect
+
+    from chargelens.operators import models
+
+    rows = spark.range(50).selectExpr("id as station_id", "timestamp_seconds(1700000000 + (id * 7 % 50) * 600) as t", "id * 7 % 50 as place")
+    ordered = models.in_time_order(rows, ["station_id", "t"])
+    for f in inspect.signature(models.overfit_checks).parameters["fractions"].default:
+        got = models.first_rows(ordered, f, least=5)
+        assert sorted(r.place for r in got.collect()) == list(range(round(50 * f))) and got.columns == rows.columns
+    assert inspect.signature(models.overfit_checks).parameters["fractions"].default == (0.2, 0.4, 0.6, 0.8, 1.0)
+    assert models.first_rows(ordered, 0.2).count() == 50
