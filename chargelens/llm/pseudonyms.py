@@ -43,7 +43,7 @@ DAY = rf"{_YEAR}-(?:{_MONTH_DAY.replace('{0}', '-')})|{_LEAP}-02-29|{_days('/')}
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 ADDRESS = rf"{OCTET}(?:\.{OCTET}){{3}}"
 PERSON = r"(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}"
-CALL = r"(?:\+?1[ .-]?(?:\(\d{3}\) ?|\d{3}[ .-])|\(\d{3}\) ?)\d{3}[ .-]\d{4}|[2-9]\d{2}[ .-][2-9]\d{2}[ .-]\d{4}"
+CALL = r"(?:\+?1[ .-]?(?:\(\d{3}\) ?|\d{3}[ .-])|\(\d{3}\) ?)\d{3}[ .-]\d{4}|[2-9]\d{2}[ .-]\d{3}[ .-]\d{4}"
 #: one value that is no card
 VALUE = rf"(?<![A-Za-z0-9._%+-]){EMAIL}(?![A-Za-z0-9-])|{FROM}(?:{DAY}|{PERSON}|{CALL}|{ADDRESS}){TO}"
 LOOSE_CARD = FROM + CARD + TO
@@ -120,38 +120,24 @@ def card(v: Column, key: str = KEY) -> Column:
 
 
 def is_phone(v: Column) -> Column:
-    """Any codes with a country code or parentheses; bare numbers need area and exchange codes of 200 or more."""
+    """Any codes with a country code or parentheses; bare numbers need an area code of 200 or more."""
     d = F.substring(F.concat(F.lit("0000000000"), _digits(v)), -10, 10)
     marked = v.contains("(") | (F.length(_digits(v)) == 11)
-    return v.rlike(f"^(?:{PHONE})$") & (marked | ((d.substr(1, 1) >= "2") & (d.substr(4, 1) >= "2")))
+    return v.rlike(f"^(?:{PHONE})$") & (marked | (d.substr(1, 1) >= "2"))
 
 
 def phone(v: Column, key: str = KEY) -> Column:
     """All ten-digit numbers; a country code stays.
 
-    Numbers with area and exchange codes from 200 on and the other ones are permuted apart, so that no number gets the
-    digits of a bare one that stays.
+    Numbers with an area code from 200 on and the other ones are permuted apart, so that no number gets the digits of a
+    bare one that stays.
     """
-
-    def upper(d: Column) -> Column:
-        area, exchange, line = d.substr(1, 3).cast("long") - 200, d.substr(4, 3).cast("long") - 200, d.substr(7, 4).cast("long")
-        n = permute((area * 800 + exchange) * 10_000 + line, 80_000, 80_000, "phone", key)
-        return _let(n, lambda m: F.concat((F.floor(m / 8_000_000) + 200).cast("string"), (F.floor(m / 10_000) % 800 + 200).cast("string"), F.lpad((m % 10_000).cast("string"), 4, "0")))
-
-    def lower(d: Column) -> Column:
-        """Areas below 200 with 1,000 exchange codes each come first, then the other areas with 200 each."""
-        area, exchange, line = d.substr(1, 3).cast("long"), d.substr(4, 3).cast("long"), d.substr(7, 4).cast("long")
-        codes = F.when(area < 200, area * 1_000 + exchange).otherwise(200_000 + (area - 200) * 200 + exchange)
-
-        def digits(m: Column) -> Column:
-            c = F.floor(m / 10_000)
-            six = F.when(c < 200_000, c).otherwise((F.floor((c - 200_000) / 200) + 200) * 1_000 + (c - 200_000) % 200)
-            return F.concat(F.lpad(six.cast("string"), 6, "0"), F.lpad((m % 10_000).cast("string"), 4, "0"))
-
-        return _let(permute(codes * 10_000 + line, 60_000, 60_000, "phone low", key), digits)
+    low = 2_000_000_000
 
     def body(d: Column) -> Column:
-        return F.when((d.substr(1, 1) >= "2") & (d.substr(4, 1) >= "2"), upper(d)).otherwise(lower(d))
+        n = d.cast("long")
+        out = F.when(n >= low, permute(n - low, 80_000, 100_000, "phone", key) + low).otherwise(permute(n, 40_000, 50_000, "phone low", key))
+        return F.lpad(out.cast("string"), 10, "0")
 
     head = F.regexp_extract(v, r"^(\+?1[ .-]?)?", 0)
     rest = v.substr(F.length(head) + 1, F.length(v))
@@ -279,7 +265,7 @@ def pseudonymise(docs: DataFrame, text: str = "text", key: str = KEY, found: str
     """All columns of `docs`, `text` with each validated value replaced; `found` names a further column of the kinds in
     order of place.
 
-    Values that fail their check (sum, day of the calendar, octet, codes of a bare phone number) stay as they are. Null texts stay null (no
+    Values that fail their check (sum, day of the calendar, octet, area code of a bare phone number) stay as they are. Null texts stay null (no
     kinds), empty texts empty; repeated rows each keep a row; other columns, whatever their names, are passed on; an empty
     table gives an empty result.
     """

@@ -193,9 +193,7 @@ def test_pseudonyms_are_one_to_one(spark):
 def test_phones_with_any_codes(spark, make_docs):
     rows = [(1, "+1 (091) 555-3384"), (2, "(091) 555-3384 or 1-091-555-3384"), (3, "+1 (134) 055-2562"), (4, "091-555-3384"), (5, "+1 (988) 155-2485")]
     got = {r.doc_id: r.text for r in pseudonyms.pseudonymise(make_docs(rows)).collect()}
-    n = brute_permute((91 * 1000 + 555) * 10_000 + 3384, 60_000, 60_000, "phone low")
-    c = n // 10_000
-    d = f"{c if c < 200_000 else ((c - 200_000) // 200 + 200) * 1000 + (c - 200_000) % 200:06d}{n % 10_000:04d}"
+    d = f"{brute_permute(915553384, 40_000, 50_000, 'phone low'):010d}"
     assert got[1] == f"+1 ({d[:3]}) {d[3:6]}-{d[6:]}" != rows[0][1]
     assert got[2] == f"({d[:3]}) {d[3:6]}-{d[6:]} or 1-{d[:3]}-{d[3:6]}-{d[6:]}"
     assert got[3] != rows[2][1] and got[4] == rows[3][1] and got[5] != rows[4][1]
@@ -208,7 +206,7 @@ def test_phones_with_any_codes(spark, make_docs):
 def test_values_side_by_side(spark, make_docs):
     card = "4111111111111111"
     texts = [
-        ("2021-03-04 12345", "date"), ("1990-05-17 1991-06-18", "date,date"), ("123-45-6789 2020", "ssn"), ("555-234-4567 123-45-6789", "phone,ssn"),
+        ("2021-03-04 12345", "date"), ("1990-05-17 1991-06-18", "date,date"), ("123-45-6789 2020", "ssn"), ("555-123-4567 123-45-6789", "phone,ssn"),
         (f"{card} 123", "card"), (f"12 {card}", "card"), ("1234 4111 1111 1111 1111 123", "card"), ("212-555-1234 100", "phone"), ("12/31/1999 31/12/1999 1999-12-31", "date,date,date"),
         (f"2021-03-04 {card} 212-555-1234 70.123.182.155 12.31.1999", "date,card,phone,ipv4,date"), ("4111-1111 1111-1111", "card"), ("2021-02-30 13/13/1999 29.02.2021 02/29/1900", ""),
         ("02/29/2000 29.02.2000", "date,date"), ("4111111111111112 123-45-6789", "ssn"), (f"{card} 123a", "card"), ("1234 " * 5000, None),
