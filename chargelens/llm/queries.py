@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chargelens.llm import licences, linkgraph, ordering, packing, pitman_yor, pseudonyms, quality, simhash, topk, winnow
+from chargelens.llm import alignment, langid, licences, linkgraph, ordering, packing, pitman_yor, pseudonyms, quality, runs, simhash, topk, winnow
 from chargelens.llm.common import id_crc, table
 
 QUALITY_LEAST = 0.3
@@ -95,6 +95,53 @@ def op10_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "text", F.size("kinds").cast("long").alias("n_values"), F.array_join("kinds", ",").alias("kinds"))
 
 
+@_query
+def op11_kneser_ney_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = langid.identify(table(spark, sf_dir, "documents"), labelled_fold())
+    return out.select("doc_id", (~labelled_fold()).alias("held_out"), "lang_pred", "score", F.round("entropy", 6).alias("entropy"), "refused")
+
+
+def looped(doc_id, text):
+    """The text with single blanks; of ids whose crc32 ends in 0, the words from word a on are replaced by the p from a on, over and over."""
+    h = id_crc(doc_id)
+    g = F.floor(h / 10).cast("long")
+
+    def over_and_over(words):
+        n = F.size(words).cast("long")
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8)).cast("long")
+        return F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, (a + (i - a) % p).cast("int"))))
+
+    words = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    # a list of one, so that the words are cut out once
+    made = F.transform(F.filter(F.array(words), lambda w: F.size(w) > 0), lambda w: F.array_join(over_and_over(w), " "))
+    return F.when(h % 10 == 0, F.get(made, F.lit(0))).otherwise(text)
+
+
+@_query
+def op12_basic_factor_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", looped(F.col("doc_id"), F.col("text")).alias("text"))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("s"), (-r.period).alias("p"))))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    out = runs.periodic_runs(docs).withColumn("best", best)
+    return out.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.s")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.p")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.p")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@_query
+def op13_identity_map_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, _ = alignment.align(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 _LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 def _words(column: str) -> str:
