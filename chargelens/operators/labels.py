@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from chargelens.functions.exprs import haversine_m, ratio
 from chargelens.operators.candidates import temporal_split
 from chargelens.operators.ranks import quantiles
+from chargelens.operators.snapshots import dedupe_snapshot_rows
 
 HORIZONS = (5, 10, 15, 30)
 TOL_S = 450
@@ -101,31 +102,61 @@ def nearest_ticks(ticks: DataFrame, horizons=HORIZONS, tol_s: int = TOL_S) -> Da
     return near.where(gap <= tol_s).groupBy("tick_idx", "horizon_min").agg(F.min(F.struct(gap, "_s", "future_idx")).alias("m")).select("tick_idx", "horizon_min", "m.future_idx")
 
 
-def observed_labels(panel: DataFrame, ticks: DataFrame, horizons=HORIZONS, tol_s: int = TOL_S, min_observed: int = 3) -> DataFrame:
-    """Observed-only label at the good tick nearest to t + h, with the reason when there is none.
+def observed_cells(events: DataFrame, ticks: DataFrame) -> DataFrame:
+    """Station x tick counts of what a poll itself returned; cells without an observation do not exist."""
+    own = dedupe_snapshot_rows(events).select("station_id", "tick_ts", "stat")
+    cells = own.groupBy("station_id", "tick_ts").agg(F.count("*").cast("int").alias("observed_chargers"), F.count_if(F.col("stat") == 2).cast("int").alias("available_observed"), F.count_if(F.col("stat").isin(2, 3)).cast("int").alias("usable_observed"))
+    return cells.join(ticks.select("tick_ts", "tick_s", "tick_idx", "ok"), "tick_ts")
 
-    The panel holds every tick of every station, so the future tick is a matter of ticks alone; the station's state
-    there is looked up among the few cells that were observed at all.
+
+def often_observed(cells: DataFrame, least: int = 3) -> DataFrame:
+    return cells.groupBy("station_id").agg(F.count("*").alias("_n")).where(F.col("_n") >= least).select("station_id")
+
+
+def observed_labels(cells: DataFrame, ticks: DataFrame, horizons=HORIZONS, tol_s: int = TOL_S, min_observed: int = 3) -> DataFrame:
+    """Rows station x good tick x horizon whose future tick, the good tick nearest to t + h, was observed at the station.
+
+    Every observed cell is offered to the ticks that look at it: the work follows the observations, and a candidate
+    without an observation at its future tick is never made (see `candidate_counts` and `with_reasons`).
     """
-    seen = panel.where("observed_chargers > 0")
-    often = seen.groupBy("station_id").agg(F.count("*").alias("_n")).where(F.col("_n") >= min_observed).select("station_id")
-    state = seen.where("collection_success").select("station_id", F.col("tick_idx").alias("future_idx"), F.col("usable_observed").alias("_u"), F.col("available_observed").alias("_a"))
-    pairs = nearest_ticks(ticks, horizons, tol_s)
-    base = panel.where("collection_success").select("station_id", "tick_ts", "tick_s", "tick_idx", "available_observed", "observed_chargers").join(often, "station_id", "left_semi")
-    rows = base.withColumn("horizon_min", F.explode(F.array(*[F.lit(h) for h in horizons]))).join(pairs, ["tick_idx", "horizon_min"], "left").join(state, ["station_id", "future_idx"], "left")
-    reason = (
-        F.when(F.col("future_idx").isNull(), "no_tick_near_horizon").when(F.col("_u").isNull(), "horizon_tick_no_charger_observation")
-        .when(F.col("_u") <= 0, "horizon_observed_but_no_usable_2_or_3").otherwise("ok")
+    good = cells.where("ok").join(often_observed(cells, min_observed), "station_id", "left_semi")
+    seen_then = good.select("station_id", F.col("tick_idx").alias("future_idx"), F.col("usable_observed").alias("_u"), F.col("available_observed").alias("_a"))
+    rows = seen_then.join(nearest_ticks(ticks, horizons, tol_s), "future_idx")
+    now = good.select("station_id", "tick_idx", "available_observed", "observed_chargers")
+    rows = rows.join(now, ["station_id", "tick_idx"], "left").join(ticks.select("tick_idx", "tick_ts", "tick_s"), "tick_idx")
+    usable = F.col("_u") > 0
+    return rows.select(
+        "station_id", "tick_ts", "tick_s", "tick_idx", F.coalesce("available_observed", F.lit(0)).alias("available_observed"), F.coalesce("observed_chargers", F.lit(0)).alias("observed_chargers"), "horizon_min",
+        F.when(usable, (F.col("_a") >= 1).cast("int")).alias("target_available"), F.when(usable, "ok").otherwise("horizon_observed_but_no_usable_2_or_3").alias("label_reason"),
     )
-    return rows.select("station_id", "tick_ts", "tick_s", "available_observed", "observed_chargers", "horizon_min", F.when(reason == "ok", (F.col("_a") >= 1).cast("int")).alias("target_available"), reason.alias("label_reason"))
 
 
-def label_stats(labels: DataFrame) -> DataFrame:
+def with_reasons(labels: DataFrame, cells: DataFrame, ticks: DataFrame, horizon: int, tol_s: int = TOL_S, min_observed: int = 3) -> DataFrame:
+    """Every candidate of one horizon with its reason, for a listing of all of them: station x good tick rows."""
+    nth = ticks.where("ok").select(F.col("good_upto").cast("int").alias("_n"), "tick_idx", "tick_ts")
+    last = ticks.agg(F.max("good_upto").cast("int")).scalar()
+    grid = often_observed(cells, min_observed).select("station_id", F.explode(F.sequence(F.lit(1), last)).alias("_n")).join(nth, "_n")
+    grid = grid.join(nearest_ticks(ticks, (horizon,), tol_s).select("tick_idx", "future_idx"), "tick_idx", "left")
+    known = labels.where(F.col("horizon_min") == horizon).select("station_id", "tick_idx", "target_available", "label_reason")
+    why = F.when(F.col("future_idx").isNull(), "no_tick_near_horizon").otherwise("horizon_tick_no_charger_observation")
+    return grid.join(known, ["station_id", "tick_idx"], "left").select("station_id", "tick_ts", F.lit(horizon).alias("horizon_min"), "target_available", F.coalesce("label_reason", why).alias("label_reason"))
+
+
+def candidate_counts(cells: DataFrame, ticks: DataFrame, horizons=HORIZONS, min_observed: int = 3) -> DataFrame:
+    """Candidates per horizon (stations times good ticks), counted without making them."""
+    stations, good = often_observed(cells, min_observed).agg(F.count("*")).scalar(), ticks.agg(F.count_if("ok")).scalar()
+    one = ticks.sparkSession.range(1).select((stations * good).alias("candidate_rows"))
+    return one.select(F.explode(F.array(*[F.lit(h) for h in horizons])).alias("horizon_min"), "candidate_rows").where("candidate_rows > 0")
+
+
+def label_stats(labels: DataFrame, candidates: DataFrame) -> DataFrame:
     y = F.col("target_available")
-    return labels.groupBy("horizon_min").agg(
-        F.count("*").alias("candidate_rows"), F.count(y).alias("labeled_rows"), F.count_if(y == 1).alias("positive"), F.count_if(y == 0).alias("negative"), F.avg(y).alias("positive_rate"),
+    per = labels.groupBy("horizon_min").agg(
+        F.count(y).alias("labeled_rows"), F.count_if(y == 1).alias("positive"), F.count_if(y == 0).alias("negative"), F.avg(y).alias("positive_rate"),
         F.count_distinct(F.when(y.isNotNull(), F.col("station_id"))).alias("stations_with_label"), F.count_distinct(F.when(y.isNotNull(), F.to_date("tick_ts"))).alias("dates_with_label"),
     )
+    counts = ["labeled_rows", "positive", "negative", "stations_with_label", "dates_with_label"]
+    return candidates.join(per, "horizon_min", "left").fillna(0, counts)
 
 
 def conservative_target(available: Column, known: Column, total: Column) -> Column:

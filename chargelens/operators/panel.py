@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from chargelens.functions.exprs import epoch_s, ratio, weekday0
 from chargelens.operators.snapshots import CHARGER, dedupe_snapshot_rows
+from chargelens.session import stage
 
 MAX_GAP_S = 25 * 60
 
@@ -120,6 +121,20 @@ def charger_segment_panel(events: DataFrame, ticks: DataFrame, status: Column) -
     return panel.select(*CHARGER, "tick_ts", status.alias("status"), "segment_id")
 
 
+def charger_segment_state(events: DataFrame, ticks: DataFrame, status: Column, as_of: Column) -> DataFrame:
+    """Cells of the charger-segment panel at its newest tick up to `as_of`, looked up in the intervals.
+
+    Of each charger only the last interval that starts by then can reach that tick, as an interval ends where the next
+    one starts; so no interval is widened. The newest tick is the last one that any of them covers.
+    """
+    upto = ticks.where(F.col("tick_ts") <= as_of).agg(F.max("tick_idx")).scalar()
+    begun = charger_segment_intervals(events, ticks).where(F.col("tick_idx") <= upto)
+    last = stage(begun.groupBy(*CHARGER).agg(F.max_by(F.struct("end_idx", "stat", "segment_id"), "tick_idx").alias("_s")))
+    at = last.agg(F.max(F.least(F.col("_s.end_idx") - 1, upto))).scalar()
+    when = ticks.where(F.col("tick_idx") == at).agg(F.max("tick_ts")).scalar()
+    return last.where(F.col("_s.end_idx") > at).select(*CHARGER, "_s.stat", "_s.segment_id").select(*CHARGER, when.alias("tick_ts"), status.alias("status"), "segment_id")
+
+
 def bounded_hold_panel(events: DataFrame, ticks: DataFrame) -> DataFrame:
     """Observed and carried cells. A failed tick keeps only what was observed in it."""
     cells = widen(bounded_hold_intervals(events, ticks), ticks, extra=("ok",))
@@ -287,11 +302,8 @@ def station_tick_panel(events: DataFrame, ticks: DataFrame, hold_s: int = MAX_GA
     )
 
 
-def station_features_e3(panel: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """Station counts and ratios per tick of the charger-segment panel; with `as_of`, its newest tick only."""
-    if as_of is not None:
-        panel = panel.where(F.col("tick_ts") <= as_of)
-        panel = panel.where(F.col("tick_ts") == panel.agg(F.max("tick_ts")).scalar())
+def station_features_e3(panel: DataFrame) -> DataFrame:
+    """Station counts and ratios per tick of the charger-segment panel, or of its cells at one tick."""
     out = panel.groupBy("tick_ts", "station_id").agg(
         F.count("*").alias("total_chargers"),
         *[F.count_if(F.col("status") == s).alias(f"{n}_count") for n, s in (("available", "AVAILABLE"), ("charging", "CHARGING"), ("out_of_service", "OUT_OF_SERVICE"))],

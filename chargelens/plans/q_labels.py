@@ -21,9 +21,14 @@ def eligible(t):
     return labels.eligible_stations(clean.access_flags(t.v_charger_master, stations(t)).join(q, "station_id"))
 
 
-def observed(t, horizons=labels.HORIZONS):
+def observed_parts(t):
+    """Observed cells and ticks, both staged."""
     ticks = log_ticks(t)
-    return labels.observed_labels(stage(panel.station_tick_panel(t.v_status_events, ticks)), ticks, horizons)
+    return stage(labels.observed_cells(t.v_status_events, ticks)), ticks
+
+
+def observed(t, horizons=labels.HORIZONS):
+    return labels.observed_labels(*observed_parts(t), horizons)
 
 
 def training(t):
@@ -82,19 +87,21 @@ def _(t):
 
 @query("n14_nearest_tick_label", "select station_id, tick_ts, horizon_min, label_reason from x_observed_labels where horizon_min = 15", ts="tick_ts")
 def _(t):
-    return observed(t, (15,)).select("station_id", "tick_ts", "horizon_min", "label_reason")
+    cells, ticks = observed_parts(t)
+    return labels.with_reasons(labels.observed_labels(cells, ticks, (15,)), cells, ticks, 15).select("station_id", "tick_ts", "horizon_min", "label_reason")
 
 
 @query("h1_observed_labels", "select station_id, tick_ts, available_observed, observed_chargers, horizon_min, cast(target_available as double) as target_available, label_reason from x_observed_labels where target_available is not null", num="target_available", ts="tick_ts")
 def _(t):
-    return observed(t).where("target_available is not null").drop("tick_s").withColumn("target_available", F.col("target_available").cast("double"))
+    return observed(t).where("target_available is not null").drop("tick_s", "tick_idx").withColumn("target_available", F.col("target_available").cast("double"))
 
 
 @query("h1_label_stats", """
 select horizon_min, count(*) as candidate_rows, count(target_available) as labeled_rows, count(*) filter (target_available = 1) as positive, count(*) filter (target_available = 0) as negative, avg(target_available) as positive_rate,
   count(distinct case when target_available is not null then station_id end) as stations_with_label, count(distinct case when target_available is not null then cast(tick_ts as date) end) as dates_with_label from x_observed_labels group by 1""", num="positive_rate")
 def _(t):
-    return labels.label_stats(observed(t))
+    cells, ticks = observed_parts(t)
+    return labels.label_stats(labels.observed_labels(cells, ticks), labels.candidate_counts(cells, ticks))
 
 
 @query("g4_longest_label_run", """
@@ -151,7 +158,8 @@ def replay(t):
     """Replay over the eligible stations that were ever polled, with their nearest five among them."""
     pool = stage(eligible(t).join(t.v_status_events.select("station_id"), "station_id", "left_semi").select("station_id", "lat", "lng"))
     ticks = log_ticks(t)
-    p = panel.station_tick_panel(t.v_status_events, ticks).join(pool.select("station_id"), "station_id", "left_semi")
+    own = t.v_status_events.join(pool.select("station_id"), "station_id", "left_semi")
+    p = stage(panel.station_tick_panel(own, ticks, sparse=True))
     return labels.replay_rows(p, spatial.nearest_neighbors(pool), ticks)
 
 

@@ -77,7 +77,8 @@ def _(t):
 @query("e7_station_features_as_of", f"""
 select * from ({E7_SQL}) where tick_ts = (select max(tick_ts) from x_e3 where tick_ts <= timestamp '2024-01-20 12:00:00')""", num="available_ratio charging_ratio out_of_service_ratio", ts="tick_ts")
 def _(t):
-    return panel.station_features_e3(e3(t), F.expr("timestamp_ntz'2024-01-20 12:00:00'"))
+    noon = F.expr("timestamp_ntz'2024-01-20 12:00:00'")
+    return panel.station_features_e3(panel.charger_segment_state(t.v_status_events, event_ticks(t), official_smart(F.col("stat")), noon))
 
 
 @query("e8_fleet_series", "select tick_ts, segment_id, available, in_use, usable_known, availability_pct, hour from x_series", num="availability_pct", ts="tick_ts")

@@ -5,7 +5,7 @@ import chargelens.plans.q_labels  # noqa: F401
 from chargelens.functions import codes
 from chargelens.operators import clean, labels, panel, quality, snapshots, spatial
 from chargelens.plans.common import event_ticks, fleet, log_ticks, station_ticks
-from chargelens.plans.q_labels import training
+from chargelens.plans.q_labels import observed_parts, training
 from chargelens.plans.q_spatial import incident_points, stations
 from chargelens.plans.registry import query
 from chargelens.plans.station_snapshot import d1
@@ -221,9 +221,9 @@ def _(t):
 select *, case when labeled_rows = 0 then 'C_NO_GO' when labeled_rows >= 5000 and label_days >= 14 and five_minute_share >= 0.5 and coverage >= 0.25 then 'A_GO' else 'B_CONDITIONAL_GO' end as grade from (
   select count(target_available) as labeled_rows, count(distinct case when target_available is not null then cast(tick_ts as date) end) as label_days, count(target_available) / cast(count(*) as double) as coverage, (select avg(case when prev_gap_s <= 330 then 1.0 else 0 end) from x_log where prev_gap_s is not null) as five_minute_share from x_observed_labels where horizon_min = 15)""", num="coverage five_minute_share")
 def _(t):
-    ticks = log_ticks(t)
-    lab = labels.observed_labels(stage(panel.station_tick_panel(t.v_status_events, ticks)), ticks, horizons=(15,))
-    return quality.feasibility_grade(labels.label_stats(lab), ticks)
+    cells, ticks = observed_parts(t)
+    stats = labels.label_stats(labels.observed_labels(cells, ticks, (15,)), labels.candidate_counts(cells, ticks, (15,)))
+    return quality.feasibility_grade(stats, ticks)
 
 
 @query("i18_integration_readiness", " union all ".join(f"select '{n}' as metric, count(*) filter ({c}) as stations from x_d1" for n, c in (

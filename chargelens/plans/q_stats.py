@@ -37,7 +37,16 @@ def _(t):
     return stats.associations(rows(t), ["feature"], p_values=False)
 
 
-@query("j1_associations_with_p")
+# two-sided p of a correlation r over n pairs: the tail of the density of r, with r = sin(angle), by Simpson's rule
+ORACLE_CTES["x_assoc"] = assoc_sql(["feature"])
+ORACLE_CTES["x_assoc_p"] = """
+with a as (select feature, "rows" as n, asin(abs(point_biserial)) as lo from x_assoc where point_biserial is not null),
+g as (select *, (least(pi() / 2, lo + 40 / sqrt(n)) - lo) / 4000 as h from a),
+p as (select feature, least(1.0, max(h) / 3 * 2 * sum(case when i in (0, 4000) then 1 when i % 2 = 1 then 4 else 2 end * pow(cos(lo + i * h), n - 3)) / exp(max(lgamma(0.5) + lgamma((n - 2) / 2.0) - lgamma((n - 1) / 2.0)))) as p_value from g, range(4001) s(i) group by 1)
+select *, least(min(p_value * m / rn) over (order by rn desc rows unbounded preceding), 1) as q_value from (select *, count(*) over () as m, row_number() over (order by p_value, feature) as rn from p)"""
+
+
+@query("j1_associations_with_p", "select a.*, p.p_value, p.q_value from x_assoc a left join x_assoc_p p using (feature)", num=ASSOC_NUM + " p_value q_value")
 def _(t):
     return stats.associations(rows(t), ["feature"])
 
@@ -47,20 +56,25 @@ def _(t):
     return stats.associations(rows(t), ["horizon", "feature"], p_values=False)
 
 
-def boot_sql(src):
-    """Bootstrap AUC per feature and replicate over the blocks of a feature table."""
+def boot_sql(src, replicates=100, block_rows=1000):
+    """Balanced AUC per feature and replicate over the blocks of a feature table; replicate -1 has every block once."""
     return f"""
 with blk as (select block, row_number() over (order by block) - 1 as i from (select distinct block from {src})), n as (select count(*) as n from blk),
-m as (select r as replicate, ((((r * 7919 + d * 104729 + 12345) % 2147483647) * 48271 % 2147483647) * 69621 % 2147483647) % n as i, count(*) as m from range(40) a(r), n, range(n.n) b(d) group by 1, 2),
-w as (select feature, replicate, x, sum(pos * m) as pos, sum(neg * m) as neg from (select feature, block, x, sum(y) as pos, sum(1 - y) as neg from {src} where x is not null group by 1, 2, 3) join blk using (block) join m using (i) group by 1, 2, 3),
-u as (select *, coalesce(sum(neg) over (partition by feature, replicate order by x rows between unbounded preceding and 1 preceding), 0) as before from w)
-select feature, replicate, case when count(*) >= 2 then sum(pos * (before + neg / 2.0)) / (sum(pos) * cast(sum(neg) as double)) end as auc from u group by 1, 2"""
+m as (select r as replicate, ((((r * 7919 + d * 104729 + 12345) % 2147483647) * 48271 % 2147483647) * 69621 % 2147483647) % n as i, count(*) as m from range({replicates}) a(r), n, range(n.n) b(d) group by 1, 2 union all select -1, i, 1 from blk),
+c as (select feature, block, x, sum(y) as pos, sum(1 - y) as neg from {src} where x is not null group by 1, 2, 3),
+f as (select feature, block, least(1.0, {block_rows}.0 / sum(pos + neg)) as f from c group by 1, 2),
+w as (select feature, replicate, x, sum(pos * m * f) as pos, sum(neg * m * f) as neg from c join f using (feature, block) join blk using (block) join m using (i) group by 1, 2, 3),
+u as (select *, coalesce(sum(neg) over (partition by feature, replicate order by x rows between unbounded preceding and 1 preceding), 0) as before from w),
+a as (select feature, replicate, case when count(*) >= 2 and sum(pos) > 0 and sum(neg) > 0 then sum(pos * (before + neg / 2.0)) / (sum(pos) * cast(sum(neg) as double)) end as auc from u group by 1, 2),
+e as (select feature, max(greatest(auc, 1 - auc)) filter (replicate = -1) as point, count(auc) filter (replicate >= 0) as replicates, quantile_cont(greatest(auc, 1 - auc), 0.025) filter (replicate >= 0) as low, quantile_cont(greatest(auc, 1 - auc), 0.975) filter (replicate >= 0) as high from a group by 1)
+select feature, blocks, case when ok then replicates else 0 end as replicates, case when ok then point end as blocked_auc, case when ok then low end as auc_ci_low, case when ok then high end as auc_ci_high
+from (select *, blocks >= 2 and point is not null as ok from e join (select feature, count(*) as blocks from f group by 1) using (feature))"""
 
 
 ORACLE_CTES["x_boot"] = boot_sql("x_feat")
 
 
-@query("j3_blocked_auc_interval", "select feature, count(auc) as replicates, avg(greatest(auc, 1 - auc)) as blocked_auc, quantile_cont(greatest(auc, 1 - auc), 0.025) as auc_ci_low, quantile_cont(greatest(auc, 1 - auc), 0.975) as auc_ci_high from x_boot group by 1", num="blocked_auc auc_ci_low auc_ci_high")
+@query("j3_blocked_auc_interval", "select * from x_boot", num="blocked_auc auc_ci_low auc_ci_high")
 def _(t):
     return stats.blocked_auc(rows(t), "block")
 
@@ -82,23 +96,25 @@ def _(t):
     return stats.mutual_information(rows(t), ["feature"])
 
 
-ORACLE_CTES["x_assoc"] = assoc_sql(["feature"])
 ORACLE_CTES["x_assoc_h"] = assoc_sql(["horizon", "feature"])
 REQUIRED = ("f_quantity",)
 ORACLE_CTES["x_decisions"] = """
-select a.feature, a.null_rate, a.directional_auc, b.blocked_auc, case when a.directional_auc is null then b.blocked_auc when b.blocked_auc is null then a.directional_auc else least(a.directional_auc, b.blocked_auc) end as practical_auc, b.auc_ci_low, s.direction_stable,
-  case when a.distinct_values < 2 then 'EXCLUDE' when a.null_rate > 0.9 then 'HOLD' when a.feature = 'f_quantity' then 'RETAIN_FOR_ABLATION' when coalesce(least(a.directional_auc, b.blocked_auc), 0) >= 0.55 and s.direction_stable then 'RETAIN_CANDIDATE' else 'HOLD_FOR_HGB_INTERACTION_TEST' end as decision
-from x_assoc a left join (select feature, avg(greatest(auc, 1 - auc)) as blocked_auc, quantile_cont(greatest(auc, 1 - auc), 0.025) as auc_ci_low from x_boot group by 1) b using (feature)
-left join (select feature, count(distinct sign(point_biserial)) filter (sign(point_biserial) <> 0) <= 1 as direction_stable from x_assoc_h group by 1) s using (feature)"""
+select * exclude (d, useful), d.decision as decision, d.reason as reason from (
+select *, case when distinct_values < 2 then {'decision': 'EXCLUDE', 'reason': 'one value at most'} when null_rate > 0.9 then {'decision': 'HOLD', 'reason': 'nearly always missing'} when feature = 'f_quantity' then {'decision': 'RETAIN_FOR_ABLATION', 'reason': 'required by the domain'}
+  when useful and q_value < 0.05 and auc_ci_low > 0.5 then {'decision': 'RETAIN_CANDIDATE', 'reason': 'significant, interval above chance, stable direction'} when useful then {'decision': 'RETAIN_CANDIDATE', 'reason': 'discriminates, stable direction'} else {'decision': 'HOLD_FOR_HGB_INTERACTION_TEST', 'reason': 'weak on its own'} end as d
+from (select *, coalesce(practical_auc >= 0.55, false) and direction_stable as useful from (
+  select a.feature, a.null_rate, a.distinct_values, a.directional_auc, b.blocked_auc, case when a.directional_auc is null then b.blocked_auc when b.blocked_auc is null then a.directional_auc else least(a.directional_auc, b.blocked_auc) end as practical_auc, b.auc_ci_low, p.q_value, s.direction_stable
+  from x_assoc a left join x_boot b using (feature) left join x_assoc_p p using (feature)
+  left join (select feature, count(distinct sign(point_biserial)) filter (sign(point_biserial) <> 0) <= 1 as direction_stable from x_assoc_h group by 1) s using (feature))))"""
 
 
 def decisions(t, part=None):
     r = rows(t) if part is None else rows(t).where(part)
     blocked = stats.blocked_auc(r, "block").select("feature", "blocked_auc", "auc_ci_low")
-    return stats.feature_decisions(stats.associations(r, ["feature"], p_values=False), stats.associations(r, ["horizon", "feature"], p_values=False), blocked, REQUIRED)
+    return stats.feature_decisions(stats.associations(r, ["feature"]), stats.associations(r, ["horizon", "feature"], p_values=False), blocked, REQUIRED)
 
 
-@query("j6_feature_decisions", "select * from x_decisions", num="null_rate directional_auc blocked_auc practical_auc auc_ci_low")
+@query("j6_feature_decisions", "select * exclude (distinct_values) from x_decisions", num="null_rate directional_auc blocked_auc practical_auc auc_ci_low q_value")
 def _(t):
     return decisions(t)
 
@@ -148,7 +164,7 @@ ORACLE_CTES["x_boot_coord"] = boot_sql("x_coord")
 
 
 @query("j15_coordinate_features", "select a.*, b.blocked_auc, b.auc_ci_low, case when directional_auc is null then 'INCONCLUSIVE' when least(directional_auc, blocked_auc) >= 0.60 and auc_ci_low > 0.5 then 'CANDIDATE' when least(directional_auc, blocked_auc) >= 0.55 and auc_ci_low > 0.5 then 'WEAK_CANDIDATE' else 'DROP_LIKELY' end as decision from ("
-       + assoc_sql(["feature"], "x_coord") + ") a left join (select feature, avg(greatest(auc, 1 - auc)) as blocked_auc, quantile_cont(greatest(auc, 1 - auc), 0.025) as auc_ci_low from x_boot_coord group by 1) b using (feature)", num=ASSOC_NUM + " blocked_auc auc_ci_low")
+       + assoc_sql(["feature"], "x_coord") + ") a left join x_boot_coord b using (feature)", num=ASSOC_NUM + " blocked_auc auc_ci_low")
 def _(t):
     lab = eta_label_rows(t).join(station_points(t).select("station_id", "lat", "lng"), "station_id")
     lab = lab.withColumns({"km": haversine_m(F.lit(CENTRE[0]), F.lit(CENTRE[1]), F.col("lat"), F.col("lng")) / 1000, "y": F.col("target_available_at_arrival").cast("int"), "block": F.to_date("feature_as_of").cast("string")})

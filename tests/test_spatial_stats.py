@@ -57,6 +57,39 @@ def test_nearest_neighbors_exclude_self(frames, clouds):
         assert [i for _, i in sorted(got[sid])] == want
 
 
+def _rows(spark, rows, name):
+    return spark.createDataFrame([(i, float(a), float(b)) for i, a, b in rows], f"{name} string, lat double, lng double")
+
+
+def test_far_points_meet_only_the_nearest_cells(spark):
+    """Points at (0, 0), a pole and over the date line, next to a city; fewer right points than wanted as well."""
+    rng = np.random.default_rng(7)
+    city = [(f"p{i:03d}", 35.6 + x, 128.3 + y) for i, (x, y) in enumerate(rng.random((597, 2)) * 0.6)]
+    right = city + [("q0", 89.0, 10.0), ("q1", -17.0, 179.9), ("q2", -17.1, -179.8)]
+    far = [("a", 0.0, 0.0), ("b", 90.0, -60.0), ("c", -17.0, -179.99), ("d", -17.0, 179.99), ("e", 35.9, 128.6)]
+    pts, lefts = _rows(spark, right, "poi_id"), _rows(spark, far, "station_id")
+    got = {}
+    for r in spatial.k_nearest(lefts, pts, "poi_id", 5).collect():
+        got.setdefault((r.lat, r.lng), []).append((r.neighbor_rank, r.neighbor_id))
+    for _, *p in far:
+        want = [i for _, i in sorted((dist(p, q), i) for i, *q in right)[:5]]
+        assert [i for _, i in sorted(got[tuple(p)])] == want
+    lone = _rows(spark, far[:3], "station_id").select("lat", "lng")
+    assert spatial._tree_pairs(lone, pts.select("lat", "lng", "poi_id"), 5, ["poi_id"]).count() < 150  # of 1,800
+    few = spatial.k_nearest(lefts, _rows(spark, right[-2:], "poi_id"), "poi_id", 5)
+    assert few.groupBy("lat", "lng").count().where("count = 2").count() == len(far)
+
+
+def test_count_within_looks_into_border_pieces_only(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    dense = [(f"p{i:04d}", 35.8 + x, 128.5 + y) for i, (x, y) in enumerate(rng.normal(0, 0.01, (3000, 2)))] + [("z", 35.8, 128.5)] * 50
+    left = [(f"s{i}", 35.8 + x, 128.5 + y) for i, (x, y) in enumerate(rng.normal(0, 0.01, (12, 2)))] + [("t", 35.8, 128.5), ("u", 0.0, 0.0)]
+    for few in (4, 10**6):
+        monkeypatch.setattr(spatial, "FEW", few)
+        got = {r.station_id: r.n for r in spatial.count_within(_rows(spark, left, "station_id"), _rows(spark, dense, "poi_id"), 1000.0, "n").collect()}
+        assert got == {sid: sum(dist(p, q) <= 1000 for _, *q in dense) for sid, *p in left}
+
+
 def test_high_latitude_cells(spark):
     a = spark.createDataFrame([("a", 69.65, 18.95)], "station_id string, lat double, lng double")
     b = spark.createDataFrame([("b", 69.655, 18.97)], "poi_id string, lat double, lng double")
