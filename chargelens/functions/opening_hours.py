@@ -1,99 +1,87 @@
-"""Open / closed / unknown at a given time from free-text opening hours."""
+"""Open / closed / unknown at a given time from free-text opening hours.
+
+A text is brought to one spelling, cut into clauses in front of each mention of days, and every clause is read by the same
+small grammar: which days it speaks of, whether it says "closed", and its time spans. The answer for a time is then a
+matter of the clauses that speak of its day.
+"""
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# --- fixed values: phrases and clock patterns of the source texts --------------------------------
-CLOSED = (
-    r"^\(?\s*(비개방|미개방|개방불가)\s*\)?$|^(비개방|미개방)(\s|$|\(|:)|주중/주말\s*:\s*개방불가|비개방\s*\(|업무시설\s*미개방|개방불가"
-)
-ALWAYS = r"24\s*시간|종일|\(24\s*시\)|00\s*:\s*00\s*[~\-–—～]\s*23\s*:\s*59|00\s*:\s*00\s*[~\-–—～]\s*24\s*:\s*00|주중/주말\s*:\s*24"
-VAGUE = r"매장\s*(영업|운영)\s*시간|운영시간\s*이용|시설\s*운영\s*시간"
-WEEKEND_CLOSED = (
-    r"(주말|토\s*,?\s*일|토일).{0,12}(미개방|이용불가|휴무|제외)|(공휴일).{0,8}(미개방|이용불가|휴무|제외)|"
-    r"주말\s*\(?\s*공휴일\s*\)?\s*미개방|토\s*,\s*일\s*,\s*공휴일\s*이용불가"
-)
-WEEKDAY_MARK, WEEKEND_MARK = r"평일|주중", r"주말|토\s*,?\s*일|공휴일|토요일"
-DASH = r"\s*[~\-–—～]\s*"
-CLOCK = r"(\d{1,2})\s*[:：]\s*(\d{2})"
-NEXT_DAY_RANGE = r"(?<!\d)" + CLOCK + DASH + r"익일\s*" + CLOCK
-CLOCK_RANGE = r"(?<!\d)" + CLOCK + r"(?:\s*[:：]\s*\d{2})?" + DASH + CLOCK + r"(?:\s*[:：]\s*\d{2})?"
-HOUR_RANGE = r"(?<!\d)(\d{1,2})\s*시" + DASH + r"(\d{1,2})\s*시"
-BARE_HOUR_RANGE = r"(?<!\d)(\d{1,2})" + DASH + r"(\d{1,2})\s*시"
-# --- end of fixed values -------------------------------------------------------------------------
-
-
-def _hits(text: Column, pattern: str, groups: tuple[int, ...]) -> Column:
-    """All matches as arrays of integers, one array per match."""
-    cols = [F.regexp_extract_all(text, F.lit(pattern), g) for g in groups]
-    return F.transform(F.arrays_zip(*[c.alias(f"g{i}") for i, c in enumerate(cols)]), lambda m: F.array(*[m[f"g{i}"].cast("int") for i in range(len(groups))]))
-
-
-def _minutes(hour: Column, minute: Column) -> Column:
-    ok = ((hour < 24) & (minute <= 59)) | ((hour == 24) & (minute == 0))
-    return F.when(ok, hour * 60 + minute)
-
-
-def _ranges(text: Column) -> Column:
-    """Distinct (start, end) minute pairs of the text; bare hours count only when no clock time is there."""
-    zero = F.lit(0)
-    as_hm = lambda m: F.struct(_minutes(m[0], m[1]).alias("s"), _minutes(m[2], m[3]).alias("e"))
-    as_h = lambda m: F.struct(_minutes(m[0], zero).alias("s"), _minutes(m[1], zero).alias("e"))
-    valid = lambda a: F.filter(a, lambda r: r["s"].isNotNull() & r["e"].isNotNull())
-    main = valid(F.concat(
-        F.transform(_hits(text, NEXT_DAY_RANGE, (1, 2, 3, 4)), as_hm),
-        F.transform(_hits(text, CLOCK_RANGE, (1, 2, 3, 4)), as_hm),
-        F.transform(_hits(text, HOUR_RANGE, (1, 2)), as_h),
-    ))
-    bare = valid(F.transform(_hits(text, BARE_HOUR_RANGE, (1, 2)), as_h))
-    return F.array_distinct(F.when(F.size(main) > 0, main).otherwise(bare))
-
-
-def _inside(ranges: Column, now: Column) -> Column:
-    """Start inclusive, end exclusive; a start after the end runs over midnight; equal ends are empty."""
-    return F.exists(ranges, lambda r: F.when(r["s"] < r["e"], (now >= r["s"]) & (now < r["e"])).when(r["s"] > r["e"], (now >= r["s"]) | (now < r["e"])).otherwise(F.lit(False)))
-
-
-def _clauses(text: Column) -> tuple[Column, Column]:
-    """Weekday and weekend parts of a comma- or slash-separated text; NULL when it has none of its own."""
-    parts = F.filter(F.transform(F.split(F.regexp_replace(text, "[／/]", ","), "[,，]"), F.trim), lambda p: p != "")
-    wd = F.filter(parts, lambda p: F.rlike(p, F.lit(WEEKDAY_MARK)) & ~F.rlike(p, F.lit(WEEKEND_MARK)))
-    we = F.filter(parts, lambda p: F.rlike(p, F.lit(WEEKEND_MARK)) & ~F.rlike(p, F.lit(WEEKDAY_MARK)))
-    other = F.filter(parts, lambda p: F.rlike(p, F.lit(WEEKDAY_MARK)) == F.rlike(p, F.lit(WEEKEND_MARK)))
-    join = lambda a: F.when(F.size(a) > 0, F.array_join(a, " "))
-    shared = (F.size(wd) == 0) & (F.size(we) == 0)
-    weekday = F.when(shared, join(other)).when((F.size(wd) == 0) & F.rlike(text, F.lit(WEEKDAY_MARK)), join(other)).otherwise(join(wd))
-    weekend = F.when(shared, join(other)).otherwise(join(we))
-    return weekday, weekend
+# Words of the source texts, blanks left out.
+WEEKDAY_WORDS = ("평일", "주중")
+WEEKEND_WORDS = ("주말", "토요일", "일요일", "토,일", "토일", "토/일", "공휴일")
+CLOSED_WORDS = ("비개방", "미개방", "개방불가")
+DAY_OFF_WORDS = (*CLOSED_WORDS, "이용불가", "휴무", "제외")
+ALL_DAY_WORDS = ("24시간", "종일", "(24시)")
+NEXT_DAY_WORD = "익일"
+
+DAY = 1440
+#: signs that are written for a range, a clock's colon and a separator
+SAME = {"–": "~", "—": "~", "～": "~", "-": "~", "：": ":", "／": "/", "，": ","}
+_ANY_DAY = "(?:" + "|".join((*WEEKDAY_WORDS, *WEEKEND_WORDS)) + ")"
+#: a mention of days: one day word or several, joined by signs or "and"
+DAYS = f"{_ANY_DAY}(?:[및,/·()]*{_ANY_DAY})*"
+#: hour, minute ~ hour, minute or the word for hour; the end must show that it is a time
+SPAN = rf"(?<!\d)(\d{{1,2}})(?::(\d\d)(?::\d\d)?)?시?~(?:{NEXT_DAY_WORD})?(\d{{1,2}})(?:시|:(\d\d)(?::\d\d)?)"
+
+
+def _says(text: Column, words: tuple[str, ...]) -> Column:
+    return F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(text, w))
+
+
+def _one_spelling(text: Column) -> Column:
+    return F.translate(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", ""), "".join(SAME), "".join(SAME.values()))
+
+
+def _spans(text: Column) -> Column:
+    """Distinct (start, end) minutes of the day; times that no clock shows are left out."""
+    part = [F.regexp_extract_all(text, F.lit(SPAN), F.lit(i)) for i in (1, 2, 3, 4)]
+    number = lambda c: F.coalesce(F.nullif(c, F.lit("")).cast("int"), F.lit(0))
+    read = F.transform(F.arrays_zip(*[p.alias(n) for p, n in zip(part, ("h", "m", "hh", "mm"))]), lambda r: F.struct(
+        (number(r["h"]) * 60 + number(r["m"])).alias("start"), (number(r["hh"]) * 60 + number(r["mm"])).alias("end"), F.greatest(number(r["m"]), number(r["mm"])).alias("minute")))
+    shown = F.filter(read, lambda r: (r["start"] <= DAY) & (r["end"] <= DAY) & (r["minute"] < 60))
+    return F.array_distinct(F.transform(shown, lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"))))
+
+
+def _covers(span: Column, now: Column) -> Column:
+    """The start belongs to the span, the end does not; an end before the start is on the next day."""
+    length = F.pmod(span["end"] - span["start"], F.lit(DAY))
+    whole = (span["start"] == 0) & (span["end"] >= DAY - 1)
+    return whole | (F.pmod(now - span["start"], F.lit(DAY)) < length)
 
 
 def operating_at(df: DataFrame, text: str, when: Column, out: str) -> DataFrame:
     """Adds Y, N or UNKNOWN. A missing or unreadable text is UNKNOWN, never open.
 
-    Built in steps so that each clock pattern is evaluated once per row.
+    closed without any time                         N
+    an all-day word, or a span from 0 to 24         Y
+    a clause on this day says closed                N
+    clauses on this day have spans                  Y if one covers the time, else N
+    other spans, days mentioned somewhere           Y if one covers the time, else N
+    other spans, no day mentioned                   the only one decides; several are UNKNOWN
     """
-    t, every = F.col("_text"), F.col("_every")
-    df = df.withColumns({"_text": F.trim(text), "_now": F.hour(when) * 60 + F.minute(when), "_we": F.weekday(when) >= 5})
-    wd, we = _clauses(t)
-    df = df.withColumns({"_wd": wd, "_wk": we, "_every": _ranges(t)})
-    weekend, none, now = F.col("_we"), F.size(every) == 0, F.col("_now")
-    both = F.col("_wd").isNotNull() & F.col("_wk").isNull() & F.contains(F.replace(t, F.lit(" "), F.lit("")), F.lit("주중/주말"))
-    df = df.withColumn("_clause", F.when(weekend, F.when(both, t).otherwise(F.coalesce(F.col("_wk"), t))).otherwise(F.coalesce(F.col("_wd"), t)))
-    df = df.withColumn("_own", _ranges(F.col("_clause")))
-    marked = F.rlike(t, F.lit(WEEKDAY_MARK)) | F.rlike(t, F.lit(WEEKEND_MARK))
-    df = df.withColumn("_use", F.when(marked & (F.size("_own") > 0), F.col("_own")).otherwise(every))
-    state = (
-        F.when(t.isNull() | F.lower(t).isin("", "nan", "none", "null") | t.isin("~", "-"), "UNKNOWN")
-        .when(F.rlike(t, F.lit(CLOSED)) & none, "N")
-        .when(F.rlike(t, F.lit(ALWAYS)), "Y")
-        .when(F.rlike(t, F.lit(VAGUE)) & none, "UNKNOWN")
-        .when(weekend & F.rlike(t, F.lit(WEEKEND_CLOSED)), "N")
-        .when(none, "UNKNOWN")
-        .when(marked | (F.size(every) == 1), F.when(_inside(F.col("_use"), now), "Y").otherwise("N"))
-        .otherwise("UNKNOWN")
-    )
-    return df.withColumn(out, state).drop("_text", "_now", "_we", "_wd", "_wk", "_every", "_clause", "_own", "_use")
+    plain, now, weekend = F.col("_plain"), F.col("_now"), F.col("_weekend")
+    df = df.withColumns({"_plain": _one_spelling(F.col(text)), "_now": F.hour(when) * 60 + F.minute(when), "_weekend": F.weekday(when) >= 5})
+    clause = lambda c: F.struct(
+        _says(c, WEEKDAY_WORDS).alias("weekday"), _says(c, WEEKEND_WORDS).alias("weekend"), _says(c, DAY_OFF_WORDS).alias("off"), _spans(c).alias("spans"))
+    df = df.withColumn("_clauses", F.transform(F.split(F.regexp_replace(plain, f"({DAYS})", "\n$1"), "\n"), clause))
+    today = lambda c: F.when(weekend, c["weekend"]).otherwise(c["weekday"])
+    spans = lambda cs: F.array_distinct(F.flatten(F.transform(cs, lambda c: c["spans"])))
+    df = df.withColumns({"_mine": F.filter("_clauses", today), "_every": spans(F.col("_clauses"))}).withColumn("_own", spans(F.col("_mine")))
+    open_in = lambda s: F.when(F.exists(s, lambda x: _covers(x, now)), "Y").otherwise("N")
+    timeless, named = F.size("_every") == 0, F.exists("_clauses", lambda c: c["weekday"] | c["weekend"])
+    unnamed_shut = F.exists("_clauses", lambda c: ~c["weekday"] & ~c["weekend"]) & ~named & _says(plain, CLOSED_WORDS)
+    rows = [
+        (timeless & (unnamed_shut | F.contains(plain, F.lit("개방불가"))), F.lit("N")),
+        (_says(plain, ALL_DAY_WORDS) | F.exists("_every", lambda s: (s["start"] == 0) & (s["end"] >= DAY - 1)), F.lit("Y")),
+        (F.exists("_mine", lambda c: c["off"]), F.lit("N")),
+        (F.size("_own") > 0, open_in(F.col("_own"))),
+        (~timeless & (named | (F.size("_every") == 1)), open_in(F.col("_every"))),
+    ]
+    state = F.coalesce(*[F.when(met, answer) for met, answer in rows], F.lit("UNKNOWN"))
+    return df.withColumn(out, state).drop("_plain", "_now", "_weekend", "_clauses", "_mine", "_every", "_own")
 
 
 def with_operating_now(stations: DataFrame, when: Column, text: str = "use_time") -> DataFrame:

@@ -30,23 +30,30 @@ def _gates() -> dict[str, Column]:
 
 
 def _evidence() -> Column:
-    """Reasons shown with a candidate, in fixed order. The wording is the published format."""
-    whole = lambda c: F.format_string("%.0f", F.col(c).cast("double"))
-    parts = [
-        F.lit("공용 후보(limitYn 제한 없음)"),
-        F.concat(F.lit("확정 사용 가능 "), F.col("available_count").cast("string"), F.lit("/"), F.col("total_chargers").cast("string"), F.lit("대")),
-        F.concat(F.lit("상태 신뢰도 "), "reliability_grade_effective"),
-        F.concat(F.lit("운영 여부 "), "is_operating_now"),
-        F.when(F.col("nearest_parking_m").isNotNull(), F.concat(F.lit("주차장 "), whole("nearest_parking_m"), F.lit("m"))),
-        F.when(F.col("parking_remaining_spaces").isNotNull(), F.concat(F.lit("주차 잔여 "), whole("parking_remaining_spaces"), F.lit("면"))),
-        F.when(F.col("nearest_incident_m").isNotNull(), F.concat(F.lit("돌발 "), whole("nearest_incident_m"), F.lit("m"))),
-        F.when(F.col("usage_level").isNotNull(), F.concat(F.lit("과거 이용강도 "), "usage_level")),
-        F.when(F.col("total_chargers") <= 1, "충전기 1대: 대기·실패 위험 주의"),
-        F.when(F.col("is_operating_now") == "UNKNOWN", "운영시간 미확인"),
-        F.when(F.col("reliability_grade_effective") == "CHECK_REQUIRED", "상태 재확인 필요"),
-        F.when(F.col("parking_remaining_spaces") <= 0, "인근 주차장 만차"),
+    """One line per candidate: what speaks for it, then after a bar what to look at before driving there.
+
+    Both parts are lists of (weight, text); entries that do not apply are left out and the heaviest come first.
+    """
+    meters = lambda c: F.concat(F.round(F.col(c)).cast("long").cast("string"), F.lit("m"))
+    number = lambda c: F.col(c).cast("long").cast("string")
+    free, total, spaces = F.col("available_count"), F.col("total_chargers"), F.col("parking_remaining_spaces")
+    minutes = F.least(F.col("status_age_minutes"), F.col("observation_age_minutes"))
+    entry = lambda on, weight, text: F.when(on, F.struct((-weight).alias("w"), text.alias("t")))
+    said = lambda entries: F.array_join(F.transform(F.array_sort(F.array_compact(F.array(*entries))), lambda e: e["t"]), "; ")
+    pros = [
+        entry(free > 0, free * 10, F.concat(number("available_count"), F.lit(" of "), number("total_chargers"), F.lit(" free"))),
+        entry(minutes <= 15, F.lit(9), F.concat(F.lit("seen "), F.round(minutes).cast("long").cast("string"), F.lit(" min ago"))),
+        entry(spaces > 0, F.lit(5), F.concat(number("parking_remaining_spaces"), F.lit(" parking spaces at "), meters("nearest_parking_m"))),
+        entry(F.col("usage_level") == "LOW", F.lit(3), F.lit("rarely busy")),
     ]
-    return F.concat_ws(" · ", *parts)
+    cons = [
+        entry((F.col("is_operating_now") == "UNKNOWN"), F.lit(8), F.lit("opening hours unclear")),
+        entry(F.coalesce(minutes > 15, F.lit(True)), F.lit(7), F.lit("state is old")),
+        entry(spaces <= 0, F.lit(6), F.lit("parking full")),
+        entry(F.col("nearest_incident_m") <= 500, F.lit(4), F.concat(F.lit("road incident at "), meters("nearest_incident_m"))),
+        entry((total == 1), F.lit(2), F.lit("no second charger")),
+    ]
+    return F.concat(said(pros), F.lit(" | "), said(cons))
 
 
 def candidate_list(d1: DataFrame, lat: float, lng: float, limit: int) -> DataFrame:

@@ -172,12 +172,16 @@ ORACLE_CTES["x_d1"] = f"""
 select a.station_id, a.station_name, a.addr, a.lat, a.lng, a.access_restricted, a.name_suggests_residential, a.recommend_public_default, o.is_operating_now, i.coord_ok,
   s.total_chargers, s.available_count, s.observed_count, s.unobserved_count, s.availability_ratio_observed, s.unobserved_rate, s.has_confirmed_available, s.status_age_minutes, s.observation_age_minutes,
   s.reliability_grade, s.observation_grade, s.reliability_grade_effective, s.observation_state, l.matched_id as parking_matched_id, l.distance_m as nearest_parking_m, cast(ln.remaining_spaces as double) as parking_remaining_spaces, ln.occupancy_rate as parking_occupancy_rate,
-  ln.congestion_status as parking_congestion_status, lh.parking_remaining_std_1h, lh.parking_remaining_delta_1h, n.distance_m as nearest_incident_m, cast(coalesce(p.matched, false) as int) as poi_count_1km,
+  ln.congestion_status as parking_congestion_status, lh.parking_remaining_std_1h, lh.parking_remaining_delta_1h, n.distance_m as nearest_incident_m, coalesce(p.poi_count_1km, 0) as poi_count_1km,
+  l.total_spaces as parking_total_spaces, ln.lot_id is not null as parking_has_realtime, lh.parking_realtime_ticks_1h, k.matched_id as nearest_link_id, k.distance_m as nearest_link_m, k.speed_kph as link_speed_kph, k.link_cong_grade, k.cong_name as link_cong_grade_nm,
+  (select max(limit_yn) from v_charger_master m where m.station_id = a.station_id) as limit_yn, cast(null as double) as eta_minutes, false as parking_is_mock, 'lots' as parking_source, false as traffic_is_mock, 'incidents' as traffic_source, 'status_polls' as source_status, 'd1.2' as schema_version,
   u.usage_level, u.sessions_per_charger, u.usage_weekday_avg, u.usage_weekend_avg, u.usage_charger_type, u.station_id is not null as history_observed, x_asof.as_of as as_of_ts
 from x_access a cross join x_asof join x_open_now o using (station_id) join (select station_id, coordinate_quality_flag = 'OK' as coord_ok from (select *, row_number() over (partition by station_id order by charger_id) as rr from x_info) where rr = 1) i using (station_id)
-left join x_station_status s using (station_id) left join x_near_lot l using (station_id) left join x_lot_now ln on ln.lot_id = l.matched_id left join ({LOT_HOUR.format(asof='x_asof')}) lh on lh.lot_id = l.matched_id
-left join x_near_incident n using (station_id) left join x_near_poi p using (station_id) left join x_usage_station u using (station_id)"""
-D1_NUM = "lat lng availability_ratio_observed unobserved_rate status_age_minutes observation_age_minutes nearest_parking_m parking_remaining_spaces parking_occupancy_rate parking_remaining_std_1h parking_remaining_delta_1h nearest_incident_m sessions_per_charger usage_weekday_avg usage_weekend_avg"
+left join x_station_status s using (station_id) left join (select n.*, v.total_spaces from x_near_lot n left join v_lots v on v.lot_id = n.matched_id) l using (station_id) left join x_lot_now ln on ln.lot_id = l.matched_id left join ({LOT_HOUR.format(asof='x_asof')}) lh on lh.lot_id = l.matched_id
+left join x_near_incident n using (station_id) left join (select station_id, count(*) as poi_count_1km from (select station_id from x_near_poi where matched union all select station_id from x_near_park where matched) group by 1) p using (station_id)
+left join (select n.*, s.speed_kph, s.cong_grade as link_cong_grade, v.cong_name from x_near_link n left join x_speed_links s on s.link_id = n.matched_id left join v_links v on v.link_id = n.matched_id) k using (station_id)
+left join x_usage_station u using (station_id)"""
+D1_NUM = "nearest_link_m link_speed_kph eta_minutes parking_realtime_ticks_1h parking_total_spaces lat lng availability_ratio_observed unobserved_rate status_age_minutes observation_age_minutes nearest_parking_m parking_remaining_spaces parking_occupancy_rate parking_remaining_std_1h parking_remaining_delta_1h nearest_incident_m sessions_per_charger usage_weekday_avg usage_weekend_avg"
 
 
 @query("n23_station_snapshot_d1", "select * from x_d1", num=D1_NUM, ts="as_of_ts")
@@ -206,11 +210,13 @@ def _(t):
 
 
 @query("g8_candidate_evidence", f"""
-select station_id, concat_ws(' · ', '공용 후보(limitYn 제한 없음)', '확정 사용 가능 ' || available_count || '/' || total_chargers || '대', '상태 신뢰도 ' || reliability_grade_effective, '운영 여부 ' || is_operating_now,
-  '주차장 ' || printf('%.0f', nearest_parking_m) || 'm', '주차 잔여 ' || printf('%.0f', parking_remaining_spaces) || '면', '돌발 ' || printf('%.0f', nearest_incident_m) || 'm', '과거 이용강도 ' || usage_level,
-  case when total_chargers <= 1 then '충전기 1대: 대기·실패 위험 주의' end, case when is_operating_now = 'UNKNOWN' then '운영시간 미확인' end, case when reliability_grade_effective = 'CHECK_REQUIRED' then '상태 재확인 필요' end, case when parking_remaining_spaces <= 0 then '인근 주차장 만차' end) as evidence
-from (select *, case when reliability_grade_effective in ('HIGH', 'NORMAL') and is_operating_now = 'Y' then 'A' else 'B' end as tier, {hav('o', 'd')} as distance_m from x_d1 d, (select cast(35.871 as double) as lat, cast(128.601 as double) as lng) o
-  where recommend_public_default and coord_ok and d.lat is not null and has_confirmed_available and is_operating_now <> 'N' order by tier, distance_m, available_count desc, station_id limit 30)""")
+select station_id, concat(coalesce(array_to_string(list_transform(list_sort([e for e in pros if e.t is not null]), lambda e: e.t), '; '), ''), ' | ', coalesce(array_to_string(list_transform(list_sort([e for e in cons if e.t is not null]), lambda e: e.t), '; '), '')) as evidence from (
+  select station_id, [{{'w': -available_count * 10, 't': case when available_count > 0 then available_count || ' of ' || total_chargers || ' free' end}}, {{'w': -9, 't': case when age <= 15 then 'seen ' || cast(round(age) as bigint) || ' min ago' end}},
+    {{'w': -5, 't': case when parking_remaining_spaces > 0 then cast(parking_remaining_spaces as bigint) || ' parking spaces at ' || cast(round(nearest_parking_m) as bigint) || 'm' end}}, {{'w': -3, 't': case when usage_level = 'LOW' then 'rarely busy' end}}] as pros,
+   [{{'w': -8, 't': case when is_operating_now = 'UNKNOWN' then 'opening hours unclear' end}}, {{'w': -7, 't': case when age is null or age > 15 then 'state is old' end}}, {{'w': -6, 't': case when parking_remaining_spaces <= 0 then 'parking full' end}},
+    {{'w': -4, 't': case when nearest_incident_m <= 500 then 'road incident at ' || cast(round(nearest_incident_m) as bigint) || 'm' end}}, {{'w': -2, 't': case when total_chargers = 1 then 'no second charger' end}}] as cons
+  from (select d.*, least(status_age_minutes, observation_age_minutes) as age, case when reliability_grade_effective in ('HIGH', 'NORMAL') and is_operating_now = 'Y' then 'A' else 'B' end as tier, {hav('o', 'd')} as distance_m from x_d1 d, (select cast(35.871 as double) as lat, cast(128.601 as double) as lng) o
+  where recommend_public_default and coord_ok and d.lat is not null and has_confirmed_available and is_operating_now <> 'N' order by tier, distance_m, available_count desc, station_id limit 30))""")
 def _(t):
     return candidates.candidate_list(d1(t), *ORIGIN, 30).select("station_id", "evidence")
 
