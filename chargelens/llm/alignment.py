@@ -2,7 +2,6 @@
 from __future__ import annotations
 
 import hashlib
-import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -15,14 +14,14 @@ import sentencepiece
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from chargelens.llm.common import stage
+from chargelens.llm.tokens import ByteBPE, units
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
-BLOCK_BYTES = 8 << 20  # texts that one block of documents holds
-UNITS = 500_000  # units a worker keeps between blocks
-CHUNK = 2000  # words encoded as one text
+BLOCK_BYTES = 3 << 20  # texts that one block of documents holds
+UNITS, KEPT = 400_000, 200_000  # units a worker holds between blocks, some 250 bytes each, and those it keeps when there are more
+CHUNK, AT_ONCE = 2000, 8  # words encoded as one text, and such texts encoded at once
 GIANT = 4096  # pairs of a group above which its ids are counted before they are paired
 CUT = re.compile(r"(?<=\S)(?= \S)")
 BITS = 16  # of a B id in a pair
@@ -34,13 +33,6 @@ def aligner(a_path: str, b_path: str) -> Aligner:
     return Aligner(a_path, b_path)
 
 
-def _byte_letters() -> dict[str, int]:
-    """Letters that stand for bytes in byte-level vocabularies: printable ones for themselves, the rest from U+0100 on in order."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [i for i in range(256) if i not in set(plain)]
-    return {chr(i): i for i in plain} | {chr(256 + k): i for k, i in enumerate(rest)}
-
-
 def _first_of(lengths: np.ndarray) -> np.ndarray:
     return np.cumsum(lengths) - lengths
 
@@ -60,15 +52,9 @@ class Aligner:
     """
 
     def __init__(self, a_path: str, b_path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.a = Tokenizer.from_file(a_path)
-        self.a.encode_special_tokens = True
+        self.a = ByteBPE(a_path)
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        letters = _byte_letters()
-        names = self.a.get_vocab()
-        a_bytes = [b""] * (max(names.values()) + 1)
-        for name, i in names.items():
-            a_bytes[i] = bytes(letters[c] for c in name) if all(c in letters for c in name) else name.encode()
+        a_bytes = self.a.bytes
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else b"" if self.b.is_control(i) or self.b.is_unknown(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.a_bytes, self.b_bytes = a_bytes, b_bytes
@@ -90,70 +76,89 @@ class Aligner:
     def clear(self) -> None:
         self.known: dict[str, int] = {}
         self.groups: list[str] = []
-        self.stats = np.zeros((0, 5), np.int64)  # A ids, B ids, groups, links, aligned (0 or 1)
-        self.n_pairs = np.zeros(0, np.int64)
-        self.pairs = np.zeros(0, np.int64)
-        self.times = np.zeros(0, np.int64)
+        self.stats = np.zeros((0, 5), np.int32)  # A ids, B ids, groups, links, aligned (0 or 1)
+        self.n_pairs = np.zeros(0, np.int32)
+        self.pairs = np.zeros(0, np.uint32)
+        self.times = np.zeros(0, np.int32)
+        self.uses = np.zeros(0, np.int32)  # blocks that held the unit
+
+    def forget(self, kept: int) -> None:
+        """Drops all but the units that most blocks held."""
+        keep = np.sort(np.argsort(-self.uses, kind="stable")[:kept])
+        names = list(self.known)
+        self.known = {names[i]: k for k, i in enumerate(keep.tolist())}
+        self.groups = [self.groups[i] for i in keep.tolist()]
+        sizes = self.n_pairs.astype(np.int64)
+        taken = _spread(_first_of(sizes)[keep], sizes[keep])
+        self.pairs, self.times = self.pairs[taken], self.times[taken]
+        self.stats, self.n_pairs, self.uses = self.stats[keep], self.n_pairs[keep], self.uses[keep] // 2
 
     def cut(self, text: str) -> list[str]:
         """Units of " " + text, for a text that is not empty."""
-        for line in text.split("\n") if self.feed_alone else [text]:
-            if not line or not line.isprintable() or line[0] == " " or line[-1] == " " or "  " in line or "▁" in line:
-                return ["\1" + u for u in CUT.split(" " + text)]
-        return text.replace("\n", " \n").split(" ")
+        plain = units(text) if self.feed_alone else None
+        return ["\1" + u for u in CUT.split(" " + text)] if plain is None or "▁" in text else plain
 
-    def learn(self, units: set[str]) -> None:
+    def learn(self, wanted: set[str]) -> None:
         """Aligns units not known yet."""
-        new = sorted(units.difference(self.known))
+        new = list(wanted.difference(self.known))
         feeds = [u for u in new if u[0] == "\n"]
         others = [u for u in new if u[0] == "\1"]
         words = [u for u in new if u[0] not in "\n\1"]
+        found = []
+        step = CHUNK * AT_ONCE
         for some, blank, a_first, b_first in ((words, " ", self.a_blank, self.b_blank), (feeds, "", self.a_feed, self.b_feed)):
-            parts = [some[i : i + CHUNK] for i in range(0, len(some), CHUNK)]
-            others += self._align(parts, [blank + blank.join(p) for p in parts], [blank.join(p) for p in parts], a_first, b_first)
-        raw = [u[1:] if u[0] == "\1" else u if u[0] == "\n" else " " + u for u in others]
-        self._align([[u] for u in others], raw, [r.removeprefix(" ") for r in raw], None, None)
-
-    def _align(self, parts: list[list[str]], a_texts: list[str], b_texts: list[str], a_first: np.ndarray | None, b_first: np.ndarray | None) -> list[str]:
+            for at in range(0, len(some), step):
+                parts = [some[i : i + CHUNK] for i in range(at, min(at + step, len(some)), CHUNK)]
+                others += self._align(parts, [blank + blank.join(p) for p in parts], [blank.join(p) for p in parts], a_first, b_first, found)
+        for at in range(0, len(others), step):
+            some = others[at : at + step]
+            raw = [u[1:] if u[0] == "\1" else u if u[0] == "\n" else " " + u for u in some]
+            self._align([[u] for u in some], raw, [r.removeprefix(" ") for r in raw], None, None, found)
+        if found:
+            self.stats, self.n_pairs, self.pairs, self.times = (np.concatenate(x) for x in zip((self.stats, self.n_pairs, self.pairs, self.times), *found))
+            self.uses = np.append(self.uses, np.zeros(len(self.n_pairs) - len(self.uses), np.int32))
+
+    def _align(self, parts: list[list[str]], a_texts: list[str], b_texts: list[str], a_first: np.ndarray | None, b_first: np.ndarray | None, found: list) -> list[str]:
         """Adds the units of each part, encoded as one text; returns those of parts that do not come out as their own bytes.
 
         Without `a_first` each part is one unit, and a unit whose bytes differ counts as not aligned.
         """
         left, failed, units, a_all, b_all, a_heads, b_heads = [], [], [], [], [], [], []
         b_ids = self.b.encode(b_texts, num_threads=1) if b_texts else []
-        for part, raw, a, b in zip(parts, a_texts, self.a.encode_batch_fast(a_texts, add_special_tokens=False), b_ids):
-            a = a.ids
+        for part, raw, a, b in zip(parts, a_texts, map(self.a.ids, a_texts), b_ids):
             if raw[:1] != " " and b:
                 b = b[1:] if self.b_bytes[b[0]] == b" " else [0]  # the blank that B adds is not part of a unit after a feed
             right = raw.encode()
             fits = b"".join(map(self.a_bytes.__getitem__, a)) == right and b"".join(map(self.b_bytes.__getitem__, b)) == right
+            a, b = np.array(a, np.int32), np.array(b, np.int32)
             if a_first is None:
                 if not fits:
                     failed += part
                     continue
-                a_head, b_head = np.zeros(len(a), bool), np.zeros(len(b), bool)
-                a_head[0] = b_head[0] = True
+                a_head, b_head = np.arange(len(a)) == 0, np.arange(len(b)) == 0
             else:
-                a_head, b_head = (first[np.array(ids, np.int64)] if ids else np.zeros(0, bool) for first, ids in ((a_first, a), (b_first, b)))
+                a_head, b_head = a_first[a], b_first[b]
                 if not fits or a_head.sum() != len(part) or b_head.sum() != len(part):
                     left += part
                     continue
             units += part
-            a_all += a
-            b_all += b
+            a_all.append(a)
+            b_all.append(b)
             a_heads.append(a_head)
             b_heads.append(b_head)
         if units:
-            self._add(units, np.array(a_all, np.int64), np.array(b_all, np.int64), np.concatenate(a_heads), np.concatenate(b_heads))
-        n = len(failed)
-        self.known.update(zip(failed, range(len(self.known), len(self.known) + n)))
-        self.groups += [""] * n
-        self.stats = np.vstack([self.stats, np.zeros((n, 5), np.int64)])
-        self.n_pairs = np.append(self.n_pairs, np.zeros(n, np.int64))
+            found.append(self._add(units, *(np.concatenate(x) for x in (a_all, b_all, a_heads, b_heads))))
+        if failed:
+            n = len(failed)
+            self.known.update(zip(failed, range(len(self.known), len(self.known) + n)))
+            self.groups += [""] * n
+            found.append((np.zeros((n, 5), np.int32), np.zeros(n, np.int32), self.pairs[:0], self.times[:0]))
         return left
 
-    def _add(self, units: list[str], a: np.ndarray, b: np.ndarray, a_head: np.ndarray, b_head: np.ndarray) -> None:
+    def _add(self, units: list[str], a: np.ndarray, b: np.ndarray, a_head: np.ndarray, b_head: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Numbers the units, keeps the names of their groups, and returns their rows of stats, n_pairs, pairs and times."""
         n = len(units)
+        a, b = a.astype(np.int64), b.astype(np.int64)
         a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
         a_last = np.isin(a_end, b_end, assume_unique=True, kind="sort")  # last A id of a group
         b_last = np.isin(b_end, a_end, assume_unique=True, kind="sort")
@@ -189,9 +194,8 @@ class Aligner:
         totals = [np.bincount(unit_of, weights=w, minlength=n).astype(np.int64) for w in (na, nb)]
         n_links = np.zeros(n, np.int64)
         np.add.at(n_links, unit_of, links)
-        self.stats = np.vstack([self.stats, np.column_stack([*totals, per_unit, n_links, np.ones(n, np.int64)])])
-        self.n_pairs = np.append(self.n_pairs, np.bincount(of, minlength=n))
-        self.pairs, self.times = np.append(self.pairs, pairs), np.append(self.times, count)
+        stats = np.column_stack([*totals, per_unit, n_links, np.ones(n, np.int64)])
+        return stats.astype(np.int32), np.bincount(of, minlength=n).astype(np.int32), pairs.astype(np.uint32), count.astype(np.int32)
 
 
 class _Block:
@@ -199,22 +203,24 @@ class _Block:
 
     def __init__(self, al: Aligner, texts: list[str | None]):
         if len(al.known) > UNITS:
-            al.clear()
+            al.forget(KEPT)
         cuts = [al.cut(t) if t else [] for t in texts]
         al.learn(set().union(*cuts))
         self.docs = [np.fromiter(map(al.known.__getitem__, c), np.int64, len(c)) for c in cuts]
+        del cuts
         self.docs = [c if al.stats[c, 4].all() else c[:0] for c in self.docs]
-        self.sums = [al.stats[c, :4].sum(0).tolist() for c in self.docs]
+        self.sums = [al.stats[c, :4].sum(0, dtype=np.int64).tolist() for c in self.docs]
         self.hashes = [hashlib.sha256("".join([al.groups[i] for i in c.tolist()])[:-1].encode()).hexdigest() if len(c) else "" for c in self.docs]
         # only units of this block, with pairs numbered in the order of the pair's value
         used, codes = np.unique(np.concatenate([*self.docs, np.zeros(0, np.int64)]), return_inverse=True)
         ends = np.cumsum([len(c) for c in self.docs])[:-1]
         self.docs = np.split(codes, ends) if len(ends) else [codes]
-        self.n_pairs = al.n_pairs[used]
-        first = _first_of(al.n_pairs)[used]
+        al.uses[used] += 1
+        self.n_pairs = al.n_pairs[used].astype(np.int64)
+        first = _first_of(al.n_pairs.astype(np.int64))[used]
         taken = _spread(first, self.n_pairs)
         self.pairs, self.of = np.unique(al.pairs[taken], return_inverse=True)
-        self.times = al.times[taken]
+        self.pairs, self.times = self.pairs.astype(np.int64), al.times[taken]
         start, stamp = _first_of(self.n_pairs), np.zeros(len(self.pairs), np.int64)
         self.held = np.zeros(len(self.pairs), np.int64)
         for c in self.docs:
@@ -265,14 +271,12 @@ def align(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", a_path: s
         for b in batches:
             if not types:
                 types += [pa.int64(), pa.int32(), b.column(0).type, *[pa.int64()] * 4, pa.string(), *[pa.binary()] * 6]
-            texts = b.column(1).to_pylist()
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
             at = 0
-            while at < len(texts):
-                stop, size = at, 0
-                while stop < len(texts) and size < BLOCK_BYTES:
-                    size += len(texts[stop] or "")
-                    stop += 1
-                block = _Block(al, texts[at:stop])
+            while at < len(sizes):
+                stop = int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + BLOCK_BYTES)) + 1
+                stop = min(stop, len(sizes))
+                block = _Block(al, b.column(1).slice(at, stop - at).to_pylist())
                 sums = list(zip(*block.sums))
                 yield rows(0, number, stop - at, doc_id=b.column(0).slice(at, stop - at), n_a=sums[0], n_b=sums[1], n_groups=sums[2], n_links=sums[3], sha=block.hashes, codes=[_u4(c) for c in block.docs])
                 a_of = block.pairs >> BITS

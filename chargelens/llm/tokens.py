@@ -1,20 +1,21 @@
-"""Token ids by a public byte-level BPE file, with a cache of blank-separated pieces."""
+"""Token ids by a public byte-level BPE file, with a dictionary of blank-separated pieces."""
 from __future__ import annotations
 
+import json
 import os
 import re
-from array import array
 from functools import lru_cache
 
+import numpy as np
 import public_tokenizers
+import tiktoken
 from tokenizers import Tokenizer
 
 TOKENIZER = "byte_bpe_50k.json"
-CACHED = 600_000  # pieces a worker keeps; beyond it the cache starts anew
-SLICE = 1 << 20  # characters looked up at once
+CACHED = 600_000  # pieces a worker keeps; beyond it the dictionary starts anew
+SLICE = 1 << 20  # characters encoded at once
 LONE_BLANK = re.compile(r" (?<=\S )(?=\S)")
-LONE_FEED = re.compile(r"\n(?<=\S\n)(?=\S)")
-MARKS = frozenset(",.;:!?")
+LONG_BLANK = re.compile(r"\s{5000}")  # such runs are too long for the faster library's patterns
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -27,58 +28,95 @@ def piece_encoder(path: str, dtype: str = "<u4") -> PieceEncoder:
     return PieceEncoder(path, dtype)
 
 
-class PieceEncoder:
-    """Ids as little-endian bytes of `dtype`.
+def byte_letters() -> dict[str, int]:
+    """Letters that stand for bytes in byte-level vocabularies: printable ones for themselves, the rest from U+0100 on in order."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [i for i in range(256) if i not in set(plain)]
+    return {chr(i): i for i in plain} | {chr(256 + k): i for k, i in enumerate(rest)}
+
 
-    The vocabulary's splitting rule always cuts before a blank and around a line feed that stand alone between two other
-    characters, so ids of a text are those of its pieces " word", "\\n" and, at the start of a line, "word"; texts with
-    runs of white space are cut only where that rule holds.
+def units(text: str) -> list[str] | None:
+    """The text cut before each blank, the blanks left out, and before each line feed; None where that is no plain cut.
+
+    Plain texts are printable, and their blanks and line feeds stand alone between other characters. There the splitting
+    rule of the vocabulary always starts a piece at a blank and around a line feed, so ids of a text are those of its units.
     """
+    if not text or text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n " in text or " \n" in text or "\n\n" in text:
+        return None
+    return text.replace("\n", " \n").split(" ") if text.replace("\n", "").isprintable() else None
 
-    def __init__(self, path: str, dtype: str = "<u4", cached: int = CACHED):
+
+class ByteBPE:
+    """Ids of texts as lists. Byte-level files whose merges are in the order of their ids are read into the faster of two
+    libraries; both give the same ids."""
+
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
-        self.code, self.cached = {"<u2": "H", "<u4": "I"}[dtype], cached
-        self.known: dict[str, bytes] = {}  # by the piece without its blank
-        self.bare: dict[str, bytes] = {}
-        self.marks = dict(zip(MARKS, self._ids(list(MARKS))))
-
-    def _ids(self, pieces: list[str]) -> list[bytes]:
-        return [array(self.code, e.ids).tobytes() for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    def _join(self, parts: list[str], blank: str = " ") -> bytes:
-        known = self.known if blank else self.bare
-        try:
-            return b"".join(map(known.__getitem__, parts))
-        except KeyError:
-            new = list(set(parts).difference(known))
-        if len(known) + len(new) > self.cached:
-            known.clear()
-            new = list(set(parts))
-        # letters and a mark are two pieces of the splitting rule, so such words share the ids of their letters
-        marked = [p for p in new if p[-1:] in MARKS and p[:-1].isalpha()]
-        own = list(set(new).difference(marked).union([p[:-1] for p in marked]).difference(known))
-        known.update(zip(own, self._ids([blank + p for p in own])))
-        known.update([(p, known[p[:-1]] + self.marks[p[-1]]) for p in marked])
-        return b"".join(map(known.__getitem__, parts))
+        self.slow = Tokenizer.from_file(path)
+        self.slow.encode_special_tokens = True
+        letters, names = byte_letters(), self.slow.get_vocab()
+        with open(path, encoding="utf-8") as f:
+            data = json.load(f)
+        special = {t["content"] for t in data.get("added_tokens", ())}
+        #: bytes of each id
+        self.bytes = [b""] * (max(names.values()) + 1)
+        for name, i in names.items():
+            self.bytes[i] = name.encode() if name in special or not all(c in letters for c in name) else bytes(letters[c] for c in name)
+        self.fast = None
+        pre = data.get("pre_tokenizer") or {}
+        merged = [names.get("".join(m) if isinstance(m, list) else m.replace(" ", "", 1), -1) for m in data["model"].get("merges", ())]
+        if data["model"]["type"] == "BPE" and not data.get("normalizer") and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and merged == sorted(merged):
+            ranks = {self.bytes[i]: i for name, i in names.items() if name not in special}
+            self.fast = tiktoken.Encoding("byte_level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def ids(self, text: str) -> list[int]:
+        if self.fast is None or (len(text) > 5000 and LONG_BLANK.search(text)):
+            return self.slow.encode(text, add_special_tokens=False).ids
+        return self.fast.encode_ordinary(text)
+
+
+class PieceEncoder:
+    """Ids as little-endian bytes of `dtype`. Units of plain texts are looked up; new ones are encoded joined, many at once."""
+
+    def __init__(self, path: str, dtype: str = "<u4", cached: int = CACHED):
+        self.bpe, self.dtype, self.cached = ByteBPE(path), np.dtype(dtype), cached
+        self.known: dict[str, bytes] = {}
+        self.blank, self.feed = (np.array([b[:1] == c for b in self.bpe.bytes]) for c in (b" ", b"\n"))
+
+    def _raw(self, text: str) -> bytes:
+        return np.array(self.bpe.ids(text), self.dtype).tobytes()
+
+    def _learn(self, parts: list[str]) -> None:
+        new = set(parts).difference(self.known)
+        if len(self.known) + len(new) > self.cached:
+            self.known.clear()
+            new = set(parts)
+        for some, blank, first in (([u for u in new if u[0] != "\n"], " ", self.blank), ([u for u in new if u[0] == "\n"], "", self.feed)):
+            if not some:
+                continue
+            ids = np.array(self.bpe.ids(blank + blank.join(some)), self.dtype)
+            at = np.flatnonzero(first[ids])
+            if len(at) == len(some):
+                ends = [*(at[1:] * self.dtype.itemsize).tolist(), None]
+                raw = ids.tobytes()
+                self.known.update(zip(some, [raw[i:j] for i, j in zip([0, *ends], ends)]))
+            else:
+                self.known.update((u, self._raw(blank + u)) for u in some)
 
     def encode(self, text: str) -> bytes:
-        """Works through the text in slices of about SLICE characters, so that memory beside the ids is bounded."""
-        out = []
-        at = 0
+        """Other texts are encoded in slices of about SLICE characters, so that memory beside the ids is bounded."""
+        parts = units(text)
+        if parts is not None:
+            head = self._raw(parts.pop(0))
+            try:
+                return head + b"".join(map(self.known.__getitem__, parts))
+            except KeyError:
+                self._learn(parts)
+            return head + b"".join(map(self.known.__getitem__, parts))
+        out, at = [], 0
         while at < len(text):
             cut = LONE_BLANK.search(text, at + SLICE) if len(text) - at > SLICE else None
-            some = text[at : cut.start()] if cut else text[at:]
-            for i, line in enumerate(LONE_FEED.split(some)):
-                # printable texts have no white space but blanks
-                plain = line.isprintable() and "  " not in line and line[0] != " " and line[-1] != " "
-                parts = line.split(" ") if plain else LONE_BLANK.split(line)
-                if i:
-                    out.append(self._join(["\n"], ""))
-                if i or at == 0:
-                    out.append(self._join(parts[:1], ""))
-                    del parts[0]
-                out.append(self._join(parts))
-            at = cut.end() if cut else len(text)
+            stop = cut.start() if cut else len(text)
+            out.append(self._raw(text[at:stop]))
+            at = stop
         return b"".join(out)
