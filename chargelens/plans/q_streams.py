@@ -30,7 +30,7 @@ def _(t):
 
 @query("l2_stream_dedupe", "select station_id, charger_id, tick_ts, stat, event_id from x_dedup", ts="tick_ts")
 def _(t):
-    return streams.deduped(live(t).v_status_events).select("station_id", "charger_id", "tick_ts", "stat", "event_id")
+    return streams.deduped(live(t).v_status_events)[0].select("station_id", "charger_id", "tick_ts", "stat", "event_id")
 
 
 @query("l2_stream_exact_copies", "select count(*) as n_rows, count(distinct event_id) as n_ids from v_status_events")

@@ -2,15 +2,18 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from chargelens.functions.exprs import epoch_s
-from chargelens.operators.snapshots import CHARGER, dedupe_snapshot_rows, keep_one
+from chargelens.operators.snapshots import CHARGER, keep_one
 from chargelens.session import shared_dir
 from chargelens.sources.files import SNAPSHOT_SCHEMA
 from chargelens.sources.views import Tables
@@ -48,25 +51,86 @@ def drain_append(stream: DataFrame, name: str, checkpoint: str | None = None, ou
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def drain_batches(stream: DataFrame, name: str, write, checkpoint: str | None = None) -> None:
-    spark = stream.sparkSession
-    q = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint or _new_dir(spark, f"{name}-ckpt")).trigger(availableNow=True).start()
-    q.awaitTermination()
+class Drained(NamedTuple):
+    """What a drained stream left: the folder of its changes, and the rows it refused as too late."""
+
+    changes: str
+    late: int
 
 
-def deduped(events: DataFrame, root: str | None = None) -> DataFrame:
-    """Keep-latest per poll and charger. Each batch folds its rows into its own folder; the read folds batches.
+def drain_changes(aggregated: DataFrame, name: str, root: str | None = None) -> Drained:
+    """Run all available input of a grouped stream and write, per batch, only the keys whose row changed.
 
-    A later run on the same `root` takes only new input.
+    The groups live in the state store, so a batch costs what it touches. A replayed batch writes its own folder again.
+    Rows that the watermark refuses are counted from the stream's own progress.
     """
-    spark, schema = events.sparkSession, events.schema
-    root = root or _new_dir(spark, "dedup")
+    spark = aggregated.sparkSession
+    root = root or _new_dir(spark, name)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        dedupe_snapshot_rows(batch).write.mode("overwrite").parquet(f"{root}/rows/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{root}/changes/batch={batch_id}")
+
+    q = aggregated.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", f"{root}/cursor").trigger(availableNow=True).start()
+    q.awaitTermination()
+    late = sum(op.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress for op in p["stateOperators"])
+    return Drained(root, late)
+
+
+def _found(read: DataFrameReader, path: str) -> DataFrame | None:
+    """The files of a folder, None where there is no folder yet."""
+    try:
+        return read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _newest_base(spark: SparkSession, root: str) -> int | None:
+    done = _found(spark.read.schema("upto long"), f"{root}/bases")
+    return None if done is None else done.agg(F.max("upto")).first()[0]
+
+
+def latest_changes(spark: SparkSession, root: str, keys: Iterable[str], schema: T.StructType) -> DataFrame:
+    """Newest row per key over the base, if `compact` wrote one, and the changes after it."""
+    base = _newest_base(spark, root)
+    fields = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    rows = _found(spark.read.schema(fields), f"{root}/changes")
+    rows = spark.createDataFrame([], fields) if rows is None else rows.where(F.col("batch") > (-1 if base is None else base))
+    if base is not None:
+        rows = rows.unionByName(spark.read.schema(schema).parquet(f"{root}/base-{base}").withColumn("batch", F.lit(base).cast("long")))
+    return keep_one(rows, keys, ("batch",)).select(*schema.names)
+
 
-    drain_batches(events, "dedup", write, f"{root}/cursor")
-    return dedupe_snapshot_rows(spark.read.schema(schema).parquet(f"{root}/rows").select(*schema.names))
+def compact(spark: SparkSession, root: str, keys: Iterable[str], schema: T.StructType) -> int:
+    """Folds the changes so far into one base table and returns the last batch it holds. To be run now and then between
+    streams, so that readers need not fold a long history; a base counts from its entry in `bases`, made when it is whole."""
+    upto = spark.read.parquet(f"{root}/changes").agg(F.max("batch").cast("long")).first()[0]
+    latest_changes(spark, root, keys, schema).write.mode("overwrite").parquet(f"{root}/base-{upto}")
+    spark.range(1).select(F.lit(upto).cast("long").alias("upto")).write.mode("append").parquet(f"{root}/bases")
+    return upto
+
+
+def newest_per_key(events: DataFrame, keys: Iterable[str], order: Iterable[str]) -> DataFrame:
+    """Grouped stream: the row with the greatest `order` per key."""
+    keys, order = list(keys), list(order)
+    rest = [c for c in events.columns if c not in keys]
+    best = events.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_r"))
+    return best.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
+
+
+def deduped(events: DataFrame, root: str | None = None, delay: str = DELAY) -> tuple[DataFrame, int]:
+    """(rows, late): keep-latest per poll and charger, and how many rows came too late.
+
+    A poll's groups stay in the state until the watermark on the poll's time has passed them; rows for older polls are
+    dropped and counted. A later run on the same `root` goes on from its state and equals one run over everything.
+    """
+    names = events.columns
+    keys = ("tick_ts", *CHARGER)
+    timed = events.withColumn("tick_ts", F.col("tick_ts").cast("timestamp")).withWatermark("tick_ts", delay)
+    best = newest_per_key(timed, keys, ("stat_updated_at", "page_no", "event_id"))
+    left = drain_changes(best, "dedup", root)
+    return latest_changes(events.sparkSession, left.changes, keys, best.schema).withColumn("tick_ts", F.col("tick_ts").cast("timestamp_ntz")).select(*names), left.late
 
 
 def without_copies(events: DataFrame) -> DataFrame:
@@ -131,21 +195,7 @@ def bounded_hold(events: DataFrame, hold_s: int = 1500) -> DataFrame:
 
 
 def current_state(events: DataFrame, root: str | None = None) -> DataFrame:
-    """Newest state per charger, kept by upsert. Batch N reads version N-1 and writes version N, so a replay is safe.
-
-    `root` holds the cursor and the versions: a later run on the same folder takes only new input and goes on from the
-    newest version, which is found in the folder.
-    """
-    spark, schema = events.sparkSession, events.schema
-    root = root or _new_dir(spark, "current")
-
-    def version(number: int) -> DataFrame:
-        return spark.read.schema(schema).parquet(f"{root}/state/version={number}")
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rows = version(batch_id - 1).unionByName(batch) if batch_id > 0 else batch
-        keep_one(rows, CHARGER, ("stat_updated_at", "event_id")).write.mode("overwrite").parquet(f"{root}/state/version={batch_id}")
-
-    drain_batches(events, "current", write, f"{root}/cursor")
-    newest = spark.read.parquet(f"{root}/state").agg(F.max("version")).first()[0]
-    return version(newest)
+    """Newest state per charger. The state store holds one row per charger; a batch writes the chargers it changed."""
+    best = newest_per_key(events, CHARGER, ("stat_updated_at", "event_id"))
+    left = drain_changes(best, "current", root)
+    return latest_changes(events.sparkSession, left.changes, CHARGER, best.schema).select(*events.columns)
