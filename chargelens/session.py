@@ -56,16 +56,16 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage(df: DataFrame, row_group: int | None = None) -> DataFrame:
     """Write an intermediate table that several branches of a plan read, and read it back.
 
     The branches then scan the table instead of each repeating the work, the lineage is cut at files that outlive any
-    executor, and later joins know the real size.
+    executor, and later joins know the real size. `row_group` bounds the bytes that a reader of wide rows holds at once.
     """
     if getattr(df, "_chargelens_staged", False):
         return df
     path = f"{shared_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**({} if row_group is None else {"parquet.block.size": row_group})).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._chargelens_staged = True
     return out
