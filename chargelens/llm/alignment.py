@@ -11,6 +11,7 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,8 +21,10 @@ from chargelens.llm.tokens import ByteBPE, units
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BLOCK_BYTES = 3 << 20  # texts that one block of documents holds
-UNITS, KEPT = 400_000, 200_000  # units a worker holds between blocks, some 250 bytes each, and those it keeps when there are more
+UNITS, KEPT = 300_000, 150_000  # units a worker holds between blocks, some 250 bytes each, and those it keeps when there are more
 CHUNK, AT_ONCE = 2000, 8  # words encoded as one text, and such texts encoded at once
+SENT = 2_000_000  # different pairs whose totals every task may get, 16 bytes each
+ROW_GROUP = 16 << 20  # bytes of the stored blocks that are read at once
 GIANT = 4096  # pairs of a group above which its ids are counted before they are paired
 CUT = re.compile(r"(?<=\S)(?= \S)")
 BITS = 16  # of a B id in a pair
@@ -210,7 +213,7 @@ class _Block:
         del cuts
         self.docs = [c if al.stats[c, 4].all() else c[:0] for c in self.docs]
         self.sums = [al.stats[c, :4].sum(0, dtype=np.int64).tolist() for c in self.docs]
-        self.hashes = [hashlib.sha256("".join([al.groups[i] for i in c.tolist()])[:-1].encode()).hexdigest() if len(c) else "" for c in self.docs]
+        self.hashes = [hashlib.sha256("".join([al.groups[i] for i in c.tolist()])[:-1].encode()).digest() for c in self.docs]
         # only units of this block, with pairs numbered in the order of the pair's value
         used, codes = np.unique(np.concatenate([*self.docs, np.zeros(0, np.int64)]), return_inverse=True)
         ends = np.cumsum([len(c) for c in self.docs])[:-1]
@@ -231,12 +234,55 @@ class _Block:
             self.held[p[stamp[p] == turn]] += 1  # one place of each different pair
 
 
-def _u4(x: np.ndarray) -> bytes:
-    return x.astype("<u4").tobytes()
+def _packed(x: np.ndarray) -> bytes:
+    """Whole numbers below 2**32 as their low bytes, then the next ones and so on, compressed."""
+    return zstandard.compress(np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
 
 
-def _n4(x: bytes) -> np.ndarray:
-    return np.frombuffer(x, "<u4").astype(np.int64)
+def _unpacked(x: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(x), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+
+
+#: a block's arrays: ids of its documents' units and where each document ends, pairs of each unit, the pairs themselves
+PARTS = ("codes", "ends", "n_pairs", "of", "times", "pair", "held", "plain")
+
+
+def _row(block: _Block, same: np.ndarray) -> dict[str, bytes]:
+    """Stored form of a block; `held` is for pairs of other bytes only, as those of `same` go to the vector."""
+    a_of = block.pairs >> BITS
+    plain = same[a_of] == block.pairs & (1 << BITS) - 1
+    arrays = (np.concatenate([*block.docs, np.zeros(0, np.int64)]), np.cumsum([len(c) for c in block.docs]), block.n_pairs, block.of, block.times, block.pairs, block.held[~plain], plain)
+    return {name: _packed(x) for name, x in zip(PARTS, arrays)}
+
+
+def _others(pair: bytes, plain: bytes) -> np.ndarray:
+    return _unpacked(pair)[_unpacked(plain) == 0]
+
+
+def _values(row: dict, pairs: np.ndarray, docs: np.ndarray, known: np.ndarray, best: np.ndarray) -> np.ndarray:
+    """(documents, 2): n_best and count_sum of a block from the totals `docs` of the sorted `pairs`, those of the identity
+    vector `known`, and each A id's highest count."""
+    codes, ends, n_pairs, of, times, pair, _, plain = (_unpacked(row[c]) for c in PARTS)
+    a = pair >> BITS
+    total = np.where(plain == 1, known[a], 0)
+    rest = np.flatnonzero(plain == 0)
+    total[rest] = docs[np.searchsorted(pairs, pair[rest])]
+    value = np.column_stack([total == best[a], total]).astype(np.int64)
+    sums = np.vstack([np.zeros((1, 2), np.int64), np.cumsum(value[of] * times[:, None], axis=0)])
+    last = np.cumsum(n_pairs)
+    units = (sums[last] - sums[last - n_pairs])[codes]
+    sums = np.vstack([np.zeros((1, 2), np.int64), np.cumsum(units, axis=0)])
+    return sums[ends] - sums[np.concatenate([[0], ends[:-1]])]
+
+
+OUT = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "n_best", "count_sum"]
+
+
+def _out(ids: pa.Array, sums: bytes, hashes: bytes, values: np.ndarray) -> pa.RecordBatch:
+    sums = np.frombuffer(sums, "<i8").reshape(-1, 4)
+    text = [hashes[i : i + 32].hex() if n else "" for i, n in zip(range(0, len(hashes), 32), sums[:, 0].tolist())]
+    return pa.RecordBatch.from_arrays([ids, *(pa.array(sums[:, i]) for i in range(4)), pa.array(text, pa.string()), pa.array(values[:, 0]), pa.array(values[:, 1])], names=OUT)
 
 
 def align(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", a_path: str | None = None, b_path: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -245,58 +291,59 @@ def align(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", a_path: s
     documents: (doc_id, n_a, n_b, n_groups, n_links, groups_sha256, n_best, count_sum). counts: (pair, docs), the number of
     rows that hold A id `pair >> 16` and B id `pair & 65535` linked.
 
-    Texts are tokenised once, in blocks of about `BLOCK_BYTES` that stay together for the second pass. A pair of ids with
+    Texts are tokenised once, in blocks of about `BLOCK_BYTES`; a block is kept as one row of unit numbers. A pair of ids with
     the same bytes is counted in a vector as long as A's vocabulary; only the other pairs of a block, each with its number
-    of rows, are shuffled, and their totals go back to the blocks that hold them. The identity vector and the highest
-    count of each A id are the only things sent to every task; their size is that of A's vocabulary. Null and empty texts
-    and those whose bytes do not come back have zeros and an empty hash; repeated rows count each; a null doc_id stays
-    null; a long text is one block; an empty table gives no row; other columns are not read.
+    of rows, are shuffled. Their totals go back to the blocks: to every task while there are at most `SENT` different
+    pairs, and beyond that by a shuffle to the blocks that hold them. The identity vector and the highest count of each A
+    id are as long as A's vocabulary. Null and empty texts and those whose bytes do not come back have zeros and an empty
+    hash; repeated rows count each; a null doc_id stays null; a long text is one block; an empty table gives no row; other
+    columns are not read.
     """
     a_path, b_path = a_path or public_tokenizers.path(A_FILE), b_path or public_tokenizers.path(B_FILE)
     kind = docs.schema[doc_id].dataType.simpleString()
-    fields = ["block", "kind", "doc_id", "n_a", "n_b", "n_groups", "n_links", "sha", "codes", "n_pairs", "of", "times", "pair", "held"]
-    first_schema = f"block long, kind int, doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, sha string, codes binary, n_pairs binary, of binary, times binary, pair binary, held binary"
+    blobs = ["sums", "hashes", *PARTS]
+    fields = ["block", "ids", *blobs, "vector"]
+    first_schema = f"block long, ids array<{kind}>, " + ", ".join(f"{c} binary" for c in blobs) + ", vector binary"
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         al = aligner(a_path, b_path)
         context = TaskContext.get()
         number = (context.partitionId() if context else 0) << 32
-        same = np.zeros(len(al.same), np.int64)
+        vector = np.zeros(len(al.same), np.int64)
         types: list[pa.DataType] = []
 
-        def rows(kind_no: int, block: int, n: int, **columns: list) -> pa.RecordBatch:
-            full = {"block": [block] * n, "kind": [kind_no] * n} | columns
-            return pa.RecordBatch.from_arrays([full[f] if isinstance(full.get(f), pa.Array) else pa.array(full.get(f, [None] * n), t) for f, t in zip(fields, types)], names=fields)
+        def row(ids: pa.Array | None, values: dict[str, bytes]) -> pa.RecordBatch:
+            listed = pa.array([None], types[1]) if ids is None else pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), listed, *(pa.array([values.get(c)], pa.binary()) for c in fields[2:])], names=fields)
 
         for b in batches:
             if not types:
-                types += [pa.int64(), pa.int32(), b.column(0).type, *[pa.int64()] * 4, pa.string(), *[pa.binary()] * 6]
+                types += [pa.int64(), pa.list_(b.column(0).type)]
             sizes = np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
             at = 0
             while at < len(sizes):
-                stop = int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + BLOCK_BYTES)) + 1
-                stop = min(stop, len(sizes))
+                stop = min(int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + BLOCK_BYTES)) + 1, len(sizes))
                 block = _Block(al, b.column(1).slice(at, stop - at).to_pylist())
-                sums = list(zip(*block.sums))
-                yield rows(0, number, stop - at, doc_id=b.column(0).slice(at, stop - at), n_a=sums[0], n_b=sums[1], n_groups=sums[2], n_links=sums[3], sha=block.hashes, codes=[_u4(c) for c in block.docs])
-                a_of = block.pairs >> BITS
-                plain = al.same[a_of] == block.pairs & (1 << BITS) - 1
-                same[a_of[plain]] += block.held[plain]
-                yield rows(1, number, 1, n_pairs=[_u4(block.n_pairs)], of=[_u4(block.of)], times=[_u4(block.times)], pair=[_u4(block.pairs)], held=[_u4(block.held[~plain])], codes=[np.packbits(plain).tobytes()])
+                plain = al.same[block.pairs >> BITS] == block.pairs & (1 << BITS) - 1
+                vector[block.pairs[plain] >> BITS] += block.held[plain]
+                ids = b.column(0).slice(at, stop - at)
+                yield row(pa.concat_arrays([ids]), {"sums": np.array(block.sums, "<i8").tobytes(), "hashes": b"".join(block.hashes)} | _row(block, al.same))
                 number += 1
                 at = stop
         if types:
-            yield rows(2, number, 1, held=[same.astype("<i8").tobytes()])
+            yield row(None, {"vector": vector.astype("<i8").tobytes()})
 
-    staged = stage(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(first, first_schema))
+    src = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    staged = stage(src.mapInArrow(first, first_schema), row_group=ROW_GROUP)
+    blocks = staged.filter("vector is null").drop("vector")
 
     def shown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Other pairs of each block, one row each."""
+        aligner.cache_clear()
         for b in batches:
-            for block, pair, held, plain in zip(*(b.column(i).to_pylist() for i in range(4))):
-                pair = _n4(pair)
-                pair = pair[np.unpackbits(np.frombuffer(plain, np.uint8), count=len(pair)) == 0]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pair), block)), pa.array(pair), pa.array(_n4(held))], names=["block", "pair", "held"])
+            for block, pair, plain, held in zip(*(b.column(i).to_pylist() for i in range(4))):
+                pair = _others(pair, plain)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pair), block)), pa.array(pair), pa.array(_unpacked(held))], names=["block", "pair", "held"])
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
@@ -308,9 +355,9 @@ def align(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", a_path: s
             has = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(has), pa.array(total[has])], names=["a", "docs"])
 
-    others = stage(staged.filter("kind = 1").select("block", "pair", "held", "codes").mapInArrow(shown, "block long, pair long, held long"))
+    others = blocks.select("block", "pair", "plain", "held").mapInArrow(shown, "block long, pair long, held long")
     totals = stage(others.groupBy("pair").agg(F.sum("held").alias("docs")))
-    identity = staged.filter("kind = 2").select("held").mapInArrow(vectors, "a long, docs long").groupBy("a").agg(F.sum("docs").alias("docs"))
+    identity = staged.filter("vector is not null").select("vector").mapInArrow(vectors, "a long, docs long").groupBy("a").agg(F.sum("docs").alias("docs"))
     highest = totals.groupBy(F.shiftright("pair", BITS).alias("a")).agg(F.max("docs").alias("most"))
     table = aligner(a_path, b_path).same
     known, best = np.zeros(len(table), np.int64), np.zeros(len(table), np.int64)
@@ -320,26 +367,24 @@ def align(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", a_path: s
     best[both.column(0).to_numpy()] = np.maximum(both.column(1).to_numpy(), both.column(2).to_numpy())
     same_pairs = np.arange(len(table)) << BITS | table
     counts = totals.unionByName(docs.sparkSession.createDataFrame(pa.table({"pair": same_pairs[known > 0], "docs": known[known > 0]})))
+    schema = f"doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, n_best long, count_sum long"
 
-    out_names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "n_best", "count_sum"]
-
-    def second(left: pa.Table, right: pa.Table) -> pa.Table:
-        """One block: values of its units from the totals of its pairs, then of its documents."""
-        own = left.filter(pc.equal(left["kind"], 1))
-        rows = left.filter(pc.equal(left["kind"], 0))
-        n_pairs, of, times, pair = (_n4(own[c][0].as_py()) for c in ("n_pairs", "of", "times", "pair"))
-        plain = np.unpackbits(np.frombuffer(own["codes"][0].as_py(), np.uint8), count=len(pair)) == 1
-        a = pair >> BITS
-        total = np.where(plain, known[a], 0)
-        total[np.searchsorted(pair, right["pair"].to_numpy())] = right["docs"].to_numpy()
-        value = np.column_stack([total == best[a], total]).astype(np.int64)
-        sums = np.vstack([np.zeros((1, 2), np.int64), np.cumsum(value[of] * times[:, None], axis=0)])
-        last = np.cumsum(n_pairs)
-        units = sums[last] - sums[last - n_pairs]
-        got = [units[_n4(c.as_py())].sum(0) for c in rows["codes"]]
-        return pa.table([*(rows[c] for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "sha")), pa.array([int(g[0]) for g in got], pa.int64()), pa.array([int(g[1]) for g in got], pa.int64())], names=out_names)
+    if totals.count() <= SENT:
+        sent = totals.orderBy("pair").toArrow()
+        shared = docs.sparkSession.sparkContext.broadcast(tuple(sent.column(i).to_numpy() for i in (0, 1)) + (known, best))
+
+        def with_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for i in range(b.num_rows):
+                    row = {c: b.column(c)[i].as_py() for c in blobs}
+                    yield _out(b.column("ids")[i].values, row["sums"], row["hashes"], _values(row, *shared.value))
+
+        return blocks.select("ids", *blobs).mapInArrow(with_all, schema), counts
+
+    def with_own(left: pa.Table, right: pa.Table) -> pa.Table:
+        row = {c: left[c][0].as_py() for c in blobs}
+        right = right.sort_by("pair")
+        return pa.Table.from_batches([_out(left["ids"][0].values, row["sums"], row["hashes"], _values(row, right["pair"].to_numpy(), right["docs"].to_numpy(), known, best))])
 
     back = others.select("block", "pair").join(totals, "pair").select("block", "pair", "docs")
-    left = staged.filter("kind < 2").select("block", "kind", *fields[2:13])
-    schema = f"doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, n_best long, count_sum long"
-    return left.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(second, schema), counts
+    return blocks.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(with_own, schema), counts

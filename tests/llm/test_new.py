@@ -151,7 +151,8 @@ def test_alignment_equals_brute_force(spark, make_docs, pair_of, monkeypatch):
     rows = [(i, t) for i, t in enumerate([*ODD, *texts[:80], *ODD])] + [(None, "The end.\nOf the word"), (None, "The end.\nOf the word")]
     want, count = brute_alignment(rows, pair_of)
     docs = make_docs(rows).withColumn("block", F.lit(1)).withColumn("pair", F.lit("x")).withColumn("n_a", F.lit(0))
-    for parts in (1, 5):
+    for parts, sent in ((1, alignment.SENT), (5, 0)):
+        monkeypatch.setattr(alignment, "SENT", sent)
         got, counts = alignment.align(docs.repartition(parts))
         assert sorted(map(str, (tuple(r[c] for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")) for r in got.collect()))) == sorted(map(str, want))
         assert {(r.pair >> 16, r.pair & 65535): r.docs for r in counts.collect()} == count
@@ -170,7 +171,7 @@ def test_small_blocks_and_forgetting_workers(pair_of):
         if at == 42:
             al.forget(5)
         block = alignment._Block(al, texts[at : at + 7])
-        got += [(*s, h) for s, h in zip(block.sums, block.hashes)]
+        got += [(*s, h.hex()) for s, h in zip(block.sums, block.hashes)]
     assert got == [(*w[1:5], w[7]) for w in want]
 
 
