@@ -303,13 +303,18 @@ def handoff(d1: DataFrame) -> DataFrame:
     )
 
 
-def balanced_sample(rows: DataFrame, y: str, key: list[str], multiple: int = 20, floor: int = 50_000, ceiling: int = 400_000) -> DataFrame:
-    """All negatives and a bounded number of positives (a sampling operator): positives are taken by a seeded hash whose
-    threshold gives the wanted count on average, so no sort and no collection is needed."""
+def in_balanced_sample(rows: DataFrame, y: str, key: list[str], multiple: int = 20, floor: int = 50_000, ceiling: int = 400_000, name: str = "fitted") -> DataFrame:
+    """Marks a class-balanced sample (a sampling operator): negatives, and positives up to `multiple` times as many but
+    `floor` at least, both at most `ceiling`. A row is in by a seeded hash whose threshold gives the wanted count on
+    average, so no sort and no collection is needed."""
     neg, pos = rows.agg(F.count_if(F.col(y) == 0)).scalar(), rows.agg(F.count_if(F.col(y) == 1)).scalar()
-    want = F.least(pos, F.greatest(neg * multiple, F.lit(floor)), F.lit(ceiling))
+    want = F.when(F.col(y) == 0, F.least(neg, F.lit(ceiling))).otherwise(F.least(pos, F.greatest(neg * multiple, F.lit(floor)), F.lit(ceiling)))
     u = F.pmod(F.xxhash64(F.lit(42), *key), F.lit(1_000_003)) / 1_000_003.0
-    return rows.withColumn("_p", F.try_divide(want, pos)).where((F.col(y) == 0) | (u < F.col("_p"))).drop("_p")
+    return rows.withColumn(name, F.coalesce(u < F.try_divide(want, F.when(F.col(y) == 0, neg).otherwise(pos)), F.lit(False)))
+
+
+def balanced_sample(rows: DataFrame, y: str, key: list[str], multiple: int = 20, floor: int = 50_000, ceiling: int = 400_000) -> DataFrame:
+    return in_balanced_sample(rows, y, key, multiple, floor, ceiling, "_in").where("_in").drop("_in")
 
 
 def arrival_gate(open_state: Column) -> Column:

@@ -1,10 +1,13 @@
 """Model evidence. Fitted models have no SQL oracle."""
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import chargelens.plans.q_stats  # noqa: F401
 from chargelens.functions.exprs import epoch_s
-from chargelens.operators import candidates, labels, models
-from chargelens.plans.q_labels import cohort, eta_label_rows, observed
+from chargelens.operators import candidates, labels, matching, models, panel, spatial
+from chargelens.plans.common import event_ticks
+from chargelens.plans.q_labels import eta_label_rows, observed
+from chargelens.plans.q_spatial import stations
 from chargelens.plans.registry import query
 from chargelens.session import stage
 
@@ -17,9 +20,7 @@ def arrival_frame(t):
         "station_id", F.col("feature_as_of").alias("t"), F.col("target_available_at_arrival").cast("int").alias("y"), "current_available_count", "horizon_minutes", "straight_km",
         F.hour("feature_as_of").alias("hour"), F.weekday("feature_as_of").alias("weekday"), F.to_date("feature_as_of").alias("feature_date"), epoch_s(F.col("feature_as_of")).alias("_s"),
     )
-    rows = stage(candidates.time_or_row_split(stage(rows), "_s", "station_id", "feature_date").drop("_s"))
-    train = labels.balanced_sample(rows.where("split = 'train'"), "y", KEY)  # bounds what is fitted; every other row is scored
-    return stage(train.unionByName(rows.where("split <> 'train'")))
+    return candidates.time_or_row_split(stage(rows), "_s", "station_id", "feature_date").drop("_s")
 
 
 def observed_frame(t):
@@ -36,12 +37,17 @@ def _(t):
 
 @query("j10_ablation")
 def _(t):
-    return models.ablation(arrival_frame(t), {"base": ["current_available_count", "horizon_minutes"], "time": ["current_available_count", "horizon_minutes", "hour", "weekday"], "full": FEATURES}, leave_one_out="base")
+    return models.ablation(arrival_frame(t), {"base": ["current_available_count", "horizon_minutes"], "time": ["current_available_count", "horizon_minutes", "hour", "weekday"], "full": FEATURES}, KEY, leave_one_out="base")
 
 
 @query("j12_stability")
 def _(t):
-    return models.stability(arrival_frame(t), FEATURES)
+    return models.stability(models.stability_fits(arrival_frame(t), FEATURES, KEY))
+
+
+@query("j12_stability_fits")
+def _(t):
+    return models.stability_fits(arrival_frame(t), FEATURES, KEY)
 
 
 @query("j13_overfit_checks")
@@ -61,9 +67,22 @@ def _(t):
     return models.correlation_matrix(rows, FEATURES)
 
 
+def parking_rows(t):
+    """Stations with a lot on the spot, every polled tick with the lot's state at most ten minutes old and what the station
+    had 15 minutes on."""
+    colocated = matching.colocated_lots(spatial.nearest_within(stations(t), t.v_lots, "lot_id", 1000.0), t.v_lots)
+    pairs = labels.strong_pairs(colocated).select("station_id", "lot_id")
+    own = panel.station_panel_d2(t.v_status_events, event_ticks(t)).select("station_id", "tick_ts", "tick_s", "available_count", "known_chargers").join(pairs, "station_id")
+    state = F.struct("collected_at", "id")
+    park = t.v_lot_realtime.groupBy("lot_id", epoch_s(F.col("collected_at")).alias("park_s")).agg(*[F.max_by(c, state).cast("double").alias(c) for c in ("remaining_spaces", "occupancy_rate")])
+    rows = labels.asof_backward(own, park, "lot_id", "tick_s", "park_s", ["remaining_spaces", "occupancy_rate"], 600).where("lag_minutes is not null")
+    ahead = Window.partitionBy("station_id").orderBy("tick_s").rangeBetween(15 * 60, 25 * 60)
+    rows = rows.withColumn("_then", F.first(F.struct("tick_ts", "available_count")).over(ahead)).where("_then is not null")
+    return rows.select(
+        "station_id", (F.col("_then.available_count") >= 1).cast("int").alias("y"), (F.col("available_count") >= 1).cast("int").alias("available_now"), "known_chargers", F.hour("tick_ts").alias("hour"), F.weekday("tick_ts").alias("weekday"),
+        "occupancy_rate", "remaining_spaces", F.to_date("tick_ts").alias("date"), F.to_date("_then.tick_ts").alias("target_date"))
+
+
 @query("j14_with_and_without_parking")
 def _(t):
-    park = t.v_lot_realtime.groupBy("lot_id", epoch_s(F.col("collected_at")).alias("park_s")).agg(F.max_by("remaining_spaces", F.struct("collected_at", "id")).cast("double").alias("remaining_spaces"))
-    rows = labels.forward_state(labels.asof_backward(cohort(t), park, "lot_id", "tick_s", "park_s", ["remaining_spaces"], 600), 15, "available_count")
-    rows = rows.where("target_available is not null and remaining_spaces is not null").select("station_id", F.col("target_available").alias("y"), "available_count", "remaining_spaces", F.hour("tick_ts").alias("hour"), F.to_date("tick_ts").alias("feature_date"))
-    return models.with_without(candidates.temporal_split(stage(rows)), ["available_count", "hour"], ["remaining_spaces"])
+    return models.with_without(parking_rows(t), ["available_now", "known_chargers", "hour", "weekday"], ["occupancy_rate", "remaining_spaces"])
