@@ -67,8 +67,8 @@ def _rows(texts: Iterator, encoder: PieceEncoder, length: int, end_id: int, widt
     """Rows of `length` ids of documents laid end to end, each closed by end_id; the last row is filled up with end_id."""
     end, stride = int(end_id).to_bytes(width, "little"), length * width
     rest = bytearray()
-    for t in texts:
-        rest += encoder.encode(t or "") + end
+    for ids in encoder.encode_all(texts):
+        rest += ids + end
         whole = len(rest) - len(rest) % stride
         for at in range(0, whole, stride):
             yield bytes(rest[at : at + stride])

@@ -131,8 +131,8 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
         for b in batches:
             kinds = [b.column(0).type, pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
             fields = ["doc_id", "doc_tokens", "start", "length", "ids", "sequence_id", "offset"]
-            for key, t in zip(b.column(0), b.column(1)):
-                ids = encoder.encode(t.as_py() or "") + end
+            for key, ids in zip(b.column(0), encoder.encode_all(t.as_py() for t in b.column(1))):
+                ids += end
                 for window in packer.add((key.as_py(), len(ids) // 4), ids):
                     take(iter([window]))
                     if held > BATCH_BYTES:
