@@ -59,9 +59,13 @@ def _(t):
 
 @query("a5_usage_csv_encodings", "select cast(use_date as string) as use_date, station_id, charger_id, charger_type, cast(sessions as double) as sessions, kwh from v_usage_daily", num="sessions kwh")
 def _(t):
+    """A folder of exports in three code pages and two column orders."""
     path = folder(t, "usage")
     back = {v: k for k, v in files.USAGE_HEADERS.items()}
-    t.v_usage_daily.withColumnsRenamed(back).write.option("header", True).option("encoding", "EUC-KR").csv(path)
+    part = F.pmod(F.crc32(F.col("station_id").cast("binary")), F.lit(3))
+    for i, encoding in enumerate(files.USAGE_ENCODINGS):
+        rows = t.v_usage_daily.where(part == i)
+        rows.select(*(rows.columns if i else rows.columns[::-1])).withColumnsRenamed(back).write.option("header", True).option("encoding", encoding).csv(f"{path}/export-{i}")
     return files.read_usage(t.spark, path)
 
 
@@ -126,9 +130,25 @@ def _(t):
     return t.spark.read.parquet(root).groupBy("part").agg(F.count("*").alias("n"))
 
 
-@query("a12_file_inventory", "select 'events.parquet' as file_name, count(*) as n_rows, min(ts) as first_ts, max(ts) as last_ts from events", ts="first_ts last_ts")
+# columns of the inventoried tables and the one that tells their time
+INVENTORY = {"events": (("event_id", "ts", "user_id", "event_type", "value", "props"), "ts"), "nation": (("n_nationkey", "n_name", "n_regionkey"), None)}
+
+
+def inventory_sql(name):
+    columns, time = INVENTORY[name]
+    line = "concat_ws('|', " + ", ".join(f"coalesce(cast({c} as string), '')" for c in columns) + ")"
+    span = [f"{f}({time})" if time else "cast(null as timestamp)" for f in ("min", "max")]
+    return f"select '{name}.parquet' as file_name, count(*) as n_rows, {len(columns)} as n_columns, '{','.join(columns)}' as columns, (select {line} from {name} limit 1) as head, {span[0]} as first_ts, {span[1]} as last_ts from {name}"
+
+
+@query("a12_file_inventory", " union all ".join(map(inventory_sql, INVENTORY)), ts="first_ts last_ts")
 def _(t):
-    return files.inventory(t.events, "ts")
+    parts = []
+    for name, (_, time) in INVENTORY.items():
+        df = getattr(t, name)
+        time = F.col(time) if time else F.lit(None)
+        parts.append(files.inventory(df, time.cast("timestamp_ntz")))
+    return parts[0].unionByName(parts[1])
 
 
 @query("k1_changed_station_ids", """
