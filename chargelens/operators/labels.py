@@ -309,7 +309,8 @@ def in_balanced_sample(rows: DataFrame, y: str, key: list[str], multiple: int =
     average, so no sort and no collection is needed."""
     neg, pos = rows.agg(F.count_if(F.col(y) == 0)).scalar(), rows.agg(F.count_if(F.col(y) == 1)).scalar()
     want = F.when(F.col(y) == 0, F.least(neg, F.lit(ceiling))).otherwise(F.least(pos, F.greatest(neg * multiple, F.lit(floor)), F.lit(ceiling)))
-    u = F.pmod(F.xxhash64(F.lit(42), *key), F.lit(1_000_003)) / 1_000_003.0
+    text = F.concat_ws("|", F.lit("42"), *[F.col(k).cast("string") for k in key])
+    u = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / 2.0**32
     return rows.withColumn(name, F.coalesce(u < F.try_divide(want, F.when(F.col(y) == 0, neg).otherwise(pos)), F.lit(False)))
 
 

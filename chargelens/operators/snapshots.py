@@ -5,7 +5,7 @@ of all rows never travels as a whole.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,9 +88,11 @@ def duplicate_audit_sample(events: DataFrame, sample_groups: int, seed: str = "4
     plain = groups.where(~F.col("status_conflict")).withColumn("_h", F.md5(key_text)).orderBy("_h").limit(sample_groups).drop("_h")
     chosen = groups.where("status_conflict").unionByName(plain)
     order = F.struct("stat_updated_at", "page_no", "event_id")
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(order.desc()))  # copies of one charger in one poll
     return events.join(chosen, keys).select(
         *keys, "event_id", "stat", "page_no", "group_rows", "status_conflict",
-        (order == F.col("_win")).alias("selected"),
+        F.when(F.col("status_conflict"), "status_conflict").otherwise("same_status_duplicate").alias("sample_group"),
+        (order == F.col("_win")).alias("selected"), place.alias("selection_rank"),
     )
 
 

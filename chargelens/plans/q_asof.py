@@ -48,7 +48,8 @@ def _(t):
 with g as (select tick_ts, station_id, charger_id, count(*) as group_rows, min(stat) <> max(stat) as status_conflict from v_status_events group by 1, 2, 3 having count(*) > 1),
 p as (select tick_ts, station_id, charger_id from g where not status_conflict order by md5(concat_ws('|', '42', strftime(tick_ts, '%Y%m%d%H%M%S'), station_id, charger_id)) limit 20),
 s as (select * from g where status_conflict or (tick_ts, station_id, charger_id) in (select (tick_ts, station_id, charger_id) from p))
-select tick_ts, station_id, charger_id, e.event_id, e.stat, e.page_no, group_rows, status_conflict, d.event_id = e.event_id as selected
+select tick_ts, station_id, charger_id, e.event_id, e.stat, e.page_no, group_rows, status_conflict, case when status_conflict then 'status_conflict' else 'same_status_duplicate' end as sample_group, d.event_id = e.event_id as selected,
+  row_number() over (partition by tick_ts, station_id, charger_id order by e.stat_updated_at desc, e.page_no desc, e.event_id desc) as selection_rank
 from v_status_events e join s using (tick_ts, station_id, charger_id) join x_dedup d using (tick_ts, station_id, charger_id)""", ts="tick_ts")
 def _(t):
     return snapshots.duplicate_audit_sample(t.v_status_events, 20)

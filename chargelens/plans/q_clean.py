@@ -114,6 +114,13 @@ def _(t):
     return clean.coverage_by(t.v_charger_master, t.v_status_events, clean.operator_name(F.col("busi_nm")), "operator")
 
 
+@query("b9_status_coverage_by_type", """
+select coalesce(m.chger_type, 'UNKNOWN') as chger_type, count(*) as chargers, avg(case when c.station_id is not null then 100.0 else 0 end) as coverage_pct
+from v_charger_master m left join x_chargers c using (station_id, charger_id) group by 1""", num="coverage_pct")
+def _(t):
+    return clean.coverage_by(t.v_charger_master, t.v_status_events, F.col("chger_type"), "chger_type")
+
+
 @query("b10_current_view", "select station_id, charger_id, busi_nm, status_code, stat_mapped, status_missing, case when status_missing then 'NO_STATUS_OBSERVED' else 'STATUS_OBSERVED' end as availability_note from x_current", num="status_code")
 def _(t):
     return current_chargers(t).select("station_id", "charger_id", "busi_nm", F.col("status_code").cast("double").alias("status_code"), "stat_mapped", "status_missing", "availability_note")

@@ -227,9 +227,25 @@ def _(t):
     return labels.handoff(d1(t))
 
 
-@query("h11_balanced_sample")
+def balanced_sql(multiple, floor, ceiling):
+    return f"""
+with l as (select *, cast(target_available_at_arrival as int) as y from x_eta_labels), c as (select count(*) filter (y = 0) as neg, count(*) filter (y = 1) as pos from l),
+u as (select *, cast('0x' || substr(md5(concat_ws('|', '42', station_id, cast(feature_as_of as string))), 1, 8) as bigint) / 4294967296.0 as u from l, c)
+select station_id, feature_as_of, y from u where u < case when y = 0 then least(neg, {ceiling}) / cast(neg as double) else least(pos, greatest(neg * {multiple}, {floor}), {ceiling}) / cast(pos as double) end"""
+
+
+def labelled_arrivals(t):
+    return stage(eta_label_rows(t).withColumn("y", F.col("target_available_at_arrival").cast("int")))
+
+
+@query("h11_balanced_sample", f"select y, count(*) as n from ({balanced_sql(20, 50_000, 400_000)}) group by 1")
+def _(t):
+    return labels.balanced_sample(labelled_arrivals(t), "y", ["station_id", "feature_as_of"]).groupBy("y").agg(F.count("*").alias("n"))
+
+
+@query("h11_balanced_sample_rows", balanced_sql(2, 500, 5_000), ts="feature_as_of")
 def _(t):
-    return labels.balanced_sample(stage(eta_label_rows(t).withColumn("y", F.col("target_available_at_arrival").cast("int"))), "y", ["station_id", "feature_as_of"]).groupBy("y").agg(F.count("*").alias("n"))
+    return labels.balanced_sample(labelled_arrivals(t), "y", ["station_id", "feature_as_of"], 2, 500, 5_000).select("station_id", "feature_as_of", "y")
 
 
 @query("h13_arrival_gate", """

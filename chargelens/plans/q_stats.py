@@ -87,11 +87,16 @@ def _(t):
     return stats.benjamini_hochberg(p, ["horizon"], "p", ["row_key"]).select("row_key", "horizon", "q_value")
 
 
+# digamma of n is the harmonic sum up to n - 1 less Euler's constant
 @query("j5_mutual_information", """
-with v as (select feature, x, sum(y) as pos, sum(1 - y) as neg, count(*) as n from x_feat where x is not null group by 1, 2),
-b as (select *, coalesce(sum(n) over (partition by feature order by x rows between unbounded preceding and 1 preceding), 0) as before, sum(n) over (partition by feature) as nn, sum(pos) over (partition by feature) as pp from v),
-c as (select feature, least(floor((before + n / 2.0) / nn * 10), 9) as bin, sum(pos) as p, sum(neg) as q, max(nn) as nn, max(pp) as pp from b group by 1, 2)
-select feature, sum(case when p > 0 then p / cast(nn as double) * ln(p * cast(nn as double) / ((p + q) * cast(pp as double))) else 0 end + case when q > 0 then q / cast(nn as double) * ln(q * cast(nn as double) / ((p + q) * cast(nn - pp as double))) else 0 end) as mutual_information from c group by 1""", num="mutual_information")
+with c as (select feature, cast(y as int) as y, cast(x as double) as x, count(*) as n from x_feat where x is not null group by 1, 2, 3), l as (select feature, y, sum(n) as ly from c group by 1, 2 having sum(n) > 1),
+p as (select c.*, ly, least(3, ly - 1) as k from c join l using (feature, y)), t as (select feature, sum(ly) as nn from l group by 1), a as (select feature, x, sum(n) as n from p group by 1, 2),
+h as (select i + 1 as n, coalesce(sum(1.0 / nullif(i, 0)) over (order by i), 0) - 0.5772156649015329 as psi from range((select cast(max(nn) + 1 as bigint) from t)) r(i)),
+d as (select p.feature, p.y, p.x, p.k, abs(q.x - p.x) as d, sum(q.n) - max(case when q.x = p.x then 1 else 0 end) as n from p join p q on q.feature = p.feature and q.y = p.y group by 1, 2, 3, 4, 5),
+w as (select *, sum(n) over (partition by feature, y, x order by d) as upto from d),
+r as (select feature, y, x, min(d) as r from w where upto >= k group by 1, 2, 3),
+m as (select r.feature, r.y, r.x, sum(a.n) as m from r join a on a.feature = r.feature and a.x >= r.x - r.r * (1 - 1e-9) and a.x <= r.x + r.r * (1 - 1e-9) group by 1, 2, 3)
+select feature, greatest(0.0, max(hn.psi) + sum(p.n * (hk.psi - hl.psi - hm.psi)) / max(nn)) as mutual_information from p join m using (feature, y, x) join t using (feature) join h hk on hk.n = p.k join h hl on hl.n = p.ly join h hm on hm.n = m.m join h hn on hn.n = t.nn group by 1""", num="mutual_information")
 def _(t):
     return stats.mutual_information(rows(t), ["feature"])
 

@@ -133,3 +133,34 @@ def test_blocked_auc_against_plain_bootstrap(spark):
         auc.append(max(a, 1 - a))
     assert np.allclose([got["f"].blocked_auc, got["f"].auc_ci_low, got["f"].auc_ci_high], [auc[0], *np.quantile(auc[1:], [0.025, 0.975])]) and got["f"].replicates == 15
     assert got["g"].blocked_auc is None and got["g"].replicates == 0 and got["g"].blocks == 1
+
+
+def _plain_information(x, y, k=3):
+    """The estimator row by row, with the digamma of whole numbers as harmonic sums."""
+    psi = np.concatenate([[0, -0.5772156649015329], -0.5772156649015329 + np.cumsum(1 / np.arange(1, len(x) + 1))])
+    keep = np.array([(y == t).sum() > 1 for t in y])
+    x, y = x[keep], y[keep]
+    total = 0.0
+    for v, t in zip(x, y):
+        same = np.sort(np.abs(x[y == t] - v))[1:]
+        own = min(k, len(same))
+        r = same[own - 1] * (1 - 1e-9)
+        total += psi[own] - psi[len(same) + 1] - psi[((x >= v - r) & (x <= v + r)).sum()]
+    return max(0.0, psi[len(x)] + total / len(x)) if len(x) else None
+
+
+def test_mutual_information_equals_row_by_row(spark):
+    rng = np.random.default_rng(6)
+    y = rng.integers(0, 2, 300)
+    cases = {"smooth": rng.normal(size=300) + y, "ties": np.round(rng.normal(size=300) + y, 1), "hot": np.where(rng.random(300) < 0.4, 1.0, rng.random(300)), "noise": rng.random(300)}
+    rows = [(f, float(v), int(t)) for f, xs in cases.items() for v, t in zip(xs, y)] + [("few", 1.0, 1), ("few", 2.0, 1), ("few", 3.0, 0), ("smooth", None, 1)]
+    df = spark.createDataFrame(rows, "feature string, x double, y int").repartition(5)
+    want = {f: _plain_information(xs, y) for f, xs in cases.items()} | {"few": _plain_information(np.array([1.0, 2.0, 3.0]), np.array([1, 1, 0]))}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in ("2", "23"):  # 23 ranges hold fewer values than neighbours are wanted
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            got = {r.feature: r.mutual_information for r in stats.mutual_information(df, ["feature"]).collect()}
+            assert got.keys() == want.keys() and all(abs(got[f] - want[f]) < 1e-9 for f in want)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
