@@ -12,7 +12,7 @@ SEPARATORS = "".join(chr(i) for i in range(128) if not chr(i).isalnum())
 #: bytes table: A-Z to lower case, ASCII separators to a blank, all else as it is
 WORD_BYTES = bytes(32 if i < 128 and not chr(i).isalnum() else i + 32 if 65 <= i <= 90 else i for i in range(256))
 
-__all__ = ["table", "stage", "ascii_lower", "alnum_words", "id_crc", "rows_with_uid", "WORD_BYTES", "alnum_split", "blank_split"]
+__all__ = ["table", "stage", "ascii_lower", "alnum_words", "id_crc", "spare", "rows_with_uid", "WORD_BYTES", "alnum_split", "blank_split"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,14 @@ def id_crc(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """`name`, or the first longer form of it that no column has (Spark's names ignore case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def rows_with_uid(df: DataFrame, name: str) -> DataFrame:
     """Written once with a number per row, so that the number stays the same in every later read."""
     return stage(df.withColumn(name, F.monotonically_increasing_id()))

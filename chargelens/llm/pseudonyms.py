@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-KEY = "pseudonym key 1"
+from chargelens.llm.common import spare
+
 ROUNDS = 8
 FIRST_DAY, DAYS = "1900-01-01", 73_049  # to 2099-12-31; 17 * 4297
 
@@ -56,7 +57,7 @@ def _round(tag: str, key: str, r: Column, other: Column) -> Column:
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
-def permute(n: Column, low: int, high: int, tag: str, key: str = KEY) -> Column:
+def permute(n: Column, low: int, high: int, tag: str, key: str) -> Column:
     """Keyed permutation of 0 .. low * high - 1."""
 
     def step(acc: Column, r: Column) -> Column:
@@ -105,7 +106,7 @@ def is_card(v: Column) -> Column:
     return v.rlike(f"^(?:{CARD})$") & (_luhn_sum(_digits(v)) % 10 == 0)
 
 
-def card(v: Column, key: str = KEY) -> Column:
+def card(v: Column, key: str) -> Column:
     """All digits but the last are permuted within their number of digits; the last is the check digit."""
 
     def body(d: Column) -> Column:
@@ -126,7 +127,7 @@ def is_phone(v: Column) -> Column:
     return v.rlike(f"^(?:{PHONE})$") & (marked | (d.substr(1, 1) >= "2"))
 
 
-def phone(v: Column, key: str = KEY) -> Column:
+def phone(v: Column, key: str) -> Column:
     """All ten-digit numbers; a country code stays.
 
     Numbers with an area code from 200 on and the other ones are permuted apart, so that no number gets the digits of a
@@ -148,7 +149,7 @@ def is_ssn(v: Column) -> Column:
     return v.rlike(f"^{PERSON}$")
 
 
-def ssn(v: Column, key: str = KEY) -> Column:
+def ssn(v: Column, key: str) -> Column:
     """Area 001-899 without 666, group 01-99, serial 0001-9999."""
     area = v.substr(1, 3).cast("long")
     n = ((area - F.when(area > 666, 2).otherwise(1)) * 99 + v.substr(5, 2).cast("long") - 1) * 9_999 + v.substr(8, 4).cast("long") - 1
@@ -164,7 +165,7 @@ def is_ipv4(v: Column) -> Column:
     return v.rlike(f"^{ADDRESS}$")
 
 
-def ipv4(v: Column, key: str = KEY) -> Column:
+def ipv4(v: Column, key: str) -> Column:
     """All 2**32 addresses."""
     n = F.aggregate(F.split(v, r"\."), F.lit(0).cast("long"), lambda a, o: a * 256 + o.cast("long"))
     return _let(permute(n, 65_536, 65_536, "ipv4", key), lambda m: F.concat_ws(".", *[(F.floor(m / 256**i) % 256).cast("long").cast("string") for i in (3, 2, 1, 0)]))
@@ -181,7 +182,7 @@ def _day(v: Column) -> Column:
     return F.when(v.rlike(f"^(?:{DATE})$") & (n >= 0) & (n < DAYS), n)
 
 
-def date(v: Column, key: str = KEY) -> Column:
+def date(v: Column, key: str) -> Column:
     """Days of 1900 to 2099; year first or day first as in `v`.
 
     A month-first value is written month first only where its new day is over 12, so that it reads as the same day.
@@ -198,7 +199,7 @@ def date(v: Column, key: str = KEY) -> Column:
     return _let(F.date_add(F.lit(FIRST_DAY).cast("date"), m.cast("int")), body)
 
 
-def email(v: Column, key: str = KEY) -> Column:
+def email(v: Column, key: str) -> Column:
     """Letters and digits before the @ are permuted within their kind (a-z, A-Z, 0-9), halves keying each other."""
     local, domain = F.substring_index(v, "@", 1), F.substring_index(v, "@", -1)
     half = F.floor((F.length(local) + 1) / 2).cast("int")
@@ -233,7 +234,7 @@ def kind_of(v: Column) -> Column:
     )
 
 
-def pseudonym(v: Column, kind: Column, key: str = KEY) -> Column:
+def pseudonym(v: Column, kind: Column, key: str) -> Column:
     out = v
     for name, f in (("email", email), ("date", date), ("ipv4", ipv4), ("ssn", ssn), ("phone", phone), ("card", card)):
         out = F.when(kind == name, f(v, key)).otherwise(out)
@@ -261,20 +262,22 @@ def pieces(t: Column) -> Column:
     return F.flatten(F.transform(_let(sure, lambda pattern: _cut(t, pattern)), rest))
 
 
-def pseudonymise(docs: DataFrame, text: str = "text", key: str = KEY, found: str | None = None) -> DataFrame:
-    """All columns of `docs`, `text` with each validated value replaced; `found` names a further column of the kinds in
-    order of place.
+def pseudonymise(docs: DataFrame, key: str, text: str = "text", found: str | None = None) -> DataFrame:
+    """All columns of `docs`, `text` with each validated value replaced under the secret `key`; `found` names a further column of the kinds in
+    order of place, in the stead of a column that has the name already.
 
     Values that fail their check (sum, day of the calendar, octet, area code of a bare phone number) stay as they are. Null texts stay null (no
-    kinds), empty texts empty; repeated rows each keep a row; other columns, whatever their names, are passed on; an empty
+    kinds), empty texts empty; long texts are worked on whole; repeated rows each keep a row; other columns, whatever their names, are passed on; an empty
     table gives an empty result.
     """
+    if not key:
+        raise ValueError("a secret key is needed: whoever knows it can undo the map")
     t = F.col(text)
     hit = (t.contains("@") | t.rlike(NEAR_DIGITS)) & (t.rlike(VALUE) | t.rlike(LOOSE_CARD))
-    marked = docs.withColumn("__pieces", F.when(hit, pieces(t)))
-    joined = F.array_join(F.transform("__pieces", lambda p: F.when(p["kind"].isNull(), p["text"]).otherwise(pseudonym(p["text"], p["kind"], key))), "")
-    out = marked.withColumn("__text", F.when(F.col("__pieces").isNotNull(), joined).otherwise(t))
-    if found:
-        kinds = F.filter(F.col("__pieces.kind"), lambda k: k.isNotNull())
-        out = out.withColumn(found, F.coalesce(kinds, F.array().cast("array<string>")))
-    return out.select(*[(F.col("__text").alias(text) if c == text else F.col(f"`{c}`")) for c in docs.columns], *([found] if found else []))
+    cut = spare(docs, "_pieces")
+    new = spare(docs, "_text")
+    marked = docs.withColumn(cut, F.when(hit, pieces(t)))
+    joined = F.array_join(F.transform(cut, lambda p: F.when(p["kind"].isNull(), p["text"]).otherwise(pseudonym(p["text"], p["kind"], key))), "")
+    out = marked.withColumn(new, F.when(F.col(cut).isNotNull(), joined).otherwise(t))
+    kinds = F.coalesce(F.filter(F.col(f"{cut}.kind"), lambda k: k.isNotNull()), F.array().cast("array<string>"))
+    return out.select(*[(F.col(new).alias(text) if c == text else F.col(f"`{c}`")) for c in docs.columns if c != found], *([kinds.alias(found)] if found else []))

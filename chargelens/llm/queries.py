@@ -89,9 +89,17 @@ def op9_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordering.materialise(table(spark, sf_dir, "documents"))[0]
 
 
+#: setting that holds the secret key; without it the queries use a key for tests, which protects nothing
+KEY_CONF, TEST_KEY = "spark.chargelens.pseudonym.key", "pseudonym key 1"
+
+
+def pseudonym_key(spark: SparkSession) -> str:
+    return spark.conf.get(KEY_CONF, TEST_KEY)
+
+
 @_query
 def op10_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = pseudonyms.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), found="kinds")
+    out = pseudonyms.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), pseudonym_key(spark), found="kinds")
     return out.select("doc_id", "text", F.size("kinds").cast("long").alias("n_values"), F.array_join("kinds", ",").alias("kinds"))
 
 

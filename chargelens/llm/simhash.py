@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chargelens.llm.common import blank_split, rows_with_uid, stage
+from chargelens.llm.common import blank_split, rows_with_uid, spare, stage
 from chargelens.llm.components import components
 
 BITS = 64
@@ -176,7 +176,7 @@ def _grouped(found: DataFrame, distance: int) -> DataFrame:
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One row of each group, with its own columns: the least doc_id (nulls last), then the first row as written."""
-    uid = "__row_uid"
+    uid = spare(docs, "_row_uid")
     rows = rows_with_uid(docs, uid)
     keyed = rows.select(F.struct(F.col(uid).alias("uid"), F.col(doc_id).alias("doc_id")).alias("key"), F.col(text).alias("text"))
     found = stage(fingerprints(keyed, "key", "text", shingle).select("key.uid", "key.doc_id", "fp"))

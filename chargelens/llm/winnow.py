@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chargelens.llm.common import alnum_words, stage
+from chargelens.llm.common import alnum_words, spare, stage
 
 SPAN = 13  # words; every shared span of so many words is found
 PERCENT = 5
@@ -106,8 +106,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, text: str = "text", **how) -> DataFrame:
-    """The rows of `docs`, with their own columns, that are not contaminated."""
+    """The rows of `docs`, with their own columns, that are not contaminated. Rows with null or empty texts stay; an empty
+    table stays empty, and an empty benchmark keeps all; copies are judged once and kept or dropped together."""
     judged = decontaminate(docs, items, text=text, **how)
-    bad = stage(judged.filter("contaminated").select(F.col("text_key").alias("__bad_key")).distinct())
-    keyed = docs.withColumn("__text_key", F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256))
-    return keyed.join(few_keys(bad), keyed["__text_key"] == bad["__bad_key"], "left_anti").drop("__text_key")
+    key = spare(docs, "_text_key")
+    other = spare(docs, "_bad_key")
+    bad = stage(judged.filter("contaminated").select(F.col("text_key").alias(other)).distinct())
+    keyed = docs.withColumn(key, F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256))
+    return keyed.join(few_keys(bad), keyed[key] == bad[other], "left_anti").drop(key)

@@ -6,10 +6,12 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from chargelens.llm import licences, linkgraph, ordering, packing, pseudonyms
+from chargelens.llm import licences, linkgraph, ordering, packing, pseudonyms, simhash, winnow
+from chargelens.llm.queries import TEST_KEY
 from chargelens.llm.tokens import PieceEncoder, tokenizer_path
 
 ODD = ["", None, " ", "  two  blanks ", "tab\tand\n\nlines \n x", "a b   c", "it's 1234 é日本 😀!!", "<|endoftext|> x", "x" * 3000, "word " * 4000]
@@ -138,7 +140,7 @@ def brute_permute(n, low, high, tag):
     x, y = n % low, n // low
     for r in range(pseudonyms.ROUNDS):
         other = y if r % 2 == 0 else x
-        h = int(hashlib.sha256(f"{pseudonyms.KEY}|{tag}|{r}|{other}".encode()).hexdigest()[:15], 16)
+        h = int(hashlib.sha256(f"{TEST_KEY}|{tag}|{r}|{other}".encode()).hexdigest()[:15], 16)
         x, y = ((x + h) % low, y) if r % 2 == 0 else (x, (y + h) % high)
     return y * low + x
 
@@ -159,7 +161,7 @@ def test_pseudonyms(spark, make_docs):
         (7, None), (8, ""), (None, "plain"), (1, "plain 4041894974608795"), (9, "9" * 20000 + " 4041894974608795 " + "word " * 20000),
     ]
     df = make_docs(rows).withColumn("kinds", F.lit("mine")).withColumn("kind", F.lit(1))
-    out = pseudonyms.pseudonymise(df)
+    out = pseudonyms.pseudonymise(df, TEST_KEY)
     assert out.columns == df.columns
     got = defaultdict(list)
     for r in out.collect():
@@ -187,19 +189,19 @@ def test_pseudonyms_are_one_to_one(spark):
     mails = spark.range(2000).select(F.concat(F.lit("u"), F.col("id").cast("string"), F.lit("@x.org")).alias("text"))
     phones = spark.range(2000).select(F.concat(F.lit("200-200-"), F.lpad(F.col("id").cast("string"), 4, "0")).alias("text"))
     for df in (days, mails, phones):
-        assert pseudonyms.pseudonymise(df).distinct().count() == df.count() == pseudonyms.pseudonymise(df, found="k").filter(F.size("k") == 1).count()
+        assert pseudonyms.pseudonymise(df, TEST_KEY).distinct().count() == df.count() == pseudonyms.pseudonymise(df, TEST_KEY, found="k").filter(F.size("k") == 1).count()
 
 
 def test_phones_with_any_codes(spark, make_docs):
     rows = [(1, "+1 (091) 555-3384"), (2, "(091) 555-3384 or 1-091-555-3384"), (3, "+1 (134) 055-2562"), (4, "091-555-3384"), (5, "+1 (988) 155-2485")]
-    got = {r.doc_id: r.text for r in pseudonyms.pseudonymise(make_docs(rows)).collect()}
+    got = {r.doc_id: r.text for r in pseudonyms.pseudonymise(make_docs(rows), TEST_KEY).collect()}
     d = f"{brute_permute(915553384, 40_000, 50_000, 'phone low'):010d}"
     assert got[1] == f"+1 ({d[:3]}) {d[3:6]}-{d[6:]}" != rows[0][1]
     assert got[2] == f"({d[:3]}) {d[3:6]}-{d[6:]} or 1-{d[:3]}-{d[3:6]}-{d[6:]}"
     assert got[3] != rows[2][1] and got[4] == rows[3][1] and got[5] != rows[4][1]
     code = F.lpad((F.col("id") * 7 % 1000).cast("string"), 3, "0")
     many = spark.range(4000).select(F.concat(F.lit("("), code, F.lit(") "), F.lpad((F.col("id") * 13 % 1000).cast("string"), 3, "0"), F.lit("-0000")).alias("text")).distinct()
-    out = pseudonyms.pseudonymise(many, found="k").filter("k[0] = 'phone'")
+    out = pseudonyms.pseudonymise(many, TEST_KEY, found="k").filter("k[0] = 'phone'")
     assert out.select("text").distinct().count() == many.count() and out.filter(r"text rlike '^\\([0-9]{3}\\) [0-9]{3}-[0-9]{4}$'").count() == many.count()
 
 
@@ -211,7 +213,7 @@ def test_values_side_by_side(spark, make_docs):
         (f"2021-03-04 {card} 212-555-1234 70.123.182.155 12.31.1999", "date,card,phone,ipv4,date"), ("4111-1111 1111-1111", "card"), ("2021-02-30 13/13/1999 29.02.2021 02/29/1900", ""),
         ("02/29/2000 29.02.2000", "date,date"), ("4111111111111112 123-45-6789", "ssn"), (f"{card} 123a", "card"), ("1234 " * 5000, None),
     ]
-    out = pseudonyms.pseudonymise(make_docs(list(enumerate(t for t, _ in texts))), found="kinds").collect()
+    out = pseudonyms.pseudonymise(make_docs(list(enumerate(t for t, _ in texts))), TEST_KEY, found="kinds").collect()
     got = {r.doc_id: r.text for r in out}
     kinds = {r.doc_id: ",".join(r.kinds) for r in out}
     assert {i: k for i, k in kinds.items() if texts[i][1] is not None} == {i: k for i, (_, k) in enumerate(texts) if k is not None}
@@ -273,3 +275,22 @@ def test_scores_stand_still(spark):
         assert abs(got[i].distrust - 0.15 * 0.85 ** (n - i)) < 1e-9 and got[i].verdict == "block"
     a = 0.15 / (1 - 0.85**2 / 2)
     assert abs(got[20].trust - a) < 1e-9 and abs(got[21].trust - 0.85 * a) < 1e-9 and abs(got[22].trust - 0.85**2 * a / 2) < 1e-9
+
+
+def test_columns_with_the_names_of_temporary_ones_stay(spark, make_docs):
+    """Whatever names a caller's columns have, they come back as they went in."""
+    odd = ["__text", "__pieces", "__text_key", "__row_uid", "__bad_key", "__row", "_pieces", "_text", "_text_key", "_bad_key", "_row_uid", "text_key", "uid", "kinds"]
+    docs = make_docs([(1, "Write to a.b@example.com or 123-45-6789 today please now"), (2, None), (3, "Clean words of another kind are here"), (3, "Clean words of another kind are here")])
+    docs = docs.select("*", *[F.concat(F.lit(f"{c} "), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(c) for c in odd])
+    items = spark.createDataFrame([("b1", "clean words of another kind are here")], "item_id string, text string")
+    kept = lambda df: sorted(tuple(r[c] for c in odd) for r in df.collect())
+    named = pseudonyms.pseudonymise(docs, TEST_KEY)
+    assert named.columns == docs.columns and kept(named) == kept(docs) and "a.b@example.com" not in named.filter("doc_id = 1").first().text
+    clean = winnow.keep_clean(docs, items)
+    assert clean.columns == docs.columns and kept(clean) == kept(docs.filter("doc_id < 3"))
+    one = simhash.keep_one(docs)
+    assert one.columns == docs.columns and kept(one) == kept(docs.dropDuplicates(["doc_id"]))
+    replaced = pseudonyms.pseudonymise(docs, TEST_KEY, found="kinds")
+    assert replaced.columns.count("kinds") == 1 and {tuple(r.kinds) for r in replaced.filter("doc_id = 1").collect()} == {("email", "ssn")}
+    with pytest.raises(ValueError):
+        pseudonyms.pseudonymise(docs, "")
