@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chargelens.llm import packing, pseudonyms, quality, simhash, winnow
 from chargelens.llm.common import stage, table
-from chargelens.llm.queries import QUALITY_LEAST, fitted_quality
+from chargelens.llm.queries import QUALITY_LEAST, fitted_quality, pseudonym_key
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +25,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def with_pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; validated personal values in its text are replaced."""
-    return pseudonyms.pseudonymise(docs)
+    return pseudonyms.pseudonymise(docs, pseudonym_key(spark))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
