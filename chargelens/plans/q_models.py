@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 import chargelens.plans.q_stats  # noqa: F401
 from chargelens.functions.exprs import epoch_s
-from chargelens.operators import candidates, labels, matching, models, panel, spatial
+from chargelens.operators import candidates, labels, matching, models, panel, resampling, spatial
 from chargelens.plans.common import event_ticks
 from chargelens.plans.q_labels import eta_label_rows, observed
 from chargelens.plans.q_spatial import stations
@@ -86,3 +86,19 @@ def parking_rows(t):
 @query("j14_with_and_without_parking")
 def _(t):
     return models.with_without(parking_rows(t), ["available_now", "known_chargers", "hour", "weekday"], ["occupancy_rate", "remaining_spaces"])
+
+
+def rank_sql(p):
+    """AUC, average precision and Brier score of a score over the scored rows."""
+    return f"""(select sum(pos * (below + neg / 2.0)) / (sum(pos) * cast(sum(neg) as double)) as auc, sum(pos * tp / cast(n as double)) / sum(pos) as pr_auc, sum(pos * (p - 1) * (p - 1) + neg * p * p) / sum(pos + neg) as brier from (
+  select *, coalesce(sum(neg) over (order by p rows between unbounded preceding and 1 preceding), 0) as below, sum(pos) over (order by p desc) as tp, sum(pos + neg) over (order by p desc) as n from (select {p} as p, sum(y) as pos, sum(1 - y) as neg from v_scored group by 1)))"""
+
+
+OTHER_SCORE = "(cast(l_suppkey * 13 % 100 as double) + 0.5) / 100"
+
+
+@query("j14_paired_deltas", f"select b.auc - a.auc as auc_delta, b.pr_auc - a.pr_auc as pr_auc_delta, b.brier - a.brier as brier_delta, 20 as replicates from {rank_sql('score')} a, {rank_sql(OTHER_SCORE)} b", num="auc_delta pr_auc_delta brier_delta")
+def _(t):
+    scored = t.v_scored.select(F.col("l_suppkey").alias("unit"), "y", F.explode(F.create_map(F.lit("score"), F.col("score"), F.lit("other"), F.expr(OTHER_SCORE))).alias("model", "p"))
+    d = resampling.paired_deltas(resampling.replicate_metrics(scored, "model", "unit", "y", "p", 20), "score", "other")
+    return d.select("auc_delta", "pr_auc_delta", "brier_delta", F.col("auc_replicates").alias("replicates"))
