@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chargelens.llm.common import stage
-from chargelens.llm.tokens import PieceEncoder, piece_encoder, tokenizer_path
+from chargelens.llm.tokens import TextEncoder, text_encoder, tokenizer_path
 from chargelens.session import shared_dir
 
 LENGTH = 512  # ids of a sequence
@@ -23,7 +23,8 @@ SHARD = 4096  # sequences of a shard
 END_ID = 0
 KEY = "order key 1"
 ROUNDS = 6
-BATCH = 2048  # sequences handed over at once
+BATCH = 1024  # sequences kept as one packed row
+HELD = 16 << 20  # bytes of sequences that a task holds before it deals them to their shards
 
 
 class FeistelOrder:
@@ -63,12 +64,12 @@ class FeistelOrder:
         return self._walk(slot, True)
 
 
-def _rows(texts: Iterator, encoder: PieceEncoder, length: int, end_id: int, width: int = 2) -> Iterator[bytes]:
+def _rows(texts: Iterator, encoder: TextEncoder, length: int, end_id: int, width: int = 2) -> Iterator[bytes]:
     """Rows of `length` ids of documents laid end to end, each closed by end_id; the last row is filled up with end_id."""
     end, stride = int(end_id).to_bytes(width, "little"), length * width
     rest = bytearray()
-    for ids in encoder.encode_all(texts):
-        rest += ids + end
+    for t in texts:
+        rest += encoder.encode(t or "") + end
         whole = len(rest) - len(rest) % stride
         for at in range(0, whole, stride):
             yield bytes(rest[at : at + stride])
@@ -83,106 +84,119 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator:
             yield t.as_py()
 
 
-def training_order(docs: DataFrame, text: str = "text", length: int = LENGTH, key: str = KEY, tokenizer: str | None = None, end_id: int = END_ID) -> tuple[DataFrame, int, DataFrame]:
-    """((slot, ids) with ids as zstd-packed unsigned 16-bit little-endian, number of sequences, counts of the tasks).
-
-    A first pass counts the sequences of each task, running sums over the tasks give every sequence its index, and the
-    keyed permutation its slot. The second pass reads the same files in the same tasks, and fails if a task then has
-    another number of sequences than counted, so `docs` must be a plain read of a table.
-    """
+def cut_sequences(docs: DataFrame, text: str = "text", length: int = LENGTH, tokenizer: str | None = None, end_id: int = END_ID) -> DataFrame:
+    """Written (task, local, n, ids): sequences `local` .. `local` + n - 1 of a task, packed. Texts are tokenised once."""
     path = tokenizer or tokenizer_path()
-    src = docs.select(F.col(text).cast("string").alias("text"))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = sum(1 for _ in _rows(_texts(batches), piece_encoder(path, "<u2"), length, end_id))
-        if n:
-            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([n], pa.int64())], names=["task", "n"])
-
-    counts = stage(src.mapInArrow(count, "task long, n long"))
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    # one row per task of the scan
-    starts = stage(counts.withColumn("base", F.sum("n").over(Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1))).select("task", "n", F.coalesce("base", F.lit(0)).alias("base")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=1)
+        pack = zstandard.ZstdCompressor(level=6)
         task = TaskContext.get().partitionId()
         held: list[bytes] = []
         n = 0
-        for row in _rows(_texts(batches), piece_encoder(path, "<u2"), length, end_id):
-            held.append(pack.compress(row))
+
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([task], pa.int64()), pa.array([n], pa.int64()), pa.array([len(held)], pa.int64()), pa.array([pack.compress(b"".join(held))], pa.binary())], names=["task", "local", "n", "ids"])
+
+        for sequence in _rows(_texts(batches), text_encoder(path, "<u2"), length, end_id):
+            held.append(sequence)
             if len(held) == BATCH:
-                yield _sent(task, n, held)
+                yield row()
                 n += len(held)
-                held = []
+                held.clear()
         if held:
-            yield _sent(task, n, held)
+            yield row()
 
-    rows = src.mapInArrow(cut, "task long, local long, ids binary")
-    order = FeistelOrder(total, key)
+    return stage(docs.select(F.col(text).cast("string").alias("text")).mapInArrow(cut, "task long, local long, n long, ids binary"), row_group=HELD)
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            local, n, base = (b.column(i).to_numpy() for i in (0, 1, 2))
-            if (local >= n).any():
-                raise RuntimeError("a task has more sequences than were counted; give a plain read of a table")
-            yield pa.RecordBatch.from_arrays([pa.array(order.slot(base + local)), b.column(3)], names=["slot", "ids"])
 
-    placed = rows.join(starts, "task").select("local", "n", "base", "ids").mapInArrow(place, "slot long, ids binary")
-    return placed, total, starts
+def training_order(sequences: DataFrame, key: str = KEY, length: int = LENGTH, shard: int = SHARD) -> tuple[DataFrame, int]:
+    """((shard, slots, ids), number of sequences) of `cut_sequences`: each row holds sequences of one shard, packed, and
+    their slots in rising order.
 
+    Running sums over the tasks give every sequence its index, and the keyed permutation its slot.
+    """
+    counts = sequences.groupBy("task").agg(F.sum("n").alias("own"))
+    before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)  # one row per task of the scan
+    starts = stage(counts.select("task", "own", F.coalesce(F.sum("own").over(before), F.lit(0)).alias("base")))
+    total = starts.agg(F.coalesce(F.sum("own"), F.lit(0))).first()[0]
+    order, stride = FeistelOrder(total, key), 2 * length
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack, unpack = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+        slots: list[np.ndarray] = []
+        rows: list[np.ndarray] = []
+
+        def dealt() -> pa.RecordBatch:
+            every, data = np.concatenate(slots), np.concatenate(rows)
+            line = np.argsort(every)
+            every, data = every[line], data[line]
+            number = every // shard
+            edges = [0, *(np.flatnonzero(number[1:] != number[:-1]) + 1).tolist(), len(every)]
+            parts = list(zip(edges, edges[1:]))
+            slots.clear()
+            rows.clear()
+            return pa.RecordBatch.from_arrays([pa.array(number[edges[:-1]]), pa.array([every[i:j].astype("<i8").tobytes() for i, j in parts], pa.binary()), pa.array([pack.compress(data[i:j].tobytes()) for i, j in parts], pa.binary())], names=["shard", "slots", "ids"])
+
+        for b in batches:
+            for first, n, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+                slots.append(order.slot(np.arange(first, first + n)))
+                rows.append(np.frombuffer(unpack.decompress(ids.as_py()), np.uint8).reshape(n, stride))
+                if sum(r.nbytes for r in rows) >= HELD:
+                    yield dealt()
+        if rows:
+            yield dealt()
 
-def _sent(task: int, first: int, held: list[bytes]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([task] * len(held), pa.int64()), pa.array(np.arange(first, first + len(held))), pa.array(held, pa.binary())], names=["task", "local", "ids"])
+    placed = sequences.join(starts, "task").select((F.col("base") + F.col("local")).alias("first"), "n", "ids").mapInArrow(place, "shard long, slots binary, ids binary")
+    return placed, total
 
 
 def write_shards(placed: DataFrame, total: int, folder: str, length: int = LENGTH, shard: int = SHARD) -> DataFrame:
     """Files `shard-<number>.bin` of `shard` sequences each (the last one may hold fewer), 2 * length bytes per sequence,
     in slot order -> (slot, shard, position, byte_offset, ids_crc32) per sequence, written.
 
-    Slots are ranged into shards, so a task writes whole shards one after the other. A shard gets its name by a move when
-    it is complete and its slots have no gap; a repeated task writes the same bytes again.
+    Shards are ranged over the tasks, and a task puts one shard after the other together from the rows that hold parts of
+    it. A shard gets its name by a move when it is complete and its slots have no gap; a repeated task writes the same
+    bytes again.
     """
-    n_shards = -(-total // shard)
+    n_shards, stride = -(-total // shard), 2 * length
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, root = fs.FileSystem.from_uri(folder)
         place.create_dir(root, recursive=True)
         unpack = zstandard.ZstdDecompressor()
-        out = name = None
-        number, at = -1, 0
-
-        def close() -> None:
-            if out is not None:
-                out.close()
-                if at != min(shard, total - number * shard):
-                    raise RuntimeError(f"shard {number} has {at} sequences")
-                place.move(name, f"{root}/shard-{number:08d}.bin")
+        number, slots, rows = None, [], []
+
+        def whole() -> pa.RecordBatch:
+            every, data = np.concatenate(slots), np.concatenate(rows)
+            line = np.argsort(every)
+            every, data = every[line], np.ascontiguousarray(data[line])
+            if not np.array_equal(every, np.arange(number * shard, min((number + 1) * shard, total))):
+                raise RuntimeError(f"shard {number} has {len(every)} sequences")
+            name = f"{root}/_part-{number:08d}-{uuid.uuid4().hex}"
+            with place.open_output_stream(name) as out:
+                out.write(data.tobytes())
+            place.move(name, f"{root}/shard-{number:08d}.bin")
+            return pa.RecordBatch.from_arrays([pa.array(every), pa.array([zlib.crc32(r) for r in data], pa.int64())], names=["slot", "crc"])
 
         for b in batches:
-            slots, crcs = b.column(0).to_numpy(), []
-            for slot, packed in zip(slots, b.column(1)):
-                if slot // shard != number:
-                    close()
-                    number, at = int(slot // shard), 0
-                    name = f"{root}/_part-{number:08d}-{uuid.uuid4().hex}"
-                    out = place.open_output_stream(name)
-                if slot != number * shard + at:
-                    raise RuntimeError(f"slot {number * shard + at} is missing")
-                raw = unpack.decompress(packed.as_py())
-                out.write(raw)
-                crcs.append(zlib.crc32(raw))
-                at += 1
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(crcs, pa.int64())], names=["slot", "crc"])
-        close()
+            for at, s, ids in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
+                if at != number and number is not None:
+                    yield whole()
+                    slots, rows = [], []
+                number = at
+                slots.append(np.frombuffer(s.as_py(), "<i8"))
+                rows.append(np.frombuffer(unpack.decompress(ids.as_py()), np.uint8).reshape(-1, stride))
+        if number is not None:
+            yield whole()
 
     if not total:
-        return placed.select("slot", *[F.lit(0).cast("long").alias(c) for c in ("shard", "position", "byte_offset", "ids_crc32")])
+        return placed.select(*[F.lit(0).cast("long").alias(c) for c in ("slot", "shard", "position", "byte_offset", "ids_crc32")])
     tasks = max(1, min(n_shards, int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    number = F.floor(F.col("slot") / shard)
-    # slots are 0 .. total - 1, so the ranges are known and need no sample of the rows
-    dealt = placed.repartitionById(tasks, F.floor(number * tasks / n_shards).cast("int")).sortWithinPartitions("slot").select("slot", "ids")
+    # shards are 0 .. n_shards - 1, so the ranges are known and need no sample of the rows
+    dealt = placed.repartitionById(tasks, F.floor(F.col("shard") * tasks / n_shards).cast("int")).sortWithinPartitions("shard")
     done = stage(dealt.mapInArrow(write, "slot long, crc long"))
-    return done.select("slot", number.alias("shard"), (F.col("slot") % shard).alias("position"), (F.col("slot") % shard * (2 * length)).alias("byte_offset"), F.col("crc").alias("ids_crc32"))
+    number = F.floor(F.col("slot") / shard)
+    return done.select("slot", number.alias("shard"), (F.col("slot") % shard).alias("position"), (F.col("slot") % shard * stride).alias("byte_offset"), F.col("crc").alias("ids_crc32"))
 
 
 def materialise(docs: DataFrame, text: str = "text", folder: str | None = None, length: int = LENGTH, shard: int = SHARD, key: str = KEY, tokenizer: str | None = None, end_id: int = END_ID) -> tuple[DataFrame, str]:
@@ -193,7 +207,7 @@ def materialise(docs: DataFrame, text: str = "text", folder: str | None = None,
     """
     base = folder or f"{shared_dir(docs.sparkSession)}/shards-{uuid.uuid4().hex}"
     base = base if "://" in base or base.startswith("file:") else f"file://{base}"
-    placed, total, _ = training_order(docs, text, length, key, tokenizer, end_id)
+    placed, total = training_order(cut_sequences(docs, text, length, tokenizer, end_id), key, length, shard)
     return write_shards(placed, total, base, length, shard), base
 
 

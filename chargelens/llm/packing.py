@@ -9,7 +9,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chargelens.llm.tokens import piece_encoder, tokenizer_path
+from chargelens.llm.tokens import text_encoder, tokenizer_path
 
 WINDOW = 1024
 END_ID = 0
@@ -104,7 +104,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     path = tokenizer or tokenizer_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer = piece_encoder(path), SumOfSquares(size)
+        encoder, packer = text_encoder(path), SumOfSquares(size)
         end = np.array([end_id], "<u4").tobytes()
         context = TaskContext.get()
         number = (context.partitionId() if context else 0) << TASK_BITS
@@ -131,8 +131,8 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
         for b in batches:
             kinds = [b.column(0).type, pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
             fields = ["doc_id", "doc_tokens", "start", "length", "ids", "sequence_id", "offset"]
-            for key, ids in zip(b.column(0), encoder.encode_all(t.as_py() for t in b.column(1))):
-                ids += end
+            for key, t in zip(b.column(0), b.column(1)):
+                ids = encoder.encode(t.as_py() or "") + end
                 for window in packer.add((key.as_py(), len(ids) // 4), ids):
                     take(iter([window]))
                     if held > BATCH_BYTES:

@@ -1,10 +1,9 @@
-"""Token ids by a public byte-level BPE file, with a dictionary of blank-separated pieces."""
+"""Token ids by a public byte-level BPE file."""
 from __future__ import annotations
 
 import json
 import os
 import re
-from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -13,9 +12,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 TOKENIZER = "byte_bpe_50k.json"
-CACHED = 600_000  # units a worker keeps; those of the older half that are met again stay
-SLICE = 1 << 20  # characters of other texts encoded at once
-GROUP, JOINED = 1 << 20, 20_000  # characters of texts whose units are learned together, and units joined into one text
+SLICE = 1 << 20  # characters encoded at once
 LONE_BLANK = re.compile(r" (?<=\S )(?=\S)")
 LONG_BLANK = re.compile(r"\s{5000}")  # such runs are too long for the faster library's patterns
 
@@ -25,9 +22,9 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 @lru_cache(maxsize=4)
-def piece_encoder(path: str, dtype: str = "<u4") -> PieceEncoder:
-    """One encoder per worker process, so later tasks of the worker find its pieces known."""
-    return PieceEncoder(path, dtype)
+def text_encoder(path: str, dtype: str = "<u4") -> TextEncoder:
+    """One per worker process, so that its tasks read the vocabulary once."""
+    return TextEncoder(path, dtype)
 
 
 def byte_letters() -> dict[str, int]:
@@ -77,65 +74,21 @@ class ByteBPE:
         return self.fast.encode_ordinary(text)
 
 
-class PieceEncoder:
-    """Ids as little-endian bytes of `dtype`. Units of plain texts are looked up; new ones are encoded joined, many at once."""
-
-    def __init__(self, path: str, dtype: str = "<u4", cached: int = CACHED):
-        self.bpe, self.dtype, self.cached = ByteBPE(path), np.dtype(dtype), cached
-        self.known: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.blank, self.feed = (np.array([b[:1] == c for b in self.bpe.bytes]) for c in (b" ", b"\n"))
-
-    def _raw(self, text: str) -> bytes:
-        return np.array(self.bpe.ids(text), self.dtype).tobytes()
-
-    def _learn(self, wanted: set[str]) -> None:
-        new = wanted.difference(self.known)
-        if len(self.known) + len(new) > self.cached // 2:
-            self.old, self.known, new = self.known, {}, wanted
-        again = new.intersection(self.old)
-        self.known.update(zip(again, map(self.old.__getitem__, again)))
-        new = new.difference(again)
-        words, feeds = [u for u in new if u[0] != "\n"], [u for u in new if u[0] == "\n"]
-        for every, blank, first in ((words, " ", self.blank), (feeds, "", self.feed)):
-            for lo in range(0, len(every), JOINED):
-                some = every[lo : lo + JOINED]
-                ids = np.array(self.bpe.ids(blank + blank.join(some)), self.dtype)
-                at = np.flatnonzero(first[ids])
-                if len(at) == len(some):
-                    ends = [*(at[1:] * self.dtype.itemsize).tolist(), None]
-                    raw = ids.tobytes()
-                    self.known.update(zip(some, [raw[i:j] for i, j in zip([0, *ends], ends)]))
-                else:
-                    self.known.update((u, self._raw(blank + u)) for u in some)
-
-    def encode_many(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text; what is new in all of them is encoded joined."""
-        cuts = [units(t) for t in texts]
-        self._learn(set().union(*[c for c in cuts if c]))
-        get = self.known.__getitem__
-        return [self._whole(t) if c is None else self._raw(c[0]) + b"".join(map(get, c[1:])) for t, c in zip(texts, cuts)]
+class TextEncoder:
+    """Ids of texts as little-endian bytes of `dtype`.
+
+    Texts are encoded as they come: looking up known words costs more than the faster library takes for them.
+    """
+
+    def __init__(self, path: str, dtype: str = "<u4", size: int = SLICE):
+        self.bpe, self.dtype, self.size = ByteBPE(path), np.dtype(dtype), size
 
     def encode(self, text: str) -> bytes:
-        return self.encode_many([text])[0]
-
-    def encode_all(self, texts: Iterable[str | None]) -> Iterator[bytes]:
-        """Ids of each text, null as empty, worked on in groups of about GROUP characters."""
-        held, size = [], 0
-        for t in texts:
-            held.append(t or "")
-            size += len(held[-1]) + 1
-            if size > GROUP:
-                yield from self.encode_many(held)
-                held, size = [], 0
-        yield from self.encode_many(held)
-
-    def _whole(self, text: str) -> bytes:
-        """In slices of about SLICE characters, so that memory beside the ids is bounded."""
+        """In slices of about `size` characters, cut where the splitting rule always cuts, so that memory beside the ids is bounded."""
         out, at = [], 0
         while at < len(text):
-            cut = LONE_BLANK.search(text, at + SLICE) if len(text) - at > SLICE else None
+            cut = LONE_BLANK.search(text, at + self.size) if len(text) - at > self.size else None
             stop = cut.start() if cut else len(text)
-            out.append(self._raw(text[at:stop]))
+            out.append(np.array(self.bpe.ids(text[at:stop]), self.dtype).tobytes())
             at = stop
         return b"".join(out)

@@ -176,16 +176,18 @@ def test_small_blocks_and_forgetting_workers(pair_of):
 
 
 def test_ids_equal_the_tokenizers(pair_of):
-    """Both libraries and the dictionary of units on texts of all kinds, runs of blanks too long for a pattern included."""
+    """Both libraries and cuts into slices on texts of all kinds, runs of blanks too long for a pattern included."""
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     tok.encode_special_tokens = True
-    encoder = tokens.PieceEncoder(tokens.tokenizer_path(), "<u4", cached=200)
+    encoders = [tokens.TextEncoder(tokens.tokenizer_path(), "<u4", size) for size in (1 << 20, 50)]
     rng = random.Random(11)
     some = [" ", " ", " ", "\n", "\t", "\x85", "\xa0", "\x1c", "　", "'ll", "don't", "tion", "éà", "ß", "日", "🎉", "12", "...", "the", "Of", "\u0378", "\U0001f9ff"]
-    texts = [t for t in ODD if t] + ["".join(rng.choice(some) for _ in range(rng.randrange(1, 40))) for _ in range(3000)] + [" " * 30000 + "x", "\n" * 20000, "ab " * 500_000]
+    texts = [t for t in ODD if t] + ["".join(rng.choice(some) for _ in range(rng.randrange(1, 40))) for _ in range(3000)] + [" " * 30000 + "x", "\n" * 20000, "ab " * 50_000]
     for t in texts:
-        assert np.frombuffer(encoder.encode(t), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, t[:80]
-    assert encoder.encode("") == b""
+        want = tok.encode(t, add_special_tokens=False).ids
+        for encoder in encoders:
+            assert np.frombuffer(encoder.encode(t), "<u4").tolist() == want, t[:80]
+    assert encoders[0].encode("") == b""
 
 
 def test_giant_groups(pair_of, monkeypatch):

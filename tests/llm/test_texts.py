@@ -4,6 +4,7 @@ import random
 import re
 import zlib
 from collections import defaultdict
+from functools import lru_cache
 
 import numpy as np
 import pytest
@@ -12,22 +13,27 @@ from tokenizers import Tokenizer
 
 from chargelens.llm import licences, linkgraph, ordering, packing, pseudonyms, simhash, winnow
 from chargelens.llm.queries import TEST_KEY
-from chargelens.llm.tokens import PieceEncoder, tokenizer_path
+from chargelens.llm.tokens import TextEncoder, tokenizer_path
 
 ODD = ["", None, " ", "  two  blanks ", "tab\tand\n\nlines \n x", "a b   c", "it's 1234 é日本 😀!!", "<|endoftext|> x", "x" * 3000, "word " * 4000]
 
 
-def whole(text):
+@lru_cache(maxsize=1)
+def tokenizer():
     tok = Tokenizer.from_file(tokenizer_path())
     tok.encode_special_tokens = True
-    return tok.encode(text or "", add_special_tokens=False).ids
+    return tok
+
+
+def whole(text):
+    return tokenizer().encode(text or "", add_special_tokens=False).ids
 
 
 def test_pieces_have_the_ids_of_the_text():
     rng = random.Random(1)
     some = ODD + ["".join(rng.choice(["a", "B", " ", "  ", "\n", "\t", "7", "é", ".", "'s", " ", "-"]) for _ in range(60)) for _ in range(300)]
-    for cached in (400_000, 3):
-        enc = PieceEncoder(tokenizer_path(), cached=cached)
+    for size in (1 << 20, 3):
+        enc = TextEncoder(tokenizer_path(), size=size)
         for t in some:
             assert np.frombuffer(enc.encode(t or ""), "<u4").tolist() == whole(t), repr(t)
 
