@@ -166,18 +166,27 @@ def in_time_order(train: DataFrame, key: list[str]) -> DataFrame:
 FRACTIONS, LEAST_CURVE, DEPTHS, ROUND_COUNTS = (0.2, 0.4, 0.6, 0.8, 1.0), 2000, (3, 6, 12), (50, 200, 500)
 
 
-def overfit_checks(labels: DataFrame, features: list[str], key: list[str]) -> DataFrame:
+def early(fraction: float, least: int = LEAST_CURVE) -> Column:
+    """Whether a row of `in_time_order` is in the earliest share of the rows, `least` rows or more."""
+    return F.col("row_no") <= F.greatest(F.floor(F.col("n_rows") * fraction), F.lit(least))
+
+
+def first_rows(train: DataFrame, fraction: float, least: int = LEAST_CURVE) -> DataFrame:
+    """The earliest share of the rows of `in_time_order`, with their own columns."""
+    return train.where(early(fraction, least)).drop("row_no", "n_rows", "_at")
+
+
+def overfit_checks(labels: DataFrame, features: list[str], key: list[str], fractions=FRACTIONS, depths=DEPTHS, round_counts=ROUND_COUNTS) -> DataFrame:
     """Every fit of the over-fit checks with its metrics per split: the model itself, learning curve by the earliest share
     of the train rows, grid of depth and rounds, and a fit on shuffled labels. Fits learn from the bounded sample; all
     rows of a split are scored, the train split included."""
     lab = sampled(labels, key)
-    learned = shuffled_labels(in_time_order(lab.where(_in("train") & F.col("fitted")), key).withColumnsRenamed({"row_no": "_row", "n_rows": "_rows"}).drop("_at"), key).withColumn("learned", F.lit(True))
+    learned = in_time_order(shuffled_labels(lab.where(_in("train") & F.col("fitted")), key), key).withColumn("learned", F.lit(True))
     rest = lab.where(~(_in("train") & F.col("fitted")))
     rows = learned.unionByName(rest, allowMissingColumns=True).withColumn("learned", F.coalesce("learned", F.lit(False)))
     own = F.col("learned")
-    early = lambda f: own & (F.col("_row") <= F.greatest(F.floor(F.col("_rows") * f), F.lit(LEAST_CURVE)))
-    fits = [Fit("model", own, F.lit(True)), *[Fit(f"learning_{f}", early(f), _in("test")) for f in FRACTIONS]]
-    fits += [Fit(f"depth_{d}_rounds_{r}", own, F.lit(True), depth=d, rounds=r) for d in DEPTHS for r in ROUND_COUNTS]
+    fits = [Fit("model", own, F.lit(True)), *[Fit(f"learning_{f}", own & early(f), _in("test")) for f in fractions]]
+    fits += [Fit(f"depth_{d}_rounds_{r}", own, F.lit(True), depth=d, rounds=r) for d in depths for r in round_counts]
     fits.append(Fit("shuffled", own, _in("test"), label="y_shuffled"))
     return fit_table(*run_fits(stage(rows), features, fits, key, ["split"]), ["split"])
 
