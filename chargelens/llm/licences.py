@@ -178,7 +178,8 @@ def scan_licences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     Texts are streamed word by word; a chain joins matches of at least `long` words that follow each other in one template
     with at most `gap` foreign words between; a template of at least `long` words that stands whole is a span whatever
     follows it. Null and empty texts have no word, place or span; repeated rows each keep a
-    row; a null doc_id stays null. Other columns are not read.
+    row; a null doc_id stays null; an empty table gives no row. Texts are read whole, however long, in one pass. Other
+    columns are not read.
     """
     texts = [alnum_split(t) for t, _ in phrases] + [alnum_split(t) for _, t in templates]
     labels = [label for _, label in phrases] + [label for label, _ in templates]

@@ -106,7 +106,8 @@ class RuleModel:
 def fit(train: DataFrame, trees: int = TREES, depth: int = DEPTH, lasso: float = LASSO, most: int = MOST_TRAINED, seed: int = SEED) -> RuleModel:
     """train (f array<double>, label 0/1). Above `most` rows about that many fit the model, picked by a hash of their statistics.
 
-    No row: every score is 0.5. One label only: the share (n + 1) / (n + 2) for it.
+    No row: every score is 0.5. One label only: the share (n + 1) / (n + 2) for it. Rows without label are left out by
+    `train_rows`; copies count each.
     """
     rows = stage(train.select("f", F.col("label").cast("double").alias("label")))
     share = most / max(rows.count(), 1)
@@ -142,7 +143,11 @@ def score_all(docs: DataFrame, model: RuleModel, doc_id: str = "doc_id", text: s
 
 
 def keep_good(docs: DataFrame, model: RuleModel, threshold: float, text: str = "text") -> DataFrame:
-    """Rows of `docs`, with their own columns, that score `threshold` or more."""
+    """Rows of `docs`, with their own columns, that score `threshold` or more.
+
+    Null texts are scored as empty ones; copies are kept or dropped alike; ties with the threshold stay; texts are read
+    whole; an empty table stays empty.
+    """
     rows = docs.withColumn("__row", F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
     scored = with_statistics(rows, text, "__row")
     return scored.filter(model.score(F.col("f")) >= threshold).select("key.*")

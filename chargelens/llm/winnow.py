@@ -12,7 +12,7 @@ KEYS_SENT = 500_000  # text keys of 64 bytes that are sent to every task rather
 
 
 def _chosen(grams: Column, width: int) -> Column:
-    """Positions (from 0) of the rightmost least hash of each window."""
+    """Positions (from 0) of the leftmost least hash of each window; of a run of equal hashes each window marks its own first."""
     windows = F.size(grams) - width + 1
 
     def least(s: Column) -> Column:
@@ -61,7 +61,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     every window of `span` words around it and checked word for word against the windows of the benchmark. Items of
     fewer words are one window and get a winnowing of their own length. Null texts and texts without words have no hit;
     repeated rows and null ids each keep a row; items with a null id count only for hit words; an empty benchmark hits
-    nothing. Other columns are not read.
+    nothing; an empty table gives no row. Texts are read whole, however long. Other columns are not read.
     """
     windows = stage(benchmark_windows(items, item_id, item_text, span))
     lengths = sorted(r.n for r in windows.select("n").distinct().collect())  # at most `span` numbers
