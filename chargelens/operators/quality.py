@@ -51,6 +51,40 @@ def missing_profile(df: DataFrame) -> DataFrame:
     return rows.withColumn("missing_pct", pct).withColumn("band", band)
 
 
+def missing_by_family(profile: DataFrame, families: dict[str, tuple[str, ...]]) -> DataFrame:
+    """Missing share over all cells of a family of columns, its worst column, and its columns per band."""
+    of = F.create_map(*[F.lit(x) for name, columns in families.items() for c in columns for x in (c, name)])
+    worst = F.max_by("column_name", F.struct("missing_pct", F.col("column_name")))
+    return profile.groupBy(F.coalesce(of[F.col("column_name")], F.lit("other")).alias("family")).agg(
+        F.count("*").alias("n_columns"), F.try_divide(F.sum("missing") * 100.0, F.sum("n_rows")).alias("missing_pct"), worst.alias("worst_column"),
+        *[F.count_if(F.col("band") == b).alias(f"{b}_columns") for b in ("complete", "low", "mid", "high", "almost_all")],
+    )
+
+
+def _metrics(one: DataFrame, metrics: dict[str, str]) -> DataFrame:
+    return one.select(F.inline(F.array(*[F.struct(F.lit(k).alias("metric"), F.col(c).cast("double").alias("value")) for k, c in metrics.items()])))
+
+
+def station_table_profile(stations: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:
+    """Profile of the station table: missing or zero coordinates, blank texts, coordinates outside the box."""
+    no = lambda c: F.col(c).isNull() | (F.col(c) == 0)
+    blank = lambda c: F.col(c).isNull() | (F.trim(c) == "")
+    south, north, west, east = box
+    outside = ~no("lat") & ~(F.col("lat").between(south, north) & F.col("lng").between(west, east))
+    tests = {"missing_lat": no("lat"), "missing_lng": no("lng"), "missing_both": no("lat") & no("lng"), "outside_box": outside} | {f"blank_{c}": blank(c) for c in ("station_name", "addr", "busi_nm", "use_time")}
+    one = stations.agg(F.count("*").alias("rows"), *[F.count_if(F.coalesce(t, F.lit(False))).alias(n) for n, t in tests.items()])
+    return _metrics(one, {n: n for n in ("rows", *tests)})
+
+
+def update_age_profile(chargers: DataFrame, stamp: str, now: Column) -> DataFrame:
+    """Chargers by the age of their 14-digit update stamp: up to 5 minutes, up to 15, older, in the future; unreadable stamps apart."""
+    given = F.coalesce(F.trim(stamp), F.lit("")) != ""
+    at = F.when(F.length(stamp) == 14, F.try_to_timestamp(stamp, F.lit("yyyyMMddHHmmss")).cast("timestamp_ntz"))
+    age = F.timestamp_diff("SECOND", at, now)
+    kind = F.when(~given, "blank").when(at.isNull(), "unreadable").when(age < 0, "future").when(age <= 300, "HIGH").when(age <= 900, "NORMAL").otherwise("CHECK_REQUIRED")
+    return chargers.groupBy(kind.alias("reliability")).agg(F.count("*").alias("chargers"))
+
+
 def charger_table_profile(chargers: DataFrame) -> DataFrame:
     """Profile of the charger table as check rows."""
     one = chargers.agg(

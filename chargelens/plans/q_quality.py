@@ -7,7 +7,7 @@ from chargelens.operators import clean, labels, panel, quality, snapshots, spati
 from chargelens.plans.common import event_ticks, fleet, log_ticks, station_ticks
 from chargelens.plans.q_labels import observed_parts, training
 from chargelens.plans.q_spatial import incident_points, stations
-from chargelens.plans.registry import query
+from chargelens.plans.registry import ENTRIES, query
 from chargelens.plans.station_snapshot import d1
 from chargelens.session import stage
 from chargelens.sources.views import ORACLE_CTES
@@ -48,6 +48,36 @@ def _(t):
     return quality.missing_profile(t.v_charger_master.select(*MISS_COLS))
 
 
+FAMILIES = {"identity": ("station_id", "charger_id", "station_name"), "place": ("addr", "lat", "lng"), "equipment": ("busi_nm", "chger_type", "output"), "access": ("limit_yn", "del_yn", "parking_free", "use_time"), "status": ("stat",)}
+MISSING_SQL = ENTRIES["i2_missing_profile"].sql
+
+
+@query("i2_missing_by_family", "with p as (" + MISSING_SQL + "), f as (select *, case " + " ".join(f"when column_name in ({', '.join(repr(c) for c in cs)}) then '{n}'" for n, cs in FAMILIES.items()) + """ end as family from p)
+select family, count(*) as n_columns, sum(missing) * 100.0 / sum(n_rows) as missing_pct, arg_max(column_name, (missing_pct, column_name)) as worst_column, count(*) filter (band = 'complete') as complete_columns, count(*) filter (band = 'low') as low_columns,
+  count(*) filter (band = 'mid') as mid_columns, count(*) filter (band = 'high') as high_columns, count(*) filter (band = 'almost_all') as almost_all_columns from f group by 1""", num="missing_pct")
+def _(t):
+    return quality.missing_by_family(quality.missing_profile(t.v_charger_master.select(*MISS_COLS)), FAMILIES)
+
+
+BOX = (35.6, 36.2, 128.3, 128.9)  # fixed values: the city's box
+NO_LAT, NO_LNG = "coalesce(lat, 0) = 0", "coalesce(lng, 0) = 0"
+
+
+@query("i3_station_table_profile", " union all ".join(f"select '{k}' as metric, cast(count(*) filter ({c}) as double) as value from x_stations" for k, c in (
+    ("rows", "true"), ("missing_lat", NO_LAT), ("missing_lng", NO_LNG), ("missing_both", f"{NO_LAT} and {NO_LNG}"), ("outside_box", f"not {NO_LAT} and not (lat between 35.6 and 36.2 and lng between 128.3 and 128.9)"),
+    *((f"blank_{c}", f"coalesce(trim({c}), '') = ''") for c in ("station_name", "addr", "busi_nm", "use_time")))), num="value")
+def _(t):
+    return quality.station_table_profile(stations(t), BOX)
+
+
+@query("i3_update_age_profile", """
+with a as (select stat_updated_at as s, case when length(stat_updated_at) = 14 then try_strptime(stat_updated_at, '%Y%m%d%H%M%S') end as upd from v_chargers_raw)
+select case when coalesce(trim(s), '') = '' then 'blank' when upd is null then 'unreadable' when epoch(timestamp '2024-01-30 13:20:00' - upd) < 0 then 'future' when epoch(timestamp '2024-01-30 13:20:00' - upd) <= 300 then 'HIGH'
+  when epoch(timestamp '2024-01-30 13:20:00' - upd) <= 900 then 'NORMAL' else 'CHECK_REQUIRED' end as reliability, count(*) as chargers from a group by 1""")
+def _(t):
+    return quality.update_age_profile(t.v_chargers_raw, "stat_updated_at", F.expr("timestamp_ntz'2024-01-30 13:20:00'"))
+
+
 @query("i3_charger_table_profile", " union all ".join(f"select '{k}' as metric, cast({e} as double) as value from v_charger_master" for k, e in (
     ("rows", "count(*)"), ("stations", "count(distinct station_id)"), ("missing_coordinates", "count(*) filter (lat is null)"), ("missing_output", "count(*) filter (try_cast(output as double) is null)"), ("missing_hours", "count(*) filter (use_time is null)"), ("mean_lat", "avg(lat)"))), num="value")
 def _(t):
