@@ -10,11 +10,19 @@ from chargelens.session import stage
 
 # fixed values: public holidays on a solar date
 HOLIDAYS = ("01-01", "03-01", "05-05", "06-06", "08-15", "10-03", "10-09", "12-25")
+# fixed values: public holidays on a lunar date, their substitutes, and days declared for one year
+MOVING_HOLIDAYS = (
+    "2024-02-09", "2024-02-10", "2024-02-11", "2024-02-12", "2024-04-10", "2024-05-06", "2024-05-15", "2024-09-16", "2024-09-17", "2024-09-18",
+    "2025-01-28", "2025-01-29", "2025-01-30", "2025-03-03", "2025-05-05", "2025-05-06", "2025-10-05", "2025-10-06", "2025-10-07", "2025-10-08",
+    "2026-02-16", "2026-02-17", "2026-02-18", "2026-05-24", "2026-05-25", "2026-09-24", "2026-09-25", "2026-09-26",
+)
 LEVELS = ("적음", "보통", "많음")
 
 
-def day_type(date: Column) -> Column:
-    return F.when(F.date_format(date, "MM-dd").isin(*HOLIDAYS), "holiday").when(F.weekday(date) >= 5, "weekend").otherwise("weekday")
+def day_type(date: Column, moving: tuple[str, ...] = MOVING_HOLIDAYS) -> Column:
+    """holiday, weekend or weekday; `moving` lists holidays that have no fixed day of the year."""
+    holiday = F.date_format(date, "MM-dd").isin(*HOLIDAYS) | F.date_format(date, "yyyy-MM-dd").isin(*moving)
+    return F.when(holiday, "holiday").when(F.weekday(date) >= 5, "weekend").otherwise("weekday")
 
 
 def station_usage(usage: DataFrame, matched: DataFrame) -> DataFrame:
@@ -117,6 +125,17 @@ def day_type_lift(links: DataFrame, usage: DataFrame) -> DataFrame:
     })
 
 
+def poi_day_types(links: DataFrame, usage: DataFrame) -> DataFrame:
+    """Per point of interest: its linked stations and those with usage, and its sessions by day type: the mean over linked
+    stations on each day, then over days."""
+    daily = usage.groupBy("station_id", "use_date").agg(F.sum("sessions").alias("s"))
+    days = links.join(daily, "station_id").groupBy("poi_id", "use_date").agg(F.avg("s").alias("s")).withColumn("t", day_type(F.col("use_date")))
+    means = days.groupBy("poi_id").agg(*[F.avg(F.when(F.col("t") == k, F.col("s"))).alias(f"sessions_mean_{k}") for k in ("weekday", "weekend", "holiday")], F.count("*").alias("usage_days"))
+    used = links.join(daily.select("station_id").distinct().withColumn("_u", F.lit(1)), "station_id", "left").groupBy("poi_id").agg(F.count("*").alias("linked_stations"), F.count("_u").alias("linked_with_usage"))
+    out = used.join(means, "poi_id", "left").withColumn("usage_days", F.coalesce("usage_days", F.lit(0)))
+    return out.withColumns({"holiday_vs_weekday": F.try_divide("sessions_mean_holiday", "sessions_mean_weekday"), "weekend_vs_weekday": F.try_divide("sessions_mean_weekend", "sessions_mean_weekday")})
+
+
 def lot_hour_features(ticks: DataFrame, as_of: Column) -> DataFrame:
     """Population std, last minus first and tick count of free spaces over the hour before `as_of`."""
     recent = ticks.where((F.col("collected_at") >= as_of - F.expr("interval 1 hour")) & (F.col("collected_at") <= as_of))

@@ -121,6 +121,20 @@ def _(t):
     return usage.day_type_lift(links, t.v_usage_daily)
 
 
+HOLIDAY_SQL = f"strftime(use_date, '%m-%d') in {usage.HOLIDAYS} or strftime(use_date, '%Y-%m-%d') in {usage.MOVING_HOLIDAYS}"
+
+
+@query("f20_poi_day_types", f"""
+with d as (select station_id, use_date, sum(sessions) as s from v_usage_daily group by 1, 2),
+per as (select poi_id, use_date, avg(s) as s, case when {HOLIDAY_SQL} then 'holiday' when isodow(use_date) >= 6 then 'weekend' else 'weekday' end as t from x_poi_links join d using (station_id) group by 1, 2),
+g as (select poi_id, avg(s) filter (t = 'weekday') as wd, avg(s) filter (t = 'weekend') as we, avg(s) filter (t = 'holiday') as ho, count(*) as n from per group by 1),
+u as (select poi_id, count(*) as linked_stations, count(k.station_id) as linked_with_usage from x_poi_links l left join (select distinct station_id from d) k using (station_id) group by 1)
+select poi_id, linked_stations, linked_with_usage, wd as sessions_mean_weekday, we as sessions_mean_weekend, ho as sessions_mean_holiday, coalesce(n, 0) as usage_days, ho / wd as holiday_vs_weekday, we / wd as weekend_vs_weekday from u left join g using (poi_id)""",
+       num="sessions_mean_weekday sessions_mean_weekend sessions_mean_holiday holiday_vs_weekday weekend_vs_weekday")
+def _(t):
+    return usage.poi_day_types(spatial.linked_stations(t.v_pois, stations(t)).select("poi_id", "station_id"), t.v_usage_daily)
+
+
 ORACLE_CTES["x_named_sessions"] = """
 select s.*, n.station_id from v_sessions s join (select lower(regexp_replace(station_name, '[ ()_]', '', 'g')) as k, min(station_id) as station_id from x_stations group by 1) n
   on lower(regexp_replace(regexp_replace(s.station_name, '충전소$', ''), '[ ()_]', '', 'g')) = n.k"""
