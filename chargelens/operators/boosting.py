@@ -74,83 +74,106 @@ def with_bins(rows: DataFrame, features: list[str], cuts: list[np.ndarray]) -> D
 
 
 def _scores(bins: np.ndarray, trees: list[tuple[np.ndarray, ...]], start: float) -> np.ndarray:
+    """Sum of the trees per row. A tree becomes one table, the next node by node and bin; a leaf is followed by itself."""
     out = np.full(len(bins), start)
-    row = np.arange(len(bins))
+    flat, first, every = bins.ravel(), np.arange(len(bins)) * bins.shape[1], np.arange(256)
     for feature, cut, missing_left, left, value, depth in trees:
+        right = every > cut[:, None]
+        right[:, 0] = ~missing_left
+        then = np.where(left[:, None] < 0, np.arange(len(left))[:, None], left[:, None] + right).ravel()
+        of = feature.astype(np.int64)
         node = np.zeros(len(bins), np.int64)
         for _ in range(depth):
-            b = bins[row, feature[node]]
-            go = np.where(b == 0, ~missing_left[node], b > cut[node])
-            node = np.where(left[node] < 0, node, left[node] + go)
-        out += value[node]
+            node = then.take(node * 256 + flat.take(first + of.take(node)))
+        out += value.take(node)
     return out
 
 
-def _tree(bins: np.ndarray, g: np.ndarray, h: np.ndarray, depth: int, uses: list[int]) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
+def _best_splits(columns: list[np.ndarray], uses: list[int], own: np.ndarray, g: np.ndarray, h: np.ndarray, rows: np.ndarray | None, G: np.ndarray, H: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per node (gain, (feature, cut, missing goes left)); no gain is 0. Histograms are as wide as the feature has bins."""
+    size = len(G)
+    best, which = np.zeros(size), np.full((size, 3), -1)
+    for f, column in zip(uses, columns):
+        width = int(column.max()) + 1
+        key = own * width + column
+        hg, hh, hn = (np.bincount(key, v, size * width).reshape(size, width) for v in (g, h, rows))
+        total = hn.sum(1, keepdims=True)
+        for with_missing in (True, False) if hn[:, 0].any() else (True,):
+            lg, lh, ln = (np.cumsum(np.where(np.arange(width) == 0, x if with_missing else 0, x), axis=1) for x in (hg, hh, hn))
+            gain = lg**2 / (lh + L2) + (G[:, None] - lg) ** 2 / (H[:, None] - lh + L2) - (G**2 / (H + L2))[:, None]
+            gain[(ln < LEAST_LEAF) | (total - ln < LEAST_LEAF)] = 0
+            at = gain.argmax(1)
+            got = gain[np.arange(size), at]
+            better = got > best + 1e-12
+            best[better] = got[better]
+            which[better] = np.column_stack([np.full(better.sum(), f), at[better], np.full(better.sum(), with_missing)])
+    return best, which
+
+
+def _tree(bins: np.ndarray, g: np.ndarray, h: np.ndarray, depth: int, uses: list[int], rows: np.ndarray | None = None) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
     """One tree on gradients and curvatures, level by level, and its value per row. Both children of a node are `left` and
-    `left` + 1; a node without children has left = -1."""
-    n = len(bins)
-    feature, cut, missing_left, left, value = [0], [0], [True], [-1], [0.0]
-    node, level, grown = np.zeros(n, np.int64), [0], 0
+    `left` + 1; a node without children has left = -1. `rows`: how many rows each row stands for (1 if None). Rows of
+    nodes that can not be split further are left aside."""
+    feature, cut, missing_left, left, value = np.zeros(1, np.int16), np.zeros(1, np.int16), np.ones(1, bool), np.full(1, -1, np.int32), np.zeros(1)
+    end, level, grown = np.zeros(len(bins), np.int64), np.zeros(1, np.int64), 0
+    at, own, columns = np.arange(len(bins)), np.zeros(len(bins), np.int64), [np.ascontiguousarray(bins[:, f]) for f in uses]
     for step in range(depth + 1):
-        slot = np.full(len(left), -1)
-        slot[level] = np.arange(len(level))
-        own = slot[node]
-        live = own >= 0
         size = len(level)
-        G, H = (np.bincount(own[live], v[live], size) for v in (g, h))
-        for k, at in enumerate(level):
-            value[at] = -G[k] / (H[k] + L2) * RATE
+        G, H = np.bincount(own, g, size), np.bincount(own, h, size)
+        value[level] = -G / (H + L2) * RATE
         if step == depth:
             break
-        best, which = np.zeros(size), np.full((size, 3), -1)
-        for f in uses:
-            key = own[live] * 256 + bins[live, f]
-            hg, hh, hn = (np.bincount(key, v, size * 256).reshape(size, 256) for v in (g[live], h[live], None))
-            total = hn.sum(1, keepdims=True)
-            for with_missing in (True, False):
-                lg, lh, ln = (np.cumsum(np.where(np.arange(256) == 0, x if with_missing else 0, x), axis=1) for x in (hg, hh, hn))
-                gain = lg**2 / (lh + L2) + (G[:, None] - lg) ** 2 / (H[:, None] - lh + L2) - (G**2 / (H + L2))[:, None]
-                gain[(ln < LEAST_LEAF) | (total - ln < LEAST_LEAF)] = 0
-                at = gain.argmax(1)
-                got = gain[np.arange(size), at]
-                better = got > best + 1e-12
-                best[better] = got[better]
-                which[better] = np.column_stack([np.full(better.sum(), f), at[better], np.full(better.sum(), with_missing)])
+        wide = np.bincount(own, rows, size) >= 2 * LEAST_LEAF
+
+        def only(keep: np.ndarray) -> None:
+            nonlocal at, own, g, h, rows, columns
+            if not keep.all():
+                at, own, g, h, columns = at[keep], own[keep], g[keep], h[keep], [c[keep] for c in columns]
+                rows = None if rows is None else rows[keep]
+
+        only(wide[own])
+        if not len(own):
+            break
+        number = np.cumsum(wide) - 1
+        own, level = number[own], level[wide]
+        best, which = _best_splits(columns, uses, own, g, h, rows, G[wide], H[wide])
         split = np.flatnonzero(best > 0)
         if not len(split):
             break
         grown = step + 1
-        later = []
-        for k in split.tolist():
-            at = level[k]
-            feature[at], cut[at], missing_left[at], left[at] = int(which[k, 0]), int(which[k, 1]), bool(which[k, 2]), len(left)
-            later += [len(left), len(left) + 1]
-            for x, empty in ((feature, 0), (cut, 0), (missing_left, True), (left, -1), (value, 0.0)):
-                x += [empty, empty]
-        child, lf, lc, lm = np.array(left), np.array(feature), np.array(cut), np.array(missing_left)
-        moved = live & (child[node] >= 0)
-        b = bins[moved, lf[node[moved]]]
-        node[moved] = child[node[moved]] + np.where(b == 0, ~lm[node[moved]], b > lc[node[moved]])
-        level = later
-    arrays = (np.array(feature, np.int16), np.array(cut, np.int16), np.array(missing_left), np.array(left, np.int32), np.array(value))
-    return (*arrays, grown), arrays[4][node]
-
-
-def grow(bins: np.ndarray, y: np.ndarray, u: np.ndarray, depth: int, rounds: int, uses: list[int] | None = None) -> tuple[float, list]:
-    """(start, trees) of logistic boosting. Label 0 weighs as much in all as label 1. A tenth of the rows (by `u` in [0, 1)) tells when to stop."""
+        new = len(left) + 2 * np.arange(len(split))
+        into = np.full(len(level), -1)
+        into[split] = np.arange(len(split))
+        only(into[own] >= 0)
+        of = into[own]
+        picked = which[split]
+        b = bins[at, picked[of, 0]]
+        own = 2 * of + np.where(b == 0, picked[of, 2] == 0, b > picked[of, 1])
+        feature[level[split]], cut[level[split]], missing_left[level[split]], left[level[split]] = picked[:, 0], picked[:, 1], picked[:, 2] == 1, new
+        level = np.arange(len(left), len(left) + 2 * len(split))
+        end[at] = level[own]
+        more = 2 * len(split)
+        feature, cut, missing_left, left, value = (np.concatenate([x, np.full(more, empty, x.dtype)]) for x, empty in ((feature, 0), (cut, 0), (missing_left, True), (left, -1), (value, 0.0)))
+    return (feature, cut, missing_left, left, value, grown), value[end]
+
+
+def grow(bins: np.ndarray, y: np.ndarray, u: np.ndarray, depth: int, rounds: int, uses: list[int] | None = None, rows: np.ndarray | None = None) -> tuple[float, list]:
+    """(start, trees) of logistic boosting. Label 0 weighs as much in all as label 1. A tenth of the rows (by `u` in [0, 1)) tells when to stop.
+    `rows`: how many equal rows each row stands for (1 if None)."""
     uses = list(range(bins.shape[1])) if uses is None else uses
-    pos = max(int(y.sum()), 1)
-    w = np.where(y == 0, pos / max(len(y) - pos, 1), 1.0)
-    held = (u < HELD_SHARE) if len(y) * HELD_SHARE >= LEAST_LEAF else np.zeros(len(y), bool)
+    each = np.ones(len(y)) if rows is None else rows.astype(float)
+    n, pos = each.sum(), max(int((each * y).sum()), 1)
+    w = np.where(y == 0, pos / max(n - pos, 1), 1.0) * each
+    held = (u < HELD_SHARE) if n * HELD_SHARE >= LEAST_LEAF else np.zeros(len(y), bool)
     tb, ty, tw, vb, vy, vw = bins[~held], y[~held], w[~held], bins[held], y[held], w[held]
+    of = None if rows is None else each[~held]
     mean = min(max((tw * ty).sum() / tw.sum(), 1e-6), 1 - 1e-6)
     start = float(np.log(mean / (1 - mean)))
     now, then, trees = np.full(len(ty), start), np.full(len(vy), start), []
     best, best_at = np.inf, 0
     for r in range(rounds):
         p = 1 / (1 + np.exp(-now))
-        tree, add = _tree(tb, tw * (p - ty), tw * p * (1 - p), depth, uses)
+        tree, add = _tree(tb, tw * (p - ty), tw * p * (1 - p), depth, uses, of)
         trees.append(tree)
         now += add
         if held.any():
@@ -165,35 +188,45 @@ def grow(bins: np.ndarray, y: np.ndarray, u: np.ndarray, depth: int, rounds: int
     return start, trees
 
 
-def run_fits(rows: DataFrame, features: list[str], fits: list[Fit], key: list[str], keep: list[str]) -> tuple[DataFrame, DataFrame]:
+def run_fits(rows: DataFrame, features: list[str], fits: list[Fit], key: list[str], keep: list[str], folded: bool = False) -> tuple[DataFrame, DataFrame]:
     """(scored, plan). scored: `keep`, fit, y, p for every row that a fit scores; plan: one row per fit with depth,
-    rounds asked for and used, training rows and positives.
+    rounds asked for and used, training rows and positives. `folded` scores rows that are equal in `keep`, label and bins
+    once and adds `n`, how many they are.
 
     `key` names a row, so that the rows that stop a fit do not depend on the table's layout. Fits are to learn from
-    bounded samples: each one's rows meet in one task.
+    bounded samples: each one's rows meet in one task, equal ones as one row with their number.
     """
     learned = rows.where(_any([f.learn for f in fits]))
     cuts = cut_points(learned, features)
-    binned = stage(with_bins(rows.withColumns({"_learn": _numbers([f.learn for f in fits]), "_score": _numbers([f.score for f in fits])}), features, cuts))
+    wanted = dict.fromkeys([*keep, *key, "y", *(f.label for f in fits), *features])
+    binned = rows.withColumns({"_learn": _numbers([f.learn for f in fits]), "_score": _numbers([f.score for f in fits])}).select(*wanted, "_learn", "_score")
+    binned = stage(with_bins(binned, features, cuts))
     labels = F.array(*[F.col(f.label).cast("int") for f in fits])
     seeds = F.array(*[F.lit(f.seed) for f in fits])
     use = binned.where(F.size("_learn") > 0).select(F.explode("_learn").alias("fit"), "bins", labels.alias("_y"), *key)
-    use = use.select("fit", "bins", F.get("_y", "fit").alias("y"), (F.pmod(F.xxhash64(F.get(seeds, F.col("fit")), *key), F.lit(1_000_003)) / 1_000_003.0).alias("u")).where("y is not null")
+    u = F.pmod(F.xxhash64(F.get(seeds, F.col("fit")), *key), F.lit(1_000_003)) / 1_000_003.0
+    use = use.select("fit", "bins", F.get("_y", "fit").alias("y"), F.when(u < HELD_SHARE, 0.0).otherwise(1.0).alias("u")).where("y is not null")
+    use = use.groupBy("fit", "bins", "y", "u").agg(F.count("*").alias("n"))
     shape = [(f.depth, f.rounds, None if f.uses is None else [features.index(x) for x in f.uses]) for f in fits]
 
-    def fit(table: pa.Table) -> pa.Table:
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if not sum(b.num_rows for b in held):
+            return
+        table = pa.Table.from_batches(held)
         number = table["fit"][0].as_py()
         bins = np.frombuffer(b"".join(table["bins"].to_pylist()), np.uint8).reshape(table.num_rows, -1)
-        y, u = table["y"].to_numpy(), table["u"].to_numpy()
+        y, u, n = (table[c].to_numpy() for c in ("y", "u", "n"))
         order = np.lexsort((*bins.T, y, u))  # sums in the same order whatever the layout
-        start, trees = grow(bins[order], y[order].astype(float), u[order], *shape[number])
-        values = [number, table.num_rows, int(y.sum()), len(trees), pickle.dumps((start, trees))]
-        return pa.table([[v] for v in values], schema=pa.schema([("fit", pa.int32()), ("train_rows", pa.int64()), ("train_positives", pa.int64()), ("rounds_used", pa.int64()), ("model", pa.binary())]))
+        start, trees = grow(bins[order], y[order].astype(float), u[order], *shape[number], n[order])
+        values = [number, int(n.sum()), int((n * y).sum()), len(trees), pickle.dumps((start, trees))]
+        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["fit", "train_rows", "train_positives", "rounds_used", "model"])
 
-    made = stage(use.groupBy("fit").applyInArrow(fit, "fit int, train_rows long, train_positives long, rounds_used long, model binary"))
+    made = stage(use.repartitionById(len(fits), "fit").mapInArrow(fit, "fit int, train_rows long, train_positives long, rounds_used long, model binary"))  # a task each
     models = {r.fit: r.model for r in made.select("fit", "model").collect()}  # one per fit, its size bounded by depth and rounds
     shared = rows.sparkSession.sparkContext.broadcast(models)
     names = [f.name for f in fits]
+    own = [*keep, *(["n"] if folded else [])]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = {k: pickle.loads(m) for k, m in shared.value.items()}
@@ -206,10 +239,13 @@ def run_fits(rows: DataFrame, features: list[str], fits: list[Fit], key: list[st
                 if len(at):
                     p = 1 / (1 + np.exp(-_scores(bins[at], trees, start)))
                     part = b.take(pa.array(at))
-                    yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array([names[k]] * len(at), pa.string()), part.column("y").cast(pa.int32()), pa.array(p)], names=[*keep, "fit", "y", "p"])
+                    yield pa.RecordBatch.from_arrays([*(part.column(c) for c in own), pa.array([names[k]] * len(at), pa.string()), part.column("y").cast(pa.int32()), pa.array(p)], names=[*own, "fit", "y", "p"])
 
-    kept = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in keep)
-    scored = binned.where(F.size("_score") > 0).select(*dict.fromkeys([*keep, "y", "bins", "_score"])).mapInArrow(score, f"{kept}, fit string, y int, p double")
+    wanted = binned.where(F.size("_score") > 0).select(*dict.fromkeys([*keep, "y", "bins", "_score"]))
+    if folded:
+        wanted = wanted.groupBy(*wanted.columns).agg(F.count("*").alias("n"))
+    kept = ", ".join(f"{c} {wanted.schema[c].dataType.simpleString()}" for c in own)
+    scored = wanted.mapInArrow(score, f"{kept}, fit string, y int, p double")
     asked = rows.sparkSession.createDataFrame([(i, f.name, f.depth, f.rounds, f.seed) for i, f in enumerate(fits)], "number int, fit string, depth int, rounds int, seed int")
     plan = asked.join(made.drop("model").withColumnRenamed("fit", "number"), "number", "left").drop("number")
     return scored, plan

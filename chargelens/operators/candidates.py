@@ -137,12 +137,14 @@ def temporal_split(df: DataFrame, date: str = "feature_date", train: float = 0.6
 
 def time_or_row_split(df: DataFrame, time_s: str, tie: str, date: str, train: float = 0.70, valid: float = 0.85, min_dates: int = 6) -> DataFrame:
     """70/15/15 by whole dates, or by row rank in time when there are fewer than six dates."""
-    d = df.select(date).distinct()
-    n = d.agg(F.count("*")).scalar()
-    days = d.withColumn("_d", F.row_number().over(Window.orderBy(date))).withColumn("_nd", n)
-    ranked = numbered(df.join(days, date), [], time_s, [tie])
-    pos = F.when(F.col("_nd") >= min_dates, (F.col("_d") - 1) / F.col("_nd")).otherwise((F.col("row_no") - 1) / F.col("n_rows"))
-    return ranked.withColumn("split", F.when(pos < train, "train").when(pos < valid, "valid").otherwise("test")).drop("_d", "_nd", "row_no", "n_rows")
+    d = stage(df.select(date).distinct())
+    n = d.count()
+    named = lambda pos: F.when(pos < train, "train").when(pos < valid, "valid").otherwise("test")
+    if n >= min_dates:  # rows need no rank
+        days = d.select(date, named((F.row_number().over(Window.orderBy(date)) - 1) / F.lit(n)).alias("split"))
+        return df.join(days, date).select(*df.columns, "split")
+    ranked = numbered(df.where(F.col(date).isNotNull()), [], time_s, [tie])
+    return ranked.withColumn("split", named((F.col("row_no") - 1) / F.col("n_rows"))).select(*df.columns, "split")
 
 
 BAND_EDGES_KM = (0.0, 2.0, 4.0, 6.0, 8.0)  # fixed values

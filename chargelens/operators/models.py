@@ -49,9 +49,10 @@ def sampled(labels: DataFrame, key: list[str]) -> DataFrame:
 
 
 def fit_table(scored: DataFrame, plan: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per fit and key: how it was fitted, on how many rows, and its metrics on the rows of the key."""
+    """One row per fit and key: how it was fitted, on how many rows, and its metrics on the rows of the key. A row of
+    `scored` stands for `n` equal ones."""
     scored = stage(scored)
-    m = probability_metrics(scored, ["fit", *keys], "y", "p").join(negative_recall(scored, ["fit", *keys]), ["fit", *keys])
+    m = probability_metrics(scored, ["fit", *keys], "y", "p", F.col("n")).join(negative_recall(scored, ["fit", *keys], F.col("n")), ["fit", *keys])
     return plan.join(m, "fit", "left")
 
 
@@ -86,9 +87,9 @@ def _union(frames: Iterable[DataFrame]) -> DataFrame:
     return out
 
 
-def negative_recall(scored: DataFrame, keys: list[str]) -> DataFrame:
-    neg = F.col("y") == 0
-    return scored.groupBy(*keys).agg(F.try_divide(F.count_if(neg & (F.col("p") < 0.5)).cast("double"), F.count_if(neg)).alias("negative_recall"))
+def negative_recall(scored: DataFrame, keys: list[str], n: Column | None = None) -> DataFrame:
+    neg, n = F.col("y") == 0, F.lit(1) if n is None else n
+    return scored.groupBy(*keys).agg(F.try_divide(F.sum(F.when(neg & (F.col("p") < 0.5), n).otherwise(0)).cast("double"), F.sum(F.when(neg, n).otherwise(0))).alias("negative_recall"))
 
 
 def ablation(labels: DataFrame, specs: dict[str, list[str]], key: list[str], *, leave_one_out: str | None = None) -> DataFrame:
@@ -101,7 +102,7 @@ def ablation(labels: DataFrame, specs: dict[str, list[str]], key: list[str], *,
         all_specs |= {f"{leave_one_out}_without_{f}": [x for x in full if x != f] for f in full}
     features = sorted({f for fs in all_specs.values() for f in fs})
     fits = [Fit(n, _in("train") & F.col("fitted"), ~_in("train"), uses=tuple(fs)) for n, fs in all_specs.items()]
-    m = stage(fit_table(*run_fits(lab, features, fits, key, ["split"]), ["split"]).withColumnRenamed("fit", "spec"))
+    m = stage(fit_table(*run_fits(lab, features, fits, key, ["split"], folded=True), ["split"]).withColumnRenamed("fit", "spec"))
     best = m.where("split = 'valid'").agg(F.max_by("spec", F.struct(F.col("pr_auc"), F.col("negative_recall"), -F.col("brier")))).scalar()
     return m.withColumn("is_best", F.col("spec") == best)
 
@@ -130,7 +131,7 @@ def stability_fits(labels: DataFrame, features: list[str], key: list[str], least
     fits = [Fit(f"seed_{s}", _in("train") & ok, ~_in("train"), seed=s) for s in SEEDS]
     block = lambda b: F.coalesce(F.col("block") == b, F.lit(False))
     fits += [Fit(f"without_block_{b}_seed_{s}", ok & F.col("block").isNotNull() & ~block(b), block(b), seed=s) for b in range(BLOCKS) for s in SEEDS]
-    scored, plan = run_fits(lab, features, fits, key, ["part", "block"])
+    scored, plan = run_fits(lab, features, fits, key, ["part", "block"], folded=True)
     left_out = F.col("fit").startswith("without_block")
     scored = scored.withColumn("part", F.when(left_out, F.concat(F.lit("block_"), F.col("block").cast("string"))).otherwise(F.col("part"))).drop("block")
     return fit_table(scored, plan, ["part"]).withColumn("counted", (F.col("n") >= least) | ~left_out)
@@ -188,7 +189,7 @@ def overfit_checks(labels: DataFrame, features: list[str], key: list[str], fract
     fits = [Fit("model", own, F.lit(True)), *[Fit(f"learning_{f}", own & early(f), _in("test")) for f in fractions]]
     fits += [Fit(f"depth_{d}_rounds_{r}", own, F.lit(True), depth=d, rounds=r) for d in depths for r in round_counts]
     fits.append(Fit("shuffled", own, _in("test"), label="y_shuffled"))
-    return fit_table(*run_fits(stage(rows), features, fits, key, ["split"]), ["split"])
+    return fit_table(*run_fits(stage(rows), features, fits, key, ["split"], folded=True), ["split"])
 
 
 # fixed values: largest gap in average precision that passes, and that only warns; least drop on shuffled labels

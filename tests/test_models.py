@@ -164,3 +164,29 @@ def test_mutual_information_equals_row_by_row(spark):
             assert got.keys() == want.keys() and all(abs(got[f] - want[f]) < 1e-9 for f in want)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_equal_rows_fit_and_score_as_one(spark):
+    rng = np.random.default_rng(6)
+    n = 4000
+    a, b = rng.integers(0, 4, n), rng.integers(0, 3, n)
+    y = (rng.random(n) < 0.15 + 0.2 * a).astype(int)
+    rows = spark.createDataFrame([(i, int(y[i]), float(a[i]), float(b[i]), "train" if i % 3 else "test") for i in range(n)], "k int, y int, a double, b double, split string")
+    fits = [boosting.Fit("f", F.col("split") == "train", F.col("split") == "test", rounds=10)]
+    each, _ = boosting.run_fits(rows, ["a", "b"], fits, ["k"], ["split"])
+    once, plan = boosting.run_fits(rows, ["a", "b"], fits, ["k"], ["split"], folded=True)
+    assert once.count() <= 4 * 3 * 2 and once.agg(F.sum("n")).first()[0] == each.count()
+    got, want = models.fit_table(once, plan, ["split"]).first(), models.fit_table(each.withColumn("n", F.lit(1)), plan, ["split"]).first()
+    assert got.n == want.n == len([i for i in range(n) if i % 3 == 0])
+    for c in ("auc", "pr_auc", "brier", "logloss", "precision", "recall", "negative_recall"):
+        assert got[c] == pytest.approx(want[c], abs=1e-9)
+
+
+def test_growing_sees_repeated_rows_as_their_number():
+    rng = np.random.default_rng(7)
+    bins, y = rng.integers(0, 5, (3000, 2)).astype(np.uint8), rng.integers(0, 2, 3000).astype(float)
+    u = (rng.random(3000) >= 0.1).astype(float)
+    rows, n = np.unique(np.column_stack([bins, y, u]), axis=0, return_counts=True)
+    start, trees = boosting.grow(bins, y, u, 4, 8)
+    start_, trees_ = boosting.grow(rows[:, :2].astype(np.uint8), rows[:, 2], rows[:, 3], 4, 8, None, n)
+    assert len(rows) < 120 and np.allclose(boosting._scores(bins, trees, start), boosting._scores(bins, trees_, start_))
