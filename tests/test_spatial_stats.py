@@ -169,3 +169,15 @@ def test_learning_curve_takes_the_earliest_rows(spark):
         assert sorted(r.place for r in got.collect()) == list(range(round(50 * f))) and got.columns == rows.columns
     assert inspect.signature(models.overfit_checks).parameters["fractions"].default == (0.2, 0.4, 0.6, 0.8, 1.0)
     assert models.first_rows(ordered, 0.2).count() == 50
+
+
+def test_tour_points_of_one_name_are_not_multiplied_out(spark):
+    from chargelens.operators import matching
+
+    tour = spark.createDataFrame([(f"T{i}", "Old Tower" if i % 2 else "lake") for i in range(40)] + [("T90", None), ("T91", "none such")], "content_id string, title string")
+    city = spark.createDataFrame([(i, "OldTower" if i % 2 else "Old Tower Park") for i in range(30)], "row_id int, attract_name string")
+    rows = matching.tour_candidates(tour, city).collect()
+    pairs = {(r.tour_key, r.city_key, r.match_score, r.needs_review, r.tour_points, r.city_points) for r in rows if r.kind == "pair"}
+    assert pairs == {("OldTower", "OldTower", 1.0, False, 20, 15), ("OldTower", "OldTowerPark", 0.8, True, 20, 15)}
+    assert sorted(r.point_id for r in rows if r.kind == "tour") == sorted(f"T{i}" for i in range(1, 40, 2))
+    assert len([r for r in rows if r.kind == "city"]) == 30 and len(rows) == 2 + 20 + 30
