@@ -259,25 +259,19 @@ def station_tick_panel(events: DataFrame, ticks: DataFrame, hold_s: int = MAX_GA
     has every older one.
     """
     iv = bounded_hold_intervals(events, ticks, hold_s)
-    own = lambda c: F.when(F.col("_own"), c).otherwise(0)
-    both = iv.select("station_id", "stat", "tick_idx", "end_idx", F.lit(False).alias("_own")).unionByName(
-        iv.select("station_id", "stat", "tick_idx", (F.col("tick_idx") + 1).alias("end_idx"), F.lit(True).alias("_own"))
-    )
-    usable, avail = F.col("stat").isin(2, 3).cast("int"), (F.col("stat") == 2).cast("int")
-    recon = lambda c: F.when(F.col("_own"), 0).otherwise(c)
-    flags = {
-        "observed_chargers": own(F.lit(1)), "available_observed": own(avail), "usable_observed": own(usable),
-        "known_recon": recon(F.lit(1)), "available_recon": recon(avail), "usable_recon": recon(usable),
-    }
+    usable, avail = (F.coalesce(c.cast("int"), F.lit(0)) for c in (F.col("stat").isin(2, 3), F.col("stat") == 2))
+    observed, known = ("observed_chargers", "available_observed", "usable_observed"), ("known_recon", "available_recon", "usable_recon")
+    flags, one, none = [*observed, *known], (F.lit(1), avail, usable), (F.lit(0),) * 3
     n_ticks = ticks.agg(F.count("*")).scalar().cast("int")
     stations = events.groupBy("station_id").agg(F.count_distinct("charger_id").cast("int").alias("chargers"))
     # every station starts at tick 0 with zeros; pieces end at the next step or the last tick
     edge = stations.select("station_id", F.lit(0).alias("at"), F.lit(None).cast("long").alias("obs_s"), *[F.lit(0).alias(n) for n in flags])
-    ticks_s = ticks.select(F.col("tick_idx").alias("at"), F.col("tick_s").alias("obs_s"))
-    marked = both.select("station_id", "tick_idx", "end_idx", *[c.alias(n) for n, c in flags.items()])
-    up = marked.select("station_id", F.col("tick_idx").alias("at"), *[F.col(n) for n in flags]).join(ticks_s, "at")
-    down = marked.select("station_id", F.col("end_idx").alias("at"), F.lit(None).cast("long").alias("obs_s"), *[(-F.col(n)).alias(n) for n in flags])
-    steps = up.unionByName(down).unionByName(edge).groupBy("station_id", "at").agg(F.max("obs_s").alias("obs_s"), *[F.sum(n).alias(n) for n in flags])
+    # an interval opens both counts at its tick; the observed one ends a tick later, the known one at its end
+    step = lambda at, s, values: F.struct(at.alias("at"), s.alias("obs_s"), *[v.alias(n) for n, v in zip(flags, values)])
+    late, no_time = tuple(-c for c in one), F.lit(None).cast("long")
+    three = [step(F.col("tick_idx"), F.col("tick_s"), one + one), step(F.col("tick_idx") + 1, no_time, late + none), step(F.col("end_idx"), no_time, none + late)]
+    steps = iv.select("station_id", F.inline(F.array(*three))).unionByName(edge)
+    steps = steps.groupBy("station_id", "at").agg(F.max("obs_s").alias("obs_s"), *[F.sum(n).alias(n) for n in flags])
     w = Window.partitionBy("station_id").orderBy("at")
     run = w.rowsBetween(Window.unboundedPreceding, 0)
     pieces = steps.select(

@@ -33,12 +33,11 @@ def observed(t, horizons=labels.HORIZONS):
 
 def training(t):
     meta = eligible(t).select("station_id").join(usage_station_rows(t).select("station_id", "sessions_per_charger", "usage_weekday_avg", "usage_weekend_avg", "history_observed"), "station_id", "left")
-    meta = meta.withColumn("history_observed", F.coalesce("history_observed", F.lit(False)))
+    meta = stage(meta.withColumn("history_observed", F.coalesce("history_observed", F.lit(False))))
     ticks = log_ticks(t)
-    p = stage(panel.station_tick_panel(t.v_status_events, ticks, sparse=True).where("known_recon > 0"))
-    ch = panel.change_features(p).select("station_id", "tick_idx", "available_count_delta_1tick", "minutes_since_last_change")
-    full = p.join(ch, ["station_id", "tick_idx"], "left")
-    return stage(labels.split_training(stage(labels.training_rows(full, meta, ticks))))
+    events = t.v_status_events.join(meta.select("station_id"), "station_id", "left_semi")  # others give no row
+    p = panel.change_features(panel.station_tick_panel(events, ticks, sparse=True))
+    return labels.split_training(stage(labels.training_rows(p, meta, ticks)))
 
 
 ORACLE_CTES.update({
