@@ -1,12 +1,13 @@
 """Language identification by interpolated Kneser-Ney models of characters."""
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,7 +15,8 @@ from chargelens.llm.common import stage
 
 ORDER = 4  # characters of the longest gram
 BITS = 15  # of a character in a gram
-MODEL_GRAMS = 1 << 19  # grams that the model holds, over all languages; the rest of the mass goes to shorter grams
+MODEL_GRAMS = 1 << 19  # grams that a model sent to every task holds, over all languages; more are looked up by a shuffle
+CHUNK = 8 << 20  # characters of text that look their grams up together
 HELD = 20  # one in so many training rows calibrates and is not counted
 STEPS = 8  # calibration steps per unit of evidence
 MOST_STEP = 400
@@ -201,50 +203,90 @@ def _frequent(parts: DataFrame, most: int) -> DataFrame:
     return parts.join(down.filter(F.col("upto") <= most).select("lang", "n"), ["lang", "n"])
 
 
-def train(rows: DataFrame, most_grams: int = MODEL_GRAMS) -> CharModel:
-    """Model of rows (lang, text) without null languages. Counts cover all rows but the calibrating ones.
-
-    The order-4 counts are raw; each shorter order counts the different characters that stand before its grams. Only the
-    most frequent grams of each order enter the model (`most_grams` over all languages and orders); what they leave is the
-    weight of the shorter gram, so probabilities still sum to one. No row: a model without languages.
-    """
+def _counted(rows: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+    """(counts of the longest grams, calibrating rows, languages) of rows (lang, text) without null languages."""
     rows = rows.filter(F.col("lang").isNotNull())
     held = F.pmod(F.xxhash64("text", "lang"), F.lit(HELD)) == 0
     counts = stage(count_grams(rows.filter(~held)))
-    langs = sorted(r.lang for r in counts.select("lang").distinct().collect())
-    if not langs:
-        return CharModel([], [], np.zeros(0), np.zeros(0))
-    share = max(1, most_grams // (ORDER * len(langs)))
-    number = {lang: i for i, lang in enumerate(langs)}
-    held_parts: list[pa.Table] = [None] * (ORDER + 1)
+    return counts, rows.filter(held), sorted(r.lang for r in counts.select("lang").distinct().collect())
+
+
+def _parts(counts: DataFrame) -> tuple[list[DataFrame | None], int]:
+    """(parts by order, different characters of the richest language); each shorter order counts the different characters
+    that stand before its grams."""
+    parts: list[DataFrame | None] = [None] * (ORDER + 1)
     for order in range(ORDER, 0, -1):
-        parts = _frequent(_discounted(counts, order), share)
-        held_parts[order] = parts.select("lang", "gram", "context", "part").toArrow()  # at most share * len(langs) rows
+        parts[order] = _discounted(counts, order)
         if order > 1:
             mask = F.lit((1 << BITS * (order - 1)) - 1)
             counts = stage(counts.groupBy("lang", F.col("gram").bitwiseAND(mask).alias("gram")).agg(F.count("*").alias("n")))
-    chars = counts.groupBy("lang").agg(F.count("*").alias("v")).collect()
-    size = max(r.v for r in chars)
-    model = assemble(langs, number, held_parts, size)
-    _calibrate(model, rows.filter(held))
+    return parts, max(r.v for r in counts.groupBy("lang").agg(F.count("*").alias("v")).collect())
+
+
+def train(rows: DataFrame, most_grams: int = MODEL_GRAMS) -> CharModel:
+    """Bounded model of rows (lang, text) without null languages, for use on its own; `identify` cuts nothing. Counts
+    cover all rows but the calibrating ones.
+
+    Only the most frequent grams of each order enter the model (`most_grams` over all languages and orders); what they
+    leave is the weight of the shorter gram, so probabilities still sum to one. No row: a model without languages.
+    """
+    counts, held, langs = _counted(rows)
+    if not langs:
+        return CharModel([], [], np.zeros(0), np.zeros(0))
+    share = max(1, most_grams // (ORDER * len(langs)))
+    parts, size = _parts(counts)
+    cut = [None if p is None else _frequent(p, share).select("lang", "gram", "context", "part").toArrow() for p in parts]  # share * len(langs) rows each
+    model = assemble(langs, {lang: i for i, lang in enumerate(langs)}, cut, size)
+    _calibrate(model, held, lambda r, key: judge_rows(r, model, key))
     return model
 
 
-def assemble(langs: list[str], number: dict[str, int], parts: list[pa.Table], size: int) -> CharModel:
-    """Final probabilities, shortest grams first."""
+Judge = Callable[[DataFrame, str], DataFrame]
+
+
+def learn_all(rows: DataFrame, most_sent: int = MODEL_GRAMS) -> tuple[CharModel, Judge | None]:
+    """(model, how it judges rows by a key) of all grams. Up to `most_sent` grams go to every task; beyond that texts look
+    their grams up by a shuffle, with the same results, and `model` holds languages and calibration only."""
+    counts, held, langs = _counted(rows)
+    if not langs:
+        return CharModel([], [], np.zeros(0), np.zeros(0)), None
+    number = {lang: i for i, lang in enumerate(langs)}
+    parts, size = _parts(counts)
+    table = stage(reduce(DataFrame.unionByName, [p.select(F.lit(k).alias("order"), "lang", "gram", "context", "part") for k, p in enumerate(parts) if p is not None]))
+    if table.count() <= most_sent:
+        whole = table.toArrow()
+        model = assemble(langs, number, [None, *(whole.filter(pc.equal(whole["order"], k)) for k in range(1, ORDER + 1))], size)
+        judge: Judge = lambda r, key: judge_rows(r, model, key)
+    else:
+        model = CharModel(langs, [], np.zeros(0), np.full(len(langs), np.inf))
+        taken = table.groupBy("order", "lang", "context").agg(F.sum("part").alias("part"))
+        looked_up = stage(table.select("order", F.lit(False).alias("is_context"), "lang", F.col("gram").alias("key"), "part").unionByName(taken.select("order", F.lit(True).alias("is_context"), "lang", F.col("context").alias("key"), "part")))
+        judge = lambda r, key: judge_by_chunks(r, looked_up, langs, size, key)
+    _calibrate(model, held, judge)
+    return model, judge
+
+
+def assemble(langs: list[str], number: dict[str, int], parts: list[pa.Table], size: int, contexts: list[pa.Table] | None = None) -> CharModel:
+    """Final probabilities, shortest grams first. `contexts` (lang, context, part) holds what each context gives to its
+    grams, where `parts` are only some of these."""
     n = len(langs)
     uniform = np.full((1, n), -np.log10(size + 1))
     model = CharModel(langs, [(np.zeros(0, np.uint64), uniform, np.zeros((1, n)))], np.zeros(0), np.full(n, np.inf))
     for order in range(1, ORDER + 1):
         lang = np.array([number[x] for x in parts[order]["lang"].to_pylist()], np.int64)
         gram, context, part = (parts[order][c].to_numpy() for c in ("gram", "context", "part"))
+        of_parts = (lang, part)
+        if contexts is not None:
+            c = contexts[order]
+            of_parts = (np.array([number[x] for x in c["lang"].to_pylist()], np.int64), c["part"].to_numpy())
+            context = c["context"].to_numpy()
         # weight left by each context, into the level below
         low_hash, low_log, _ = model.level[order - 1]
         used = np.ones((len(low_log), n))
         known, of = np.unique(context, return_inverse=True)
         at = model.look_up(order - 1, known) if order > 1 else np.zeros(len(known), np.int64)
         taken = np.zeros((len(known), n))
-        np.add.at(taken, (of, lang), part)
+        np.add.at(taken, (of, of_parts[0]), of_parts[1])
         missing = at == len(low_hash) if order > 1 else np.zeros(len(known), bool)
         if missing.any():  # contexts whose own gram is not in the model: rows with the weight only
             hashes = np.concatenate([low_hash, _mix(known[missing])])
@@ -269,9 +311,9 @@ def assemble(langs: list[str], number: dict[str, int], parts: list[pa.Table], si
     return model
 
 
-def _calibrate(model: CharModel, rows: DataFrame) -> None:
+def _calibrate(model: CharModel, rows: DataFrame, judge: Judge) -> None:
     """Probability of being right by evidence, never falling with it, and the cross-entropy that few right rows exceed."""
-    judged = judge_rows(rows.withColumn("own", F.col("lang")), model, "own")
+    judged = judge(rows.withColumn("own", F.col("lang")), "own")
     step = F.least(F.floor(F.col("evidence") * STEPS), F.lit(MOST_STEP)).cast("int").alias("step")
     judged = stage(judged.filter("letters > 0").select(step, F.col("best").alias("lang"), (F.col("best") == F.col("own")).cast("int").alias("right"), F.ceil(F.col("entropy") * 50).alias("bin")))
     by_step = {r.step: (r.right, r.all) for r in judged.groupBy("step").agg(F.sum("right").alias("right"), F.count("*").alias("all")).collect()}
@@ -291,41 +333,79 @@ def _calibrate(model: CharModel, rows: DataFrame) -> None:
         model.limit[model.langs.index(r.lang)] = r.bin / 50
 
 
+def _judged(m: CharModel, name: str, keys: pa.Array, texts: list[str | None]) -> Iterator[pa.RecordBatch]:
+    names = np.array(m.langs, object)
+    for at, stop in _slices(texts):
+        letters, best, entropy, evidence = m.judge(texts[at:stop])
+        none = letters == 0
+        yield pa.RecordBatch.from_arrays(
+            [keys.slice(at, stop - at), pa.array(letters, pa.int64()), pa.array(names[best], pa.string(), mask=none), pa.array(entropy, pa.float64(), mask=none), pa.array(evidence, pa.float64(), mask=none)],
+            names=[name, "letters", "best", "entropy", "evidence"],
+        )
+
+
 def judge_rows(rows: DataFrame, model: CharModel, key: str, text: str = "text") -> DataFrame:
     """(key, letters, best, entropy, evidence) of each row; best is null where the text has no letter."""
     name, kind = key, rows.schema[key].dataType.simpleString()
     shared = rows.sparkSession.sparkContext.broadcast(model)  # MODEL_GRAMS bounds it
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        names = np.array(m.langs, object)
         for b in batches:
-            texts = b.column(1).to_pylist()
-            for at, stop in _slices(texts):
-                letters, best, entropy, evidence = m.judge(texts[at:stop])
-                none = letters == 0
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(at, stop - at), pa.array(letters, pa.int64()), pa.array(names[best], pa.string(), mask=none), pa.array(entropy, pa.float64(), mask=none), pa.array(evidence, pa.float64(), mask=none)],
-                    names=[name, "letters", "best", "entropy", "evidence"],
-                )
+            yield from _judged(shared.value, name, b.column(0), b.column(1).to_pylist())
 
     return rows.select(F.col(key).alias(name), F.col(text).cast("string").alias("text")).mapInArrow(run, f"`{name}` {kind}, letters long, best string, entropy double, evidence double")
 
 
+def _wanted(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """Grams of each order, and their contexts, that the texts of a chunk ask for."""
+    texts, found = table["text"].to_pylist(), np.zeros(0, np.int64)
+    for at, stop in _slices(texts):
+        codes, starts = letters_of(texts[at:stop])
+        found = np.union1d(found, grams(codes)[_own(codes, starts)])
+    out = []
+    for order in range(ORDER, 0, -1):
+        found = np.unique(found & ((1 << BITS * order) - 1))
+        out += [(order, False, found), (order, True, np.unique(found >> BITS) if order > 1 else np.zeros(1, np.int64))]
+    n = [len(k) for _, _, k in out]
+    return pa.table({"chunk": pa.array([key[0].as_py()] * sum(n), pa.int64()), "order": pa.array(np.repeat([o for o, _, _ in out], n), pa.int32()), "is_context": pa.array(np.repeat([c for _, c, _ in out], n)), "key": pa.array(np.concatenate([k for _, _, k in out]), pa.int64())})
+
+
+def judge_by_chunks(rows: DataFrame, grams_of: DataFrame, langs: list[str], size: int, key: str, text: str = "text") -> DataFrame:
+    """As `judge_rows`, for a model (order, is_context, lang, key, part) of any size: chunks of texts fetch the rows that
+    they ask for and judge by these."""
+    kind, number = rows.schema[key].dataType.simpleString(), {lang: i for i, lang in enumerate(langs)}
+    own = rows.select(F.col(key).alias("name"), F.col(text).cast("string").alias("text"))
+    chars = own.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    own = own.select(F.pmod(F.xxhash64("name", "text"), F.lit(chars // CHUNK + 1)).alias("chunk"), "name", "text")
+    found = own.groupBy("chunk").applyInArrow(_wanted, "chunk long, order int, is_context boolean, key long").join(grams_of, ["order", "is_context", "key"])
+
+    def run(chunk: tuple[pa.Scalar, ...], docs: pa.Table, table: pa.Table) -> pa.Table:
+        of = lambda k, c: table.filter(pc.and_(pc.equal(table["order"], k), pc.equal(table["is_context"], c)))
+        parts = [None, *(of(k, False).rename_columns({"key": "gram"}) for k in range(1, ORDER + 1))]
+        parts = [p and p.append_column("context", pc.shift_right(p["gram"], BITS) if k > 1 else pa.array(np.zeros(len(p), np.int64))) for k, p in enumerate(parts)]
+        contexts = [None, *(of(k, True).rename_columns({"key": "context"}) for k in range(1, ORDER + 1))]
+        m = assemble(langs, number, parts, size, contexts)
+        return pa.Table.from_batches(_judged(m, "name", docs["name"].combine_chunks(), docs["text"].to_pylist()), pa.schema([docs.schema.field("name"), ("letters", pa.int64()), ("best", pa.string()), ("entropy", pa.float64()), ("evidence", pa.float64())]))
+
+    found = found.select("chunk", "order", "is_context", "lang", "key", "part")
+    out = own.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(run, f"name {kind}, letters long, best string, entropy double, evidence double")
+    return out.withColumnRenamed("name", key)
+
+
 def identify(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", most_grams: int = MODEL_GRAMS) -> DataFrame:
     """(doc_id, lang_pred, score, entropy, refused): the language of least cross-entropy per character, one row per row.
 
     `learn` marks the rows whose text and non-null language are learned. `score` is the calibrated probability of the
     prediction; `refused` marks predictions below `LEAST_SCORE` and texts less like their language than nearly all that
     were rightly judged. Null and empty texts and texts without a letter are `und` with score 0, and so is every text when
-    nothing could be learned. Ties of entropy go to the first language by name. Long texts are judged whole; repeated rows
+    nothing could be learned. All grams are learned; more than `most_grams` are looked up by a shuffle. Ties of entropy go to the first language by name. Long texts are judged whole; repeated rows
     are learned and judged each; a null doc_id stays null; other columns are not read; an empty table gives no row.
     """
-    model = train(docs.filter(learn).select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text")), most_grams)
+    model, judge = learn_all(docs.filter(learn).select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text")), most_grams)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     if not model.langs:
         return rows.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("entropy"), F.lit(True).alias("refused"))
-    judged = judge_rows(rows, model, "doc_id")
+    judged = judge(rows, "doc_id")
     steps = F.array(*[F.lit(float(x)) for x in model.steps])
     score = F.get(steps, F.least(F.floor(F.col("evidence") * STEPS), F.lit(MOST_STEP)).cast("int"))
     limits = F.create_map(*[x for name, v in zip(model.langs, model.limit.tolist()) for x in (F.lit(name), F.lit(v))])
