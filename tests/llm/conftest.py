@@ -1,5 +1,10 @@
+import os
+import sys
+
 import pytest
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))  # shared brute-force forms
+
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
