@@ -1,6 +1,8 @@
 """Benchmark decontamination by winnowing; DataFrame functions only."""
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,16 +24,42 @@ def _chosen(grams: Column, width: int) -> Column:
     return F.when(windows >= 1, F.array_distinct(F.transform(F.sequence(F.lit(1), windows), least))).otherwise(F.array().cast("array<int>"))
 
 
+def _stretches(df: DataFrame, name: str, width: int, join: Callable[[Column, Column], Column], keep: list[str]) -> DataFrame:
+    """Array `name` with `join` over each stretch of `width` neighbours, null where there are fewer.
+
+    Two stretches that meet or overlap make up a longer one, so there are log2(width) steps. Each is a column of its own:
+    written into one expression, a step would be worked out anew for every element of the next.
+    """
+    have = 1
+    while have < width:
+        step = min(have, width - have)
+        starts = F.sequence(F.lit(0), F.size(name) - (step + 1))
+        df = df.select(*keep, F.when(F.size(name) > step, F.transform(starts, lambda i: join(F.get(F.col(name), i), F.get(F.col(name), i + step)))).alias(name))
+        have += step
+    return df
+
+
+def _grams(df: DataFrame, span: int, keep: list[str]) -> DataFrame:
+    """(keep..., g) of a frame with `words`: hashes of all runs of half of `span` words, null where there are fewer."""
+    hashes = df.select(*keep, F.transform("words", lambda w: F.xxhash64(w)).alias("g"))
+    return _stretches(hashes, "g", (span + 1) // 2, lambda a, b: F.xxhash64(a, b), keep)
+
+
+def _least_hashes(df: DataFrame, span: int, keep: list[str]) -> DataFrame:
+    """(keep..., hash): the hashes that `_fingerprints` gives, without their places."""
+    least = _stretches(_grams(df, span, keep), "g", span - (span + 1) // 2 + 1, F.least, keep)
+    # explode_outer: a filter before it, also the one that explode adds, would work the steps out again for every element
+    return least.select(*keep, F.explode_outer(F.array_distinct("g")).alias("hash")).filter(F.col("hash").isNotNull())
+
+
 def _fingerprints(df: DataFrame, span: int, keep: list[str]) -> DataFrame:
     """(keep..., pos, hash) of a frame with `words`: the least k-gram hash of each window of k-grams that make up `span` words.
 
     A window's choice follows from its words alone, so two texts that share `span` words share a choice.
     """
-    k = (span + 1) // 2
-    width = span - k + 1
-    grams = df.filter(F.size("words") >= span).select(*keep, F.transform(F.sequence(F.lit(1), F.size("words") - k + 1), lambda i: F.xxhash64(*[F.get(F.col("words"), i + (j - 1)) for j in range(k)])).alias("g"))
-    chosen = grams.select(*keep, "g", _chosen(F.col("g"), width).alias("p"))
-    return chosen.select(*keep, F.explode(F.transform("p", lambda p: F.struct(p.alias("pos"), F.get(F.col("g"), p).alias("hash")))).alias("f")).select(*keep, "f.pos", "f.hash")
+    chosen = _grams(df, span, keep).select(*keep, "g", _chosen(F.col("g"), span - (span + 1) // 2 + 1).alias("p"))
+    placed = chosen.select(*keep, F.explode_outer(F.transform("p", lambda p: F.struct(p.alias("pos"), F.get(F.col("g"), p).alias("hash")))).alias("f"))
+    return placed.select(*keep, "f.pos", "f.hash").filter(F.col("pos").isNotNull())
 
 
 def few_keys(keys: DataFrame) -> DataFrame:
@@ -71,13 +99,14 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     hits = None
     for n in lengths:
         own = windows.filter(F.col("n") == n)
-        marks = stage(_fingerprints(own.select(F.split("window", " ").alias("words")), n, []).select("hash").distinct())
-        # candidates: text and position of a fingerprint that the benchmark has
-        at = _fingerprints(read.select("text_key", "words"), n, ["text_key"]).join(marks, "hash", "left_semi").select("text_key", "pos").distinct()
+        marks = stage(_least_hashes(own.select(F.split("window", " ").alias("words")), n, []).distinct())
+        # candidates: texts with a fingerprint that the benchmark has, and then its places in them
+        keys = stage(_least_hashes(read.select("text_key", "words"), n, ["text_key"]).join(marks, "hash", "left_semi").select("text_key").distinct())
+        texts = stage(base.select("text_key", "text").join(few_keys(keys), "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text")))
+        split = texts.select("text_key", alnum_words(F.col("text")).alias("words"))
         k = (n + 1) // 2
-        spots = stage(at.groupBy("text_key").agg(F.collect_set("pos").alias("at")))
-        texts = base.select("text_key", "text").join(few_keys(spots.select("text_key")), "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
-        both = texts.join(spots, "text_key").select("text_key", "at", alnum_words(F.col("text")).alias("words"))
+        spots = _fingerprints(split, n, ["text_key"]).join(marks, "hash", "left_semi").groupBy("text_key").agg(F.collect_set("pos").alias("at"))
+        both = split.join(spots, "text_key").select("text_key", "at", "words")
         last = F.size("words") - n
         starts = F.array_distinct(F.flatten(F.transform("at", lambda p: F.sequence(F.greatest(p - (n - k), F.lit(0)), F.least(p, last)))))
         cut = both.select("text_key", F.explode(_windows(F.col("words"), starts, n)).alias("w")).select("text_key", "w.start", "w.window")

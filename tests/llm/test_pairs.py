@@ -118,6 +118,18 @@ def test_winnowing_equals_brute_force(spark, make_docs):
     assert sorted(str(r.doc_id) for r in clean.collect()) == sorted(str(i) for i, t in docs if not brute_hits(t, items)[3])
 
 
+def test_least_hashes_equal_placed_ones_and_split_texts_once(spark):
+    rng = random.Random(3)
+    rows = [(0, None), (1, "")] + [(i, " ".join(rng.choice("abcdef") for _ in range(rng.randrange(1, 60)))) for i in range(2, 40)]
+    words = spark.createDataFrame(rows, "text_key long, text string").select("text_key", winnow.alnum_words(F.col("text")).alias("words"))
+    for span in (1, 2, 5, 13):
+        least = winnow._least_hashes(words, span, ["text_key"])
+        assert least._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+        placed = winnow._fingerprints(words, span, ["text_key"]).select("text_key", "hash").distinct()
+        got = sorted(tuple(r) for r in least.collect())
+        assert got and got == sorted(tuple(r) for r in placed.collect())
+
+
 def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(4)
     rows = [(int(i), [float(x) for x in rng.normal(size=8) * rng.choice([0.1, 1, 3])]) for i in range(300)]
