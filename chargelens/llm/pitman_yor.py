@@ -217,30 +217,36 @@ def _number(p: int, got: dict) -> list[tuple]:
     return [*out, ("list", p, 0, b" ".join(words), _pack(c), None), ("total", p, 0, _pack(np.array([c.sum(), (c > 0).sum()])), None, None)]
 
 
-def _listed(lists: DataFrame) -> DataFrame:
-    """(k, c) of all words; k is b"w" and the word."""
+def _run_batches(words: list[bytes], known: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for use in (True, False):
+        for block in _blocks(words[i] for i in np.flatnonzero(known == use)):
+            g, n = gram_counts(block)
+            yield pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(n if use else n * 0, pa.int64())], names=["g", "c"])
+
+
+def _summed(runs: DataFrame) -> DataFrame:
+    return runs.groupBy("g").agg(F.sum("c").alias("c"))
+
+
+def spelling_runs(words: DataFrame) -> DataFrame:
+    """words (k: b"w" and the word, c) -> (g, c): runs of four signs and how many known words hold them (0: only unknown ones do)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for x, y in zip(b.column(0), b.column(1)):
-                yield pa.RecordBatch.from_arrays([pa.array([b"w" + w for w in x.as_py().split(b" ")], pa.binary()), pa.array(_unpack(y.as_py()))], names=["k", "c"])
+            yield from _run_batches([k.as_py()[1:] for k in b.column(0)], b.column(1).to_numpy() > 0)
 
-    return lists.select("x", "y").mapInArrow(run, "k binary, c long")
+    return _summed(words.select("k", "c").mapInArrow(run, "g long, c long"))
 
 
-def spelling_runs(words: DataFrame) -> DataFrame:
-    """words (k, c) -> (g, c): runs of four signs and how many known words hold them (0: only unknown ones do)."""
+def listed_runs(lists: DataFrame) -> DataFrame:
+    """The same of all words of letters `list`, in one step of Python, so that a task keeps one worker and not two."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            known = b.column(1).to_numpy() > 0
-            for use in (True, False):
-                texts = [k.as_py()[1:] for k in b.column(0).filter(pa.array(known == use))]
-                for block in _blocks(iter(texts)):
-                    g, n = gram_counts(block)
-                    yield pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(n if use else n * 0, pa.int64())], names=["g", "c"])
+            for x, y in zip(b.column(0), b.column(1)):
+                yield from _run_batches(x.as_py().split(b" "), _unpack(y.as_py()) > 0)
 
-    return words.select("k", "c").mapInArrow(run, "g long, c long").groupBy("g").agg(F.sum("c").alias("c"))
+    return _summed(lists.select("x", "y").mapInArrow(run, "g long, c long"))
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -374,13 +380,30 @@ def _codes(doc: dict, numbers: list[dict], n_parts: int) -> tuple[np.ndarray, np
 
 
 def _pairs(doc: dict, code: np.ndarray, n_parts: int) -> tuple:
-    """Of a chunk: words, words before them, lengths of texts, whether learned, distinct pairs, their first place, places of pairs, parts of pairs."""
+    """Of a chunk: words, lengths of texts, whether learned, distinct pairs, their first place, places of pairs, parts of pairs.
+
+    A chunk has millions of places, so arrays that long are made one after the other and no longer held than needed.
+    """
     word, size = _unpack(doc["x"]), _unpack(doc["y"])
-    before = np.concatenate(([0], word[:-1]))  # the end of a text stands before the next one's first word
-    pair, first, at = np.unique(code[before] << CODE_BITS | code[word], return_index=True, return_inverse=True)
+    every = code[_before(word)]
+    every <<= CODE_BITS
+    every |= code[word]
+    order = np.argsort(every, kind="stable")
+    every = every[order]
+    new = np.concatenate(([True], every[1:] != every[:-1]))
+    pair, first = every[new], order[new]
+    del every
+    at = np.empty(len(order), np.int32)
+    at[order] = np.cumsum(new, dtype=np.int32) - 1
+    del order, new
     mixed = pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return word, before, size >> 1, (size & 1) > 0, pair, first, at, ((mixed >> np.uint64(33)) % np.uint64(n_parts)).astype(np.int64)
+    return word, size >> 1, (size & 1) > 0, pair, first, at, ((mixed >> np.uint64(33)) % np.uint64(n_parts)).astype(np.int64)
+
+
+def _before(word: np.ndarray) -> np.ndarray:
+    """The word before each one; the end of a text (0) stands before the next one's first word."""
+    return np.concatenate((word[:0], [0], word[:-1]), dtype=word.dtype)
 
 
 def _words_of(pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -419,8 +442,8 @@ def pair_counts(texts: DataFrame, numbers: DataFrame, n_parts: int) -> DataFrame
     def tell(key: tuple[pa.Scalar, ...], docs: pa.Table, found: pa.Table) -> pa.Table:
         doc = docs.to_pylist()[0]
         _, code = _codes(doc, _by_kind(found)["numbers"], n_parts)
-        _, _, size, learned, pair, _, at, part = _pairs(doc, code, n_parts)
-        c = np.bincount(at, weights=np.repeat(learned, size), minlength=len(pair)).astype(np.int64)
+        _, size, learned, pair, _, at, part = _pairs(doc, code, n_parts)
+        c = np.bincount(at[np.repeat(learned, size)], minlength=len(pair))
         return _letters([("pairs", q, doc["at"], _gaps(pair[own]), _pack(c[own]), None) for q, own in _split(part)])
 
     def count(q: int, got: dict) -> list[tuple]:
@@ -558,7 +581,7 @@ def _score_chunk(n_train: int, base_total: float, n_parts: int, discount: float,
     def run(key: tuple[pa.Scalar, ...], docs: pa.Table, found: pa.Table) -> pa.Table:
         doc, got = docs.select(["at", "x", "y", "z"]).to_pylist()[0], _by_kind(found)
         order, code = _codes(doc, got["known"], n_parts)
-        word, before, size, learned, pair, first, at, part = _pairs(doc, code, n_parts)
+        word, size, learned, pair, first, at, part = _pairs(doc, code, n_parts)
         p, c, tables = np.empty(len(code)), np.empty(len(code)), np.empty(len(code))
         p[order] = np.concatenate([_unpack(r["y"]) for r in got["known"]])
         c[order], tables[order] = np.concatenate([_unpack(r["z"]).reshape(2, -1) for r in got["known"]], axis=1)
@@ -566,11 +589,11 @@ def _score_chunk(n_train: int, base_total: float, n_parts: int, discount: float,
         c_pair, t_pair = np.empty(len(pair)), np.empty(len(pair))
         c_pair[order] = np.concatenate([_unpack(r["x"]) for r in got["found"]])
         t_pair[order] = np.concatenate([_unpack(r["y"]) for r in got["found"]])
-        u, w = before[first], word[first]
+        u, w = _before(word)[first], word[first]
         score = np.log10((c_pair - discount * t_pair / samples + (STRENGTH + discount * tables[u] / samples) * p[w]) / (STRENGTH + c[u]))
         start, n = np.cumsum(size) - size, len(size)
         whose = pa.concat_arrays(docs.column("doc_ids").chunks).flatten()
-        sums = [np.add.reduceat(x, start) for x in ((c > 0).astype(np.int64)[word], (np.log10(c + 1.0) - base_total)[word], score[at])]
+        sums = [np.add.reduceat(x[where], start) for x, where in (((c > 0).astype(np.int64), word), (np.log10(c + 1.0) - base_total, word), (score, at))]
         return pa.table({"doc_id": whose, "learned": pa.array(learned), "n_tokens": pa.array(size, pa.int64()), "n_known": pa.array(sums[0], pa.int64()), "train_tokens": pa.array([n_train] * n, pa.int64()), "base_score": pa.array(sums[1]), "score": pa.array(sums[2])})
 
     return run
@@ -593,7 +616,7 @@ def score_texts(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: st
     n_train, distinct = (int(x) for x in _totals(words)[:2])
     numbers, lists = _kinds(words, "numbers"), _kinds(words, "list")
     texts = texts.filter(F.col("kind") == "docs")
-    model = gibbs(stage(spelling_runs(_listed(lists))), burn_in, samples)
+    model = gibbs(stage(listed_runs(lists)), burn_in, samples)
     pairs = pair_counts(texts, numbers, n_parts)
     values, found, from_base, discount = word_predictive(spelled(lists, model), pairs, n_parts, distinct, burn_in, samples)
     asked = numbers.select("kind", F.col("of").alias("at"), F.col("at").alias("of"), "x", "y", "z")
