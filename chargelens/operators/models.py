@@ -48,6 +48,11 @@ def sampled(labels: DataFrame, key: list[str]) -> DataFrame:
     return stage(labels if "fitted" in labels.columns else in_balanced_sample(labels, "y", key))
 
 
+def labelled(labels: DataFrame) -> DataFrame:
+    """Staged rows with `fitted`: a fit may learn from every row that has a label."""
+    return stage(labels.withColumn("fitted", F.col("y").isNotNull()))
+
+
 def fit_table(scored: DataFrame, plan: DataFrame, keys: list[str]) -> DataFrame:
     """One row per fit and key: how it was fitted, on how many rows, and its metrics on the rows of the key. A row of
     `scored` stands for `n` equal ones."""
@@ -93,9 +98,9 @@ def negative_recall(scored: DataFrame, keys: list[str], n: Column | None = None)
 
 
 def ablation(labels: DataFrame, specs: dict[str, list[str]], key: list[str], *, leave_one_out: str | None = None) -> DataFrame:
-    """One fit per feature set (and per feature left out of one set), all at once; the best by average precision, then
-    negative recall, then Brier score is marked."""
-    lab = sampled(labels, key)
+    """One fit per feature set (and per feature left out of one set) on all train rows, all at once; the best by average
+    precision, then negative recall, then Brier score is marked."""
+    lab = labelled(labels)
     all_specs = dict(specs)
     if leave_one_out:
         full = specs[leave_one_out]

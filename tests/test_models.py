@@ -190,3 +190,67 @@ def test_growing_sees_repeated_rows_as_their_number():
     start, trees = boosting.grow(bins, y, u, 4, 8)
     start_, trees_ = boosting.grow(rows[:, :2].astype(np.uint8), rows[:, 2], rows[:, 3], 4, 8, None, n)
     assert len(rows) < 120 and np.allclose(boosting._scores(bins, trees, start), boosting._scores(bins, trees_, start_))
+
+
+def _unequal(n, seed=12):
+    """Rows of which few are negative, so that a balanced sample of them would leave most positives out."""
+    rng = np.random.default_rng(seed)
+    a, b = rng.integers(0, 30, n), rng.integers(0, 6, n)
+    y = (rng.random(n) > 0.004 + 0.01 * (a > 20)).astype(int)
+    day = np.sort(rng.integers(0, 8, n))
+    split = np.where(day < 5, "train", np.where(day < 6, "valid", "test"))
+    return [(int(i % 211), int(i), int(y[i]), float(a[i]), float(b[i]), f"2024-03-{day[i] + 1:02d}", str(split[i])) for i in range(n)]
+
+
+@pytest.fixture(scope="module")
+def unequal(spark):
+    rows = spark.createDataFrame(_unequal(90_000), "station_id long, t long, y int, a double, b double, feature_date string, split string")
+    return rows.withColumns({"t": F.timestamp_seconds("t"), "feature_date": F.to_date("feature_date")}).localCheckpoint()
+
+
+def _train_rows(frame):
+    train = frame.where("split = 'train'")
+    return train.count(), train.where("y = 1").count()
+
+
+def test_ablation_learns_from_every_train_row(spark, unequal):
+    got = models.ablation(unequal, {"both": ["a", "b"], "one": ["a"]}, ["station_id", "t"]).collect()
+    assert {(r.spec, r.split) for r in got} == {(s, p) for s in ("both", "one") for p in ("valid", "test")}
+    assert {(r.train_rows, r.train_positives) for r in got} == {_train_rows(unequal)}
+
+
+@pytest.mark.parametrize("uses", [None, ("c", "a")])
+def test_fits_grown_by_all_tasks_equal_those_of_one_task(spark, table, uses):
+    train, test = F.col("split") == "train", F.col("split") == "test"
+    fits = [boosting.Fit("deep", train, test, depth=4, rounds=6, uses=uses), boosting.Fit("short", train, test, depth=2, rounds=3, seed=7), boosting.Fit("none", F.lit(False), test)]
+    before, boosting.STAGED_ROUNDS = boosting.STAGED_ROUNDS, 2
+    try:
+        (one, plan), (all_, plan_) = (boosting.run_fits(table, ["a", "b", "c"], fits, ["k"], ["k"], in_task=m) for m in (10**9, 0))
+    finally:
+        boosting.STAGED_ROUNDS = before
+    want, got = ({(r.fit, r.k): r.p for r in x.collect()} for x in (one, all_))
+    assert sorted(plan.collect()) == sorted(plan_.collect()) and got.keys() == want.keys() and len(got) == 2 * 500
+    assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+
+
+def test_fits_grown_by_all_tasks_stop_early(spark):
+    rng = np.random.default_rng(3)
+    n = 1200
+    rows = spark.createDataFrame([(i, int(y), float(a), "train") for i, (y, a) in enumerate(zip(rng.integers(0, 2, n), rng.random(n)))], "k int, y int, a double, split string")
+    fits = [boosting.Fit("noise", F.lit(True), F.lit(True), depth=1, rounds=60)]
+    (one, plan), (all_, plan_) = (boosting.run_fits(rows, ["a"], fits, ["k"], ["k"], in_task=m) for m in (10**9, 0))
+    assert plan.first() == plan_.first() and plan.first().rounds_used < 60
+    want, got = ({r.k: r.p for r in x.collect()} for x in (one, all_))
+    assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+
+
+def test_cut_points_are_evenly_spaced_ranks(spark):
+    rng = np.random.default_rng(8)
+    few, many = rng.integers(0, 9, 5000).astype(float), np.round(rng.normal(size=5000), 2)
+    many[:1500] = 0.25
+    frame = spark.createDataFrame(list(zip(few.tolist(), many.tolist())), "few double, many double").repartition(5)
+    got = boosting.cut_points(frame, ["many", "few"])
+    x, n = np.unique(many, return_counts=True)
+    upto = np.cumsum(n)
+    x = np.unique(x[np.minimum(np.searchsorted(upto, np.arange(1, boosting.BINS) / boosting.BINS * upto[-1]), len(x) - 1)])
+    assert np.array_equal(got[0], (x[1:] + x[:-1]) / 2) and np.array_equal(got[1], np.arange(8) + 0.5)
