@@ -128,9 +128,9 @@ def date_blocks(rows: DataFrame, date: str = "feature_date", blocks: int = BLOCK
 
 
 def stability_fits(labels: DataFrame, features: list[str], key: list[str], least: int = LEAST_SCORED) -> DataFrame:
-    """Every refit: per seed one on the train rows, scored on valid and test, and one without each date block, scored on
-    that block. `part` is the split or the block that a row's metrics are for."""
-    lab = sampled(labels, key)
+    """Every refit: per seed one on all train rows, scored on valid and test, and one on all rows without each date block,
+    scored on that block. `part` is the split or the block that a row's metrics are for."""
+    lab = labelled(labels)
     lab = lab.join(date_blocks(lab), "feature_date", "left").withColumn("part", F.col("split"))
     ok = F.col("fitted")
     fits = [Fit(f"seed_{s}", _in("train") & ok, ~_in("train"), seed=s) for s in SEEDS]

@@ -254,3 +254,11 @@ def test_cut_points_are_evenly_spaced_ranks(spark):
     upto = np.cumsum(n)
     x = np.unique(x[np.minimum(np.searchsorted(upto, np.arange(1, boosting.BINS) / boosting.BINS * upto[-1]), len(x) - 1)])
     assert np.array_equal(got[0], (x[1:] + x[:-1]) / 2) and np.array_equal(got[1], np.arange(8) + 0.5)
+
+
+def test_stability_refits_learn_from_every_row(spark, unequal):
+    fits = {r.fit: r for r in models.stability_fits(unequal, ["a", "b"], ["station_id", "t"]).collect()}
+    assert len(fits) == 12
+    assert {(fits[f"seed_{s}"].train_rows, fits[f"seed_{s}"].train_positives) for s in models.SEEDS} == {_train_rows(unequal)}
+    blocks = {r.block: r["count"] for r in unequal.join(models.date_blocks(unequal), "feature_date").groupBy("block").count().collect()}
+    assert {(b, fits[f"without_block_{b}_seed_{s}"].train_rows) for b in blocks for s in models.SEEDS} == {(b, 90_000 - n) for b, n in blocks.items()}
