@@ -184,9 +184,9 @@ def first_rows(train: DataFrame, fraction: float, least: int = LEAST_CURVE) -> D
 
 def overfit_checks(labels: DataFrame, features: list[str], key: list[str], fractions=FRACTIONS, depths=DEPTHS, round_counts=ROUND_COUNTS) -> DataFrame:
     """Every fit of the over-fit checks with its metrics per split: the model itself, learning curve by the earliest share
-    of the train rows, grid of depth and rounds, and a fit on shuffled labels. Fits learn from the bounded sample; all
+    of the train rows, grid of depth and rounds, and a fit on shuffled labels. Fits learn from all train rows; all
     rows of a split are scored, the train split included."""
-    lab = sampled(labels, key)
+    lab = labelled(labels)
     learned = in_time_order(shuffled_labels(lab.where(_in("train") & F.col("fitted")), key), key).withColumn("learned", F.lit(True))
     rest = lab.where(~(_in("train") & F.col("fitted")))
     rows = learned.unionByName(rest, allowMissingColumns=True).withColumn("learned", F.coalesce("learned", F.lit(False)))

@@ -262,3 +262,12 @@ def test_stability_refits_learn_from_every_row(spark, unequal):
     assert {(fits[f"seed_{s}"].train_rows, fits[f"seed_{s}"].train_positives) for s in models.SEEDS} == {_train_rows(unequal)}
     blocks = {r.block: r["count"] for r in unequal.join(models.date_blocks(unequal), "feature_date").groupBy("block").count().collect()}
     assert {(b, fits[f"without_block_{b}_seed_{s}"].train_rows) for b in blocks for s in models.SEEDS} == {(b, 90_000 - n) for b, n in blocks.items()}
+
+
+def test_overfit_checks_learn_from_every_train_row(spark, unequal):
+    n, positives = _train_rows(unequal)
+    checks = models.overfit_checks(unequal, ["a", "b"], ["station_id", "t"], fractions=(0.5, 1.0), depths=(2,), round_counts=(5,))
+    fits = {(r.fit, r.split): r for r in checks.collect()}
+    for name in ("model", "learning_1.0", "depth_2_rounds_5", "shuffled"):  # shuffling keeps the number of positives
+        assert {(r.train_rows, r.train_positives) for (f, _), r in fits.items() if f == name} == {(n, positives)}
+    assert fits["learning_0.5", "test"].train_rows == n // 2 and fits["model", "train"].n == n
