@@ -271,3 +271,23 @@ def test_overfit_checks_learn_from_every_train_row(spark, unequal):
     for name in ("model", "learning_1.0", "depth_2_rounds_5", "shuffled"):  # shuffling keeps the number of positives
         assert {(r.train_rows, r.train_positives) for (f, _), r in fits.items() if f == name} == {(n, positives)}
     assert fits["learning_0.5", "test"].train_rows == n // 2 and fits["model", "train"].n == n
+
+
+def test_risk_verdict_rests_on_every_train_row(spark, unequal):
+    """The graded gaps are those of the plain model on all train rows."""
+    checks = models.overfit_checks(unequal, ["a", "b"], ["station_id", "t"], fractions=(1.0,), depths=(2,), round_counts=(5,))
+    got = {r.code: r for r in models.risk_verdict(checks.localCheckpoint()).collect()}
+    x = {s: [r for r in _unequal(90_000) if r[6] == s] for s in ("train", "valid", "test")}
+    bins = {s: np.array([[r[3] + 1, r[4] + 1] for r in x[s]], np.uint8) for s in x}
+    y = {s: np.array([r[2] for r in x[s]], float) for s in x}
+    u = unequal.where("split = 'train'").select("station_id", "t", (F.pmod(F.xxhash64(F.lit(42), "station_id", "t"), F.lit(1_000_003)) / 1_000_003.0).alias("u")).orderBy("t")
+    start, trees = boosting.grow(bins["train"], y["train"], np.array([r.u for r in u.collect()]), boosting.DEPTH, boosting.ROUNDS)
+
+    def pr_auc(s):
+        p = np.round(boosting._scores(bins[s], trees, start), 9)
+        values, of = np.unique(-p, return_inverse=True)
+        tp, n = (np.cumsum(np.bincount(of, w, len(values))) for w in (y[s], np.ones(len(p))))
+        return float((np.bincount(of, y[s], len(values)) * tp / n).sum() / y[s].sum())
+
+    assert got["TRAIN_VALID_PR_GAP"].value == pytest.approx(pr_auc("train") - pr_auc("valid"), abs=1e-7)
+    assert got["TRAIN_TEST_PR_GAP"].value == pytest.approx(pr_auc("train") - pr_auc("test"), abs=1e-7)
