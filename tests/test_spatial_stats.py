@@ -181,3 +181,23 @@ def test_tour_points_of_one_name_are_not_multiplied_out(spark):
     assert pairs == {("OldTower", "OldTower", 1.0, False, 20, 15), ("OldTower", "OldTowerPark", 0.8, True, 20, 15)}
     assert sorted(r.point_id for r in rows if r.kind == "tour") == sorted(f"T{i}" for i in range(1, 40, 2))
     assert len([r for r in rows if r.kind == "city"]) == 30 and len(rows) == 2 + 20 + 30
+
+
+def test_every_pair_of_matching_tour_points_is_returned(spark):
+    from chargelens.operators import matching
+
+    names = ["Old Tower", "OldTower", "lake", "Lake side", "", "  ", None, "Tower"]
+    tour = [(f"T{i % 50}" if i % 13 else None, names[i % len(names)]) for i in range(120)]
+    city = [(i % 30 if i % 11 else None, names[i * 3 % len(names)] if i % 5 else "old tower park") for i in range(90)]
+    frames = spark.createDataFrame(tour, "content_id string, title string"), spark.createDataFrame(city, "row_id int, attract_name string")
+    want = []
+    for i, a in tour:
+        for j, b in city:
+            x, y = (a or "").replace(" ", ""), (b or "").replace(" ", "")
+            if a and b and (x in y or y in x):
+                want.append((i, a, j, b, 1.0 if x == y else 0.8, x != y))
+    for block in (3, 2048):
+        got = matching.tour_point_pairs(*frames, block=block)
+        assert got.columns == ["content_id", "title", "row_id", "attract_name", "match_score", "needs_review"]
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    assert matching.tour_point_pairs(frames[0].limit(0), frames[1]).count() == 0
